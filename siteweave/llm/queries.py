@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import quality
+from siteweave.llm import quality, simhash
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -49,3 +49,10 @@ select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_capitals,
     and n_symbols / n_words <= 0.25 and n_stop_words / n_words >= 0.03
     and (n_lines = 0 or n_dup_lines / n_lines <= 0.5) and n_capitals / word_chars <= 0.5 kept
 from m"""
+
+
+# --- near duplicates -----------------------------------------------------------------
+
+@query
+def op4_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
