@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import quality, simhash
+from siteweave.llm import decontaminate, quality, simhash
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -56,3 +56,29 @@ from m"""
 @query
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# --- benchmark decontamination -------------------------------------------------------
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_ITEM_WORDS = r"list_filter(regexp_split_to_array(lower_az(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = _ITEM_WORDS.replace("lower_az(coalesce(text, ''))", _AZ.format("coalesce(text, '')"))
+SQL["op8_decontaminate"] = rf"""
+with d as (select row_number() over () rid, doc_id, {_ITEM_WORDS} w from documents),
+b as (select item_id, w, least(10, len(w)) k from (select item_id, {_ITEM_WORDS} w from benchmark) where len(w) > 0),
+p as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') phrase
+      from (select *, unnest(range(1, len(w) - k + 2)) i from b)),
+n as (select distinct k from p),
+g as (select rid, k, i, array_to_string(w[i:i + k - 1], ' ') phrase
+      from (select rid, w, k, unnest(range(1, len(w) - k + 2)) i from d, n where len(w) >= k)),
+o as (select rid, i, k, item_id from g join p using (k, phrase)),
+h as (select rid, count(distinct j) n from (select rid, unnest(range(i, i + k)) j from (select distinct rid, i, k from o)) group by rid),
+t as (select rid, count(distinct item_id) n, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) ids from o group by rid)
+select doc_id, len(w)::bigint n_words, coalesce(h.n, 0)::bigint n_hit, coalesce(t.n, 0)::bigint n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(h.n, 0) > 0 contaminated
+from d left join h using (rid) left join t using (rid)"""
