@@ -91,7 +91,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """Over symbols >= 1; 0 ends every run, so no phrase crosses from one run to the next."""
+    """Over symbols >= 2; 1 ends every run, so no phrase crosses from one run to the next, and one 0 ends the text."""
 
     def __init__(self, text: np.ndarray):
         self.order = suffix_array(text)
@@ -177,10 +177,10 @@ def shard_hits(numbers: np.ndarray, starts: np.ndarray, phrases: Phrases):
     place = np.repeat(first - offset, size) + np.arange(size.sum())
     ended = np.zeros(len(place), dtype=bool)
     ended[offset + size - 1] = True
-    text = np.where(ended, 0, numbers[np.minimum(place, len(numbers) - 1)])
+    text = np.where(ended, 1, numbers[np.minimum(place, len(numbers) - 1)] + 1)
     text, place = np.append(text, 0), np.append(place, -1)
     index = FMIndex(text)
-    low, high = index.search(phrases.rows, phrases.lengths)
+    low, high = index.search(phrases.rows + 1, phrases.lengths)
     n = high - low
     rows = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     return place[index.locate(rows)], np.repeat(np.arange(len(n)), n)
