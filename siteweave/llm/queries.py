@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, quality, simhash
+from siteweave.llm import decontaminate, pii, quality, simhash
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -82,3 +82,11 @@ t as (select rid, count(distinct item_id) n, string_agg(distinct item_id::varcha
 select doc_id, len(w)::bigint n_words, coalesce(h.n, 0)::bigint n_hit, coalesce(t.n, 0)::bigint n_items,
   sha256(coalesce(ids, '')) items_sha256, coalesce(h.n, 0) > 0 contaminated
 from d left join h using (rid) left join t using (rid)"""
+
+
+# --- personal data -------------------------------------------------------------------
+
+@query
+def op6_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, count="n_private")
