@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, pii, quality, simhash
+from siteweave.llm import decontaminate, packing, pii, quality, simhash
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -90,3 +90,10 @@ from d left join h using (rid) left join t using (rid)"""
 def op6_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymised(docs, count="n_private")
+
+
+# --- packing -------------------------------------------------------------------------
+
+@query
+def op9_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
