@@ -159,4 +159,6 @@ def keep_good(docs: DataFrame, rules=RULES, text: str = "text", key: str = "doc_
     row = "__row"
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
     named = packed.select(row, F.col(row)[key].alias("__key"), F.col(row)[text].alias("__body"))
-    return judge(measure(named, "__body", "__key", carry=(row,)), rules).where("kept").select(f"{row}.*")
+    # The partition number keeps the filter above the counts; pushed below them, it would repeat their expressions.
+    judged = judge(measure(named, "__body", "__key", carry=(row,)), rules).withColumn("__part", F.spark_partition_id())
+    return judged.where(F.col("kept") & (F.col("__part") >= 0)).select(f"{row}.*")
