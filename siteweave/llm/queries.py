@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, packing, pii, quality, simhash
+from siteweave.llm import decontaminate, packing, pii, quality, shards, simhash, urls
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -97,3 +97,41 @@ def op6_pii(spark, sf_dir):
 @query
 def op9_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+# --- URL filters ---------------------------------------------------------------------
+
+@query
+def op10_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return urls.judged(urls.dated_captures(pages), urls.dated_entries(pages))
+
+
+def _md5(x, start, size):
+    return f"(('0x' || substr(md5({x}), {start}, 4))::int % {size})"
+
+
+SQL["op10_url_filters"] = rf"""
+with rests as (select page_id, regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.\-]*://', ''), '[?#].*$', '') rest from pages),
+a as (select row_number() over () rid, page_id, {_md5('page_id::varchar', 1, 730)} as day,
+  nullif(lower(regexp_replace(regexp_replace(regexp_extract(rest, '^[^/]*'), '^.*@', ''), '\.?(:\d*)?$', '')), '') host,
+  regexp_extract(rest, '/.*$') path from rests),
+v as (select distinct 'spam' list_name, host as value from a where host is not null
+  union all select distinct 'malware', array_to_string(string_split(host, '.')[-2:], '.') from a where len(string_split(host, '.')) >= 2
+  union all select distinct 'parked', host || '/' || regexp_extract(path, '^/([^/]+)/', 1) from a where host is not null and regexp_extract(path, '^/([^/]+)/', 1) <> ''),
+n as (select list_name, value, {_md5("list_name || '|' || value", 1, 1200)} d1, {_md5("list_name || '|' || value", 5, 120)} x, {_md5("list_name || '|' || value", 9, 400)} y from v),
+i as (select list_name, value, d1 since, d1 + 1 + x as until from n union all select list_name, value, d1 + 1 + x + 30 + y, 2147483647 from n),
+c as (select rid, day, unnest(list_concat(
+    list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1), lambda k: array_to_string(string_split(host, '.')[k:], '.')),
+    list_transform(range(1, len(list_filter(string_split(path, '/'), lambda s: s <> '')) + 1),
+      lambda k: host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda s: s <> '')[1:k], '/')))) as value from a where host is not null),
+m as (select rid, string_agg(distinct list_name, ',' order by list_name) lists, count(distinct list_name) n
+  from c join i using (value) where since <= c.day and c.day < until group by rid)
+select page_id, host, a.day fetch_day, coalesce(n, 0)::bigint n_lists, coalesce(lists, '') lists, n is not null blocked from a left join m using (rid)"""
+
+
+# --- token shards --------------------------------------------------------------------
+
+@query
+def op3_token_shards(spark, sf_dir):
+    return shards.materialise(table(spark, sf_dir, "documents"))
