@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, packing, pii, quality, shards, simhash, urls
+from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, urls
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -135,3 +135,10 @@ select page_id, host, a.day fetch_day, coalesce(n, 0)::bigint n_lists, coalesce(
 @query
 def op3_token_shards(spark, sf_dir):
     return shards.materialise(table(spark, sf_dir, "documents"))
+
+
+# --- language-model scores -----------------------------------------------------------
+
+@query
+def op2_lm_scores(spark, sf_dir):
+    return lm.scores(table(spark, sf_dir, "documents"))
