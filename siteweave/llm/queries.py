@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, urls
+from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, suffixes, urls
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -142,3 +142,10 @@ def op3_token_shards(spark, sf_dir):
 @query
 def op2_lm_scores(spark, sf_dir):
     return lm.scores(table(spark, sf_dir, "documents"))
+
+
+# --- repeated passages ---------------------------------------------------------------
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
