@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, suffixes, urls
+from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, suffixes, urls, windows
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -149,3 +149,10 @@ def op2_lm_scores(spark, sf_dir):
 @query
 def op5_suffix_dedup(spark, sf_dir):
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+# --- near-duplicate passages ---------------------------------------------------------
+
+@query
+def op7_near_passages(spark, sf_dir):
+    return windows.near_passages(table(spark, sf_dir, "documents"))
