@@ -128,18 +128,19 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: tup
             )
         ).alias("__spots"),
     )
-    # A window covers three words, or as many as lie before the next repeated window.
+    # A window covers three words, or as many as lie before the next repeated window. The partition number keeps
+    # filters on the result above this projection; pushed below it, they would repeat all that it is made of.
     return placed.select(
         *keep,
         *counts,
-        F.coalesce(
+        F.when(F.spark_partition_id() >= 0, F.coalesce(
             F.aggregate(
                 F.transform(spots, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(spots, k + 1) - x, F.lit(3)))),
                 F.lit(0).cast("long"),
                 lambda a, x: a + x,
             ),
             F.lit(0).cast("long"),
-        ).alias("n_repeat_words"),
+        )).alias("n_repeat_words"),
     )
 
 
@@ -159,6 +160,4 @@ def keep_good(docs: DataFrame, rules=RULES, text: str = "text", key: str = "doc_
     row = "__row"
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
     named = packed.select(row, F.col(row)[key].alias("__key"), F.col(row)[text].alias("__body"))
-    # The partition number keeps the filter above the counts; pushed below them, it would repeat their expressions.
-    judged = judge(measure(named, "__body", "__key", carry=(row,)), rules).withColumn("__part", F.spark_partition_id())
-    return judged.where(F.col("kept") & (F.col("__part") >= 0)).select(f"{row}.*")
+    return judge(measure(named, "__body", "__key", carry=(row,)), rules).where("kept").select(f"{row}.*")
