@@ -272,7 +272,7 @@ def links(fps: DataFrame, tau: int = 3, parts: int = 4) -> DataFrame:
                 lo, n = low[cut:end], (high - low)[cut:end]
                 first = np.repeat(np.cumsum(n) - n, n)
                 left, right = np.repeat(pf[cut:end], n), known[np.repeat(lo, n) + np.arange(len(first)) - first]
-                d = np.bitwise_count(left ^ right).astype(np.int8)
+                d = np.bitwise_count((left ^ right).view(np.uint64)).astype(np.int8)  # of a signed number it would count the absolute value's
                 near = (d <= tau) & (left != right)
                 if near.any():
                     x, y, d = np.minimum(left[near], right[near]), np.maximum(left[near], right[near]), d[near]
