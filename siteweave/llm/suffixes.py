@@ -6,9 +6,11 @@ equal passages hold the same one. Suffixes are sorted by their first words; thos
 ``ANCHOR`` words occur once in the corpus leave before any text moves. The others are extended
 left and right: for each way to split the remaining words between the left and the right side
 the rows are sorted and equal neighbours compared, so a passage is found if and only if it
-occurs at two places. Equal texts are one unit, so copies cost nothing; an anchor with more
-than ``CROWD`` suffixes is resolved by counting its passages in a grouped aggregation instead of
-in one task, with the same result.
+occurs at two places. Equal texts are one unit, so copies cost nothing. One word said over and
+over would make every place a minimiser: inside such a run only its first place is kept, and a
+run of more than ``LENGTH`` words repeats itself. ``CROWD`` bounds what a task holds of one anchor;
+one with more suffixes is resolved by counting its passages in a grouped aggregation, with the
+same result.
 
 Words are compared by 64-bit hashes (32 bits for each word beside the anchor).
 
@@ -30,11 +32,25 @@ from siteweave.plans.store import written
 LENGTH = 50
 ANCHOR = 20
 SIDE = LENGTH - ANCHOR
-CROWD = 20_000
+CROWD = 200_000
+
+
+def kept_places(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the kept suffixes, (start, end) of runs of one word that repeat themselves)."""
+    same = grams[1:] == grams[:-1]
+    run = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    begin = run & ~np.concatenate([[False], same])
+    at = minimisers(np.where(run, np.uint64(2**64 - 1), grams), SIDE + 1)
+    at = at[~run[at] | begin[at]]
+    first = np.flatnonzero(begin)
+    end = np.flatnonzero(run & ~np.concatenate([same, [False]])) + ANCHOR
+    own = end - first > LENGTH
+    return at, np.stack([first[own], end[own]], axis=1)
 
 
 def _anchors(docs: DataFrame, key: str) -> DataFrame:
-    """A row (key, n_words, text hash, -1) for each document and (null, anchor hash, text hash, place) for each anchor."""
+    """A row (key, n_words, text hash, -1) for each document, (null, anchor hash, text hash, place) for each anchor and
+    (null, end, text hash, -2 - start) for each run of one word that repeats itself."""
 
     def run(batches):
         for b in batches:
@@ -45,10 +61,10 @@ def _anchors(docs: DataFrame, key: str) -> DataFrame:
                 sizes.append(len(words))
                 if len(words) >= LENGTH:
                     grams = gram_hashes(word_hashes(words), ANCHOR)
-                    at = minimisers(grams, SIDE + 1)
-                    anchors.append(grams[at].view(np.int64))
-                    owners.append(np.full(len(at), th))
-                    places.append(at.astype(np.int32))
+                    at, runs = kept_places(grams)
+                    anchors += [grams[at].view(np.int64), runs[:, 1]]
+                    owners.append(np.full(len(at) + len(runs), th))
+                    places += [at.astype(np.int32), (-2 - runs[:, 0]).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(ths), pa.array(np.full(len(ths), -1, dtype=np.int32))], names)
             if anchors:
                 a, o, p = map(np.concatenate, (anchors, owners, places))
@@ -162,7 +178,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """key, n_words, n_repeated_words, n_spans, spans ("start-end" by words, ;-joined): what occurs at two places or more."""
     base = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("__text"))
     rows = written(_anchors(base, key), "anchors")
-    each, anchors = rows.where("place < 0"), rows.where("place >= 0").select("anchor", "th", "place")
+    each, anchors = rows.where("place = -1"), rows.where("place >= 0").select("anchor", "th", "place")
     units = each.groupBy("th").agg(F.min(key).alias("rep"), F.count("*").alias("copies"), F.first("anchor").alias("n_words"))
     often = anchors.groupBy("anchor").agg(F.min("th").alias("a"), F.max("th").alias("b"), F.min("place").alias("c"), F.max("place").alias("d"), F.count("*").alias("n"))
     often = written(often.where("a <> b or c <> d").select("anchor", "n"), "often")
@@ -181,6 +197,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         all_ = written(suffixes.join(crowded, "anchor", "left_semi").select(suffixes.columns).mapInArrow(_counted, "name bigint, th bigint, start bigint"), "crowded")
         twice = all_.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
         near = near.union(all_.join(twice, "name").select("th", "start", (F.col("start") + LENGTH).alias("end")))
+    near = near.union(rows.where("place < -1").select("th", F.expr("cast(-2 - place as bigint)"), "anchor").distinct())
     spans = near.groupBy("th").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select("th", merged(F.col("spans")).alias("spans"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
     per_text = units.join(spans, "th", "left").select("th", F.when((F.col("copies") > 1) & (F.col("n_words") >= LENGTH), whole).otherwise(F.coalesce("spans", F.array().cast("array<struct<start: bigint, end: bigint>>"))).alias("spans"))
