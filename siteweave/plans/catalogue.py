@@ -72,15 +72,6 @@ def sites(spark, sf_dir):
     return select.select_canonical(members(spark, sf_dir))
 
 
-def decisions(spark, sf_dir):
-    """Overrides from the pairs themselves: every fifth pge key decides its pairs, plus keys that no longer exist."""
-    found = pairs.candidate_pairs(records(spark, sf_dir))
-    number = F.abs(F.crc32("key_a") + F.crc32("key_b")) % 10
-    some = found.where(number < 2).select(F.col("key_b").alias("a"), F.col("key_a").alias("b"), F.when(number == 0, "never").otherwise("always").alias("verdict"))
-    stale = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.lit("pge:gone-"), "n_name").alias("a"), F.lit("dhv:gone").alias("b"), F.lit("always").alias("verdict"))
-    return some.unionByName(stale)
-
-
 # --- records and pairs -----------------------------------------------------------------
 
 @query(_with(RECORDS) + """select provider, id, "key", name, role, lat, lon, wind, altitude, country, url, closed, notes, tow, approximate_location, gid group_ids from rec""")
@@ -143,7 +134,7 @@ def cluster_records(spark, sf_dir):
 @query()
 def cluster_with_overrides(spark, sf_dir):
     df = records(spark, sf_dir)
-    return resolve.cluster_records(df, pairs.candidate_pairs(df), decisions(spark, sf_dir))
+    return resolve.cluster_records(df, pairs.candidate_pairs(df), stated(spark, sf_dir))
 
 
 @query()
@@ -175,7 +166,7 @@ _KEYS = """dec as (select key_b a, key_a b, case (ascii(key_a) + length(key_a) +
 
 
 def stated(spark, sf_dir):
-    """As ``decisions``, by arithmetic that SQL repeats."""
+    """Overrides made from the pairs by arithmetic that SQL repeats, and some for keys that don't exist."""
     found = pairs.candidate_pairs(records(spark, sf_dir))
     n = F.expr("(ascii(key_a) + length(key_a) + length(key_b) * 3 + cast(distance_m * 10 as bigint)) % 5")
     some = found.where(n < 2).select(F.col("key_b").alias("a"), F.col("key_a").alias("b"), F.when(n == 0, "never").otherwise("always").alias("verdict"))
@@ -228,8 +219,8 @@ _IDS = """reg as (select "key", 'PSF-' || lpad((slot + 1)::varchar, 6, '0') cano
 want as (select role || ':' || slot cluster_id, n from rec join reg using ("key") group by all),
 low as (select role || ':' || slot cluster_id, min("key") low from rec group by 1),
 got as (select n, arg_min(cluster_id, low) cluster_id from want join low using (cluster_id) group by n),
-fresh as (select cluster_id, 5000000 - 1 + row_number() over (order by low) n from low where cluster_id not in (select cluster_id from got)),
-ids as (select cluster_id, 'PSF-' || lpad(n::varchar, greatest(6, length(n::varchar)), '0') canonical_id, false is_new from got union all select cluster_id, 'PSF-' || left(lpad(n::varchar, greatest(6, length(n::varchar)), '0'), 6), true from fresh)"""
+fresh as (select cluster_id, 500000 - 1 + row_number() over (order by low) n from low where cluster_id not in (select cluster_id from got)),
+ids as (select cluster_id, 'PSF-' || lpad(n::varchar, 6, '0') canonical_id, false is_new from got union all select cluster_id, 'PSF-' || lpad(n::varchar, 6, '0'), true from fresh)"""
 
 
 def old_registry(spark, sf_dir):
@@ -237,9 +228,6 @@ def old_registry(spark, sf_dir):
     return kept.select(F.col("rkey").alias("key"), F.concat(F.lit("PSF-"), F.lpad((F.col("slot") + 1).cast("string"), 6, "0")).alias("canonical_id"))
 
 
-_IDS = _IDS.replace("5000000", "500000").replace("'PSF-' || left(lpad(n::varchar, greatest(6, length(n::varchar)), '0'), 6)", "'PSF-' || lpad(n::varchar, 6, '0')").replace("lpad(n::varchar, greatest(6, length(n::varchar)), '0')", "lpad(n::varchar, 6, '0')")
-
-
 @query(_with(RECORDS, _IDS) + "select * from ids")
 def assign_ids(spark, sf_dir):
     return select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 500000)
