@@ -59,13 +59,13 @@ def permuted(x: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, length: int, tokenizer: str | None, key: str, text: str) -> DataFrame:
-    """part, nth, ids (packed), pieces: which documents' ids a sequence holds."""
+    """part, nth, ids, pieces: which documents' ids a sequence holds."""
     path = tokenizer or tokens.default_path()
     kind = docs.schema[key].dataType.simpleString()
     schema = f"part bigint, nth bigint, ids binary, pieces array<struct<id: {kind}, start: bigint, length: bigint, offset: bigint>>"
 
     def run(batches):
-        part, nth, codec = TaskContext.get().partitionId(), 0, pa.Codec("zstd")
+        part, nth = TaskContext.get().partitionId(), 0
         encode = tokens.encoder(path).ids
         held, size, pieces, out = [], 0, [], []
 
@@ -73,7 +73,7 @@ def sequences(docs: DataFrame, length: int, tokenizer: str | None, key: str, tex
             nonlocal held, size, pieces, nth
             row = np.full(length, END, dtype=WIDTH)
             row[:size] = np.concatenate(held)
-            out.append((part, nth, codec.compress(row.tobytes(), asbytes=True), pieces))
+            out.append((part, nth, row.tobytes(), pieces))
             held, size, pieces, nth = [], 0, [], nth + 1
 
         for b in batches:
@@ -124,9 +124,11 @@ def materialise(docs: DataFrame, out: str | None = None, seed: int = 1, length:
     piece = f"array<struct<id: {kind}, start: bigint, length: bigint, offset: bigint>>"
 
     def place(batches):
+        codec = pa.Codec("zstd", compression_level=3)  # only for the way to the shards; the table is compressed as a whole
         for b in batches:
             slot = permuted(b.column(0).to_numpy(), total, seed)
-            yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), b.column(1), b.column(2)], ["shard", "slot", "ids", "pieces"])
+            packed = pa.array([codec.compress(x.as_buffer(), asbytes=True) for x in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), packed, b.column(2)], ["shard", "slot", "ids", "pieces"])
 
     def write(batches):
         store, root = fs.FileSystem.from_uri(folder)
