@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siteweave.config import DEFAULT, DIRECTIONS, Config
 from siteweave.functions.geo import haversine_m
 from siteweave.functions.text import member_label, name_similarity, override_entry
-from siteweave.operators.pairs import nearest_counterparts
+from siteweave.operators.pairs import landing_launches, nearest_counterparts
 from siteweave.operators.resolve import override_status
 
 #: Upper ends of the distance bands, the first from 0.
@@ -114,6 +114,20 @@ def calibration_samples(records: DataFrame, source: str, countries: list[str], c
     return top.select("side", "key", "other", F.round("meters", 1).alias("distance_m"))
 
 
+def landing_gaps(records: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """provider, landings, median_m, p90_m, within: how far landings lie from the nearest of their own launches."""
+    tokens = records.select("key", "role", F.transform("group_ids", lambda g: F.concat("provider", F.lit(":"), g)).alias("tokens"))
+    two = _two(landing_launches(tokens).select(F.col("landing").alias("key_a"), F.col("launch").alias("key_b")), records, ["provider", "lat", "lon"])
+    meters = F.round(haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")), 1)
+    near = two.groupBy("key_a", F.col("provider_a").alias("provider")).agg(F.min(meters).alias("m"))
+    return near.groupBy("provider").agg(
+        F.count("*").alias("landings"),
+        F.percentile_approx("m", 0.5, 10_000).alias("median_m"),
+        F.percentile_approx("m", 0.9, 10_000).alias("p90_m"),
+        F.count_if(F.col("m") <= config.merge_m).alias("within"),
+    )
+
+
 def coverage_by_country(canonical: DataFrame, guide: str) -> DataFrame:
     """country, rows and wind percent without and with a guide, rows it added, rows it shares."""
     has, alone = F.map_contains_key("sources", F.lit(guide)), F.size("sources") == 1

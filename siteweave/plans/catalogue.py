@@ -96,6 +96,12 @@ def landing_launches(spark, sf_dir):
     return pairs.landing_launches(df.select("key", "role", F.transform("group_ids", lambda g: F.concat("provider", F.lit(":"), g)).alias("tokens")))
 
 
+@query(_with(RECORDS) + f"""select provider, count(*) landings, quantile_disc(m, 0.5) median_m, quantile_disc(m, 0.9) p90_m, count(*) filter (m <= 250) "within"
+from (select a."key", a.provider, min(round({_HAV.format(a="a.", b="b.")}, 1)) m from rec a join rec b on a.role = 'landing' and b.role = 'launch' and a.provider = b.provider and a.gid = b.gid group by all) group by provider""")
+def landing_gaps(spark, sf_dir):
+    return reports.landing_gaps(records(spark, sf_dir))
+
+
 _NEAREST = f"""mine as (select * from rec where role = 'launch' and country in ('DE','AT','CH') and provider = 'dhv'),
 others as (select * from rec where role = 'launch' and country in ('DE','AT','CH') and provider <> 'dhv'),
 hits as (select a."key" mk, b."key" other, {_HAV.format(a="a.", b="b.")} m from mine a join others b on abs(a.lat - b.lat) < 0.01 and abs(a.lon - b.lon) < 0.015),
