@@ -493,3 +493,41 @@ def labels(spark, sf_dir):
 def name_similarity(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/part.parquet")
     return df.select("p_partkey", text.name_similarity(F.col("p_name"), F.col("p_type")).alias("similarity"))
+
+
+# --- readers over documents written from the tables ---------------------------------------
+
+def _written_documents(df, path: str, key: str, item, name: str) -> None:
+    """JSON documents of up to 1000 items each, in the form the guides publish."""
+    grouped = df.withColumn("g", F.floor(F.col(key) / 1000)).groupBy("g").agg(F.collect_list(item).alias(name))
+    grouped.select("g", F.to_json(F.struct(name)).alias("value")).write.partitionBy("g").text(path)
+
+
+@query(_with(RECORDS) + """select "key", name, 'launch' as role, lat, lon, wind, altitude, country, 'https://x.example.org/' || id url, k % 7 = 0 tow from rec where provider = 'pge'""")
+def read_feature_points(spark, sf_dir):
+    df = derived.base(spark, sf_dir).where("provider = 'pge'")
+    grades = F.str_to_map(F.coalesce("grades", F.lit("")), F.lit(";"), F.lit(":"))
+    text_ = lambda c: F.col(c).cast("string")
+    properties = F.struct(
+        F.concat(F.lit(" "), "id").alias("pge_site_id"), "name", *[F.coalesce(grades[d], F.lit("0")).alias(d) for d in DIRECTIONS], text_("altitude").alias("takeoff_altitude"),
+        F.lower("country").alias("countryCode"), F.concat(F.lit("http://x.example.org/"), "id").alias("pge_link"), F.when(F.col("k") % 7 == 0, "1").otherwise("0").alias("winch"),
+    )
+    feature = F.struct(F.lit("f").alias("id"), F.struct(F.array("lon", "lat").alias("coordinates")).alias("geometry"), properties.alias("properties"))
+    path = new_path(spark, "features")
+    _written_documents(df, path, "k", feature, "features")
+    back = readers.read_feature_points(spark, path, geo.WORLD)
+    return back.select("key", "name", "role", "lat", "lon", wind_pairs(F.col("wind")).alias("wind"), "altitude", "country", "url", "tow")
+
+
+@query(_with(RECORDS) + """select 'ansg:' || gid || '-' || k as "key", name || ' - Launch ' || k as name, lat, lon, wind, (1000.0 + k % 100)::double altitude, closed, k % 3 = 0 approximate_location, gid group_ids from rec where provider = 'ansg'""")
+def read_nested_launches(spark, sf_dir):
+    df = derived.base(spark, sf_dir).where("provider = 'ansg'").withColumn("said", F.get(F.array(*map(F.lit, derived.PROSE)), F.col("prose")))
+    launch = F.struct(F.col("k").cast("string").alias("id"), F.concat(F.lit("Launch "), F.col("k").cast("string")).alias("name"), "lat", "lon", F.when(F.col("k") % 2 == 0, F.col("said")).alias("conditions"), F.when(F.col("k") % 2 == 0, F.col("closed")).alias("closed"))
+    site = F.struct(
+        F.col("gid").alias("id"), "name", F.when(F.col("k") % 2 == 1, F.col("said")).alias("conditions"), F.when(F.col("k") % 3 == 0, "Available to club members").alias("shortLocation"),
+        F.concat(F.lit("10ft / "), F.format_string("%,d", F.col("k") % 100 + 1000), F.lit("m ASL")).alias("height"), F.when(F.col("k") % 2 == 1, F.col("closed")).alias("closed"), F.array(launch).alias("launches"),
+    )
+    path = new_path(spark, "export")
+    _written_documents(df, path, "k", site, "sites")
+    back = readers.read_nested_launches(spark, path, geo.WORLD)
+    return back.select("key", "name", "lat", "lon", wind_pairs(F.col("wind")).alias("wind"), "altitude", "closed", "approximate_location", F.array_join("group_ids", ";").alias("group_ids"))
