@@ -326,6 +326,45 @@ def test_near_passages(docs, none):
     assert windows.near_passages(none).count() == 0
 
 
+def random_words(r, n):
+    return [f"w{x}" for x in r.integers(0, 10**9, n)]
+
+
+def test_one_variant_in_two_of_many_texts(spark):
+    r = np.random.default_rng(5)
+    rows, want = [], set()
+    for group in range(8):
+        passage = random_words(r, 60)
+        for i in range(20):
+            if i < 19:
+                variant = list(passage)
+                for j in r.choice(60, 8, replace=False):
+                    variant[j] = f"edit{r.integers(10**9)}"
+            if i >= 18:  # the last two hold the same one
+                want.add(group * 100 + i)
+            rows.append((group * 100 + i, " ".join(random_words(r, 40) + variant + random_words(r, 40))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {d.doc_id: d for d in windows.near_passages(docs).collect()}
+    assert all(got[i].n_near_words >= 60 for i in want)
+    cut = {d.doc_id: d.spans for d in windows.near_passages(docs, block=3).collect()}  # every two blocks meet
+    assert cut == {i: d.spans for i, d in got.items()}
+
+
+def test_verified_runs_against_all_pairs():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 2**32, 52).astype(np.uint32)
+    for texts in ((0, 0, 1, 2, 3, 4, 5), (0, 1, 1, 1, 2, 2, 2)):
+        rows = []
+        for _ in texts:
+            x = base.copy()
+            x[r.choice(52, 4, replace=False)] = r.integers(0, 2**32, 4)
+            rows.append(x)
+        th, zero = np.array(texts), np.zeros(len(texts), dtype=np.int64)
+        m, at, _ = windows.verified(zero, zero - 1, th, th, zero, [x.tobytes() for x in rows])
+        like = lambda i, j, s: len({*rows[i][s : s + 46]} & {*rows[j][s : s + 46]}) / len({*rows[i][s : s + 46]} | {*rows[j][s : s + 46]})
+        assert sorted(zip(m, at)) == [(i, s) for i in range(len(th)) for s in range(7) if any(th[i] != th[j] and like(i, j, s) >= 0.8 for j in range(len(th)))]
+
+
 # --- decontamination -------------------------------------------------------------------
 
 ITEMS = [(1, " ".join(ROWS[1][1].split()[5:30])), (2, "one"), (3, None), (4, "!!"), (5, ROWS[10][1]), (5, "meadow; RIDGE thermal"), (6, "absent words never seen here")]
