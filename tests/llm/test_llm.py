@@ -365,6 +365,18 @@ def test_verified_runs_against_all_pairs():
         assert sorted(zip(m, at)) == [(i, s) for i in range(len(th)) for s in range(7) if any(th[i] != th[j] and like(i, j, s) >= 0.8 for j in range(len(th)))]
 
 
+def test_passages_of_just_over_fifty_words(spark):
+    r = np.random.default_rng(7)
+    rows, size = [], {}
+    for g, n in enumerate([50, 51, 53, 55, 60] * 12):
+        passage = random_words(r, n)
+        for i in range(2):
+            rows.append((2 * g + i, " ".join(random_words(r, 70) + passage + random_words(r, 70))))
+            size[2 * g + i] = n
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert all(d.n_near_words >= size[d.doc_id] for d in windows.near_passages(docs).collect())
+
+
 # --- decontamination -------------------------------------------------------------------
 
 ITEMS = [(1, " ".join(ROWS[1][1].split()[5:30])), (2, "one"), (3, None), (4, "!!"), (5, ROWS[10][1]), (5, "meadow; RIDGE thermal"), (6, "absent words never seen here")]
