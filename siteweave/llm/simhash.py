@@ -335,12 +335,94 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(used > 0, ((a == b) & (a > 0)).sum(axis=1) / np.maximum(used, 1), 1.0)
 
 
+#: Pairs whose sketches a task compares at once.
+SKETCH_BLOCK = 1 << 14
+
+
+def _hits(fps: DataFrame, tau: int, parts: int) -> DataFrame:
+    """fps (fp), distinct -> (slot, fp, probe): index and probe rows with another print within tau bits in their bucket."""
+    groups = bit_groups(fps, parts)
+    counts = histogram(fps, groups)
+    rows = bucket_rows(fps, tau, groups, counts, expected(counts, groups))
+
+    def run(batches):
+        slot0, fp0 = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for b in batches:
+            slot, fp, probe = (c.to_numpy() for c in b.columns)
+            own = probe == 0
+            slots, known = np.concatenate([slot0, slot[own]]), np.concatenate([fp0, fp[own]])
+            for i, j, near in _near(slots, known, slot[~own], fp[~own], tau):
+                near &= known[j] != fp[~own][i]
+                for at, where, of, side in ((np.unique(j[near]), slots, known, 0), (np.unique(i[near]), slot[~own], fp[~own], 1)):
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([pa.array(where[at]), pa.array(of[at]), pa.array(np.full(len(at), side, dtype=np.int8))], ["slot", "fp", "probe"])
+            if len(slot):
+                last = slots == slot[-1]
+                slot0, fp0 = slots[last], known[last]
+
+    met = rows.repartition("slot").sortWithinPartitions("slot", "probe")
+    return met.mapInArrow(run, "slot bigint, fp bigint, probe tinyint").distinct()
+
+
+def _near(slots: np.ndarray, known: np.ndarray, ps: np.ndarray, pf: np.ndarray, tau: int):
+    """Blocks of (places of probes, places of index rows of the same slot, which are within tau bits)."""
+    low, high = np.searchsorted(slots, ps, "left"), np.searchsorted(slots, ps, "right")
+    total = np.cumsum(high - low)
+    cut = 0
+    while cut < len(ps):
+        end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + PAIR_BLOCK, "right")))
+        n = (high - low)[cut:end]
+        i = np.repeat(np.arange(cut, end), n)
+        j = np.repeat(low[cut:end], n) + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        yield i, j, np.bitwise_count((pf[i] ^ known[j]).view(np.uint64)) <= tau
+        cut = end
+
+
+def similar(nodes: DataFrame, bound: float, tau: int = 7, parts: int = 4) -> DataFrame:
+    """nodes (node, fp, sketch) -> (a, b): a spanning forest of all pairs within tau bits whose sketches agree in ``bound``
+    or more. Pairs are verified before the forest is taken, those of one fingerprint too."""
+    prints = written(nodes.groupBy("fp").agg(F.count("*").alias("many")), "prints")
+    hits = _hits(prints.select("fp"), tau, parts)
+    rows = hits.join(nodes, "fp").select("slot", "probe", "fp", "node", "sketch")
+    # the nodes of one fingerprint: an index row in one of its slots, a probe row in each
+    crowd = nodes.join(prints.where("many > 1"), "fp").withColumn("slots", F.ceil(F.col("many") / BUCKET_ROWS).cast("int"))
+    at = lambda i: F.lit(-1).cast("long") - F.shiftrightunsigned(F.xxhash64("fp", i), 1)
+    index = crowd.select(at(F.pmod(F.xxhash64("sketch"), F.col("slots")).cast("int")).alias("slot"), F.lit(0).cast("tinyint").alias("probe"), "fp", "node", "sketch")
+    probe = crowd.withColumn("i", F.explode(F.expr("sequence(0, slots - 1)"))).select(at(F.col("i")).alias("slot"), F.lit(1).cast("tinyint").alias("probe"), "fp", "node", "sketch")
+
+    def run(batches):
+        empty = np.zeros(0, dtype=np.int64)
+        slot0, fp0, node0, sketch0 = empty, empty, empty, np.zeros((0, SKETCH), dtype=np.uint8)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            slot, probe, fp, node = (b.column(i).to_numpy() for i in range(4))
+            sketch = np.frombuffer(b"".join(b.column(4).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+            own = probe == 0
+            slots, known, name, held = (np.concatenate(x) for x in ((slot0, slot[own]), (fp0, fp[own]), (node0, node[own]), (sketch0, sketch[own])))
+            asking, asked = node[~own], sketch[~own]
+            for i, j, near in _near(slots, known, slot[~own], fp[~own], tau):
+                near &= asking[i] != name[j]
+                i, j = i[near], j[near]
+                good = [k + np.flatnonzero(alike(asked[i[k : k + SKETCH_BLOCK]], held[j[k : k + SKETCH_BLOCK]]) >= bound) for k in range(0, len(i), SKETCH_BLOCK)]
+                if sum(map(len, good)):
+                    good = np.concatenate(good)
+                    x, y = asking[i[good]], name[j[good]]
+                    keep = spanning(x, y, np.zeros(len(x), dtype=np.int8))
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["a", "b"])
+            last = slots == slot[-1]
+            slot0, fp0, node0, sketch0 = slots[last], known[last], name[last], held[last]
+
+    met = rows.unionByName(index).unionByName(probe).repartition("slot").sortWithinPartitions("slot", "probe")
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
 def copies(docs: DataFrame, tau: int = 7, similarity: float = 0.8, shingle: int = 5, slack: float = 0.04, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, __th (hash of the text), keeper: a row for each document; True for the one that its group keeps.
 
     Texts are linked if their words' fingerprints differ in at most ``tau`` bits and their
     sketches agree in ``similarity - slack`` of the bins or more; equal texts always are.
-    Links are sought and verified between distinct fingerprints along a minimum spanning forest.
+    Every pair within ``tau`` bits is verified, also of texts with one fingerprint, before a spanning forest is taken.
     """
     kind = docs.schema[key].dataType.simpleString()
 
@@ -353,23 +435,10 @@ def copies(docs: DataFrame, tau: int = 7, similarity: float = 0.8, shingle: int
     hashed = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), text)
     prints = written(hashed.mapInArrow(run, f"`{key}` {kind}, th bigint, fp bigint, sketch binary"), "prints")
     texts = written(prints.groupBy("th").agg(F.min(key).alias("low"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "texts")
-    heads = texts.groupBy("fp").agg(F.min("th").alias("head"))
-    near = links(written(heads, "heads"), tau, 4)
-    head_a, head_b = (heads.select(F.col("fp").alias(c), F.col("head").alias(h)) for c, h in (("a", "ha"), ("b", "hb")))
-    between = near.join(head_a, "a").join(head_b, "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    # texts with one fingerprint: to its head, and to the first with the same sketch
-    within = texts.join(heads, "fp").select(F.col("th").alias("a"), F.col("head").alias("b"))
-    same = texts.groupBy("fp", "sketch").agg(F.min("th").alias("b"))
-    within = within.union(texts.join(same, ["fp", "sketch"]).select(F.col("th").alias("a"), "b")).where("a <> b")
-    sketch_a, sketch_b = (texts.select(F.col("th").alias(c), F.col("sketch").alias("s" + c)) for c in "ab")
-    both = between.union(within).distinct().join(sketch_a, "a").join(sketch_b, "b").select("a", "b", "sa", "sb")
-
-    def verify(batches):
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH) for c in b.columns[2:])
-            yield b.filter(pa.array(alike(x, y) >= similarity - slack)).select(["a", "b"])
-
-    roots = components(both.mapInArrow(verify, "a bigint, b bigint"))
+    # texts with one fingerprint and one sketch are linked to the first of them
+    nodes = written(texts.groupBy("fp", "sketch").agg(F.min("th").alias("node")), "nodes")
+    same = texts.join(nodes, ["fp", "sketch"]).select(F.col("th").alias("a"), F.col("node").alias("b")).where("a <> b")
+    roots = components(similar(nodes, similarity - slack, tau).union(same))
     member = texts.join(roots, texts.th == roots.node, "left").select("th", "low", F.coalesce("root", "th").alias("root"))
     best = member.groupBy("root").agg(F.min(F.struct("low", "th")).alias("best"))
     kept = member.join(best, "root").select("th", (F.struct("low", "th") == F.col("best")).alias("chosen"), F.col("best.low").alias("low"))

@@ -276,6 +276,34 @@ def test_one_of_each_group(docs, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_near_copies_among_texts_of_one_fingerprint(spark):
+    r, rows, gone = random.Random(8), [], set()
+    for group in range(6):
+        words = [f"g{group}w{i}" for i in range(300)]
+        for i in range(8):
+            if i < 7:
+                r.shuffle(words)  # the same words, other shingles
+            else:
+                words[100], words[101] = words[101], words[100]  # a near copy of the text before
+                gone.add(group * 10 + i)
+            rows.append((group * 10 + i, " ".join(words)))
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {d.doc_id for d in kept.collect()} == {i for i, _ in rows} - gone
+
+
+@pytest.mark.parametrize("rows", [8192, 2])
+def test_links_are_verified_before_the_forest(spark, monkeypatch, rows):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", rows)
+    like, other = bytes([1] * 256), bytes([2] * 256)
+    near = bytes([1] * 240 + [3] * 16)
+    nodes = [(1, 0, like), (2, 0b111111, near), (3, 0b111, other), (4, ((1 << 40) - 1) << 20, bytes([9] * 256)), (5, ((1 << 40) - 1) << 20, like), (6, ((1 << 40) - 1) << 20, near)]
+    nodes += [(10 + i, 1 << 20 | 1 << 50 | 0b11 << 30, bytes([20 + i] * 256)) for i in range(9)]
+    got = simhash.similar(spark.createDataFrame(nodes, "node bigint, fp bigint, sketch binary"), 0.8).collect()
+    pairs = {(min(g), max(g)) for g in got}
+    assert {(1, 2), (5, 6)} <= pairs and all(x < 10 and y < 10 for x, y in pairs)
+    assert not any({3, 4} & {*p} for p in pairs)
+
+
 # --- passages --------------------------------------------------------------------------
 
 def covered(text_words, often):
