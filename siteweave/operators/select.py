@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,12 +79,13 @@ def select_canonical(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return out.withColumn("ref", ref_for(F.col("sources"), config.precedence))
 
 
-def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "PSF-", max_rounds: int = 100) -> DataFrame:
+def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "PSF-", max_rounds: int | None = None) -> DataFrame:
     """clusters (cluster_id, key), registry (key, canonical_id) -> cluster_id, canonical_id, is_new.
 
     Clusters in the order of their smallest key take their lowest known id that no earlier one
     took. That is deferred acceptance: each proposes its lowest untried id, an id keeps the
-    earliest proposer, the others go on. Only contested ids need a second round.
+    earliest proposer, the others go on. Only contested ids need a second round; a chain of them
+    needs one for each cluster. Where ``max_rounds`` is given and not enough, an error is raised.
     """
     ranked = clusters.groupBy("cluster_id").agg(F.min("key").alias("low"))
     number = F.substring_index("canonical_id", "-", -1).cast("long")
@@ -92,7 +95,7 @@ def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: s
         taken = wanted.groupBy("cluster_id").agg(F.min("n").alias("n"))
     else:
         gone = written(wanted.select("cluster_id", "n").limit(0), "gone")
-        for _ in range(max_rounds):
+        for turn in count(1):
             left = wanted.join(gone, ["cluster_id", "n"], "left_anti")
             asks = left.groupBy("cluster_id", "low").agg(F.min("n").alias("n"))
             holder = asks.groupBy("n").agg(F.min("low").alias("held"))
@@ -101,6 +104,8 @@ def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: s
             taken = asks.select("cluster_id", "n")
             if refused.isEmpty():
                 break
+            if turn == max_rounds:
+                raise RuntimeError(f"ids are contested after {max_rounds} rounds")
             gone = more
     fresh = ranked.join(taken, "cluster_id", "left_anti")
     # numbers without one global window: sort by range, count each part, then number inside the parts

@@ -52,6 +52,16 @@ def test_ids(spark):
     assert split == {"y": "PSF-000001", "x": "PSF-000002"}
 
 
+def test_ids_of_a_chain_longer_than_the_rounds(spark):
+    cl = spark.createDataFrame([("c0", "k0")] + [(f"c{i}", f"k{i}{x}") for i in range(1, 6) for x in "ab"], "cluster_id string, key string")
+    known = [("k0", "PSF-000001")] + [(f"k{i}{x}", f"PSF-{i + (x == 'b'):06d}") for i in range(1, 6) for x in "ab"]
+    reg = spark.createDataFrame(known, "key string, canonical_id string")
+    got = {r.cluster_id: r.canonical_id for r in select.assign_ids(cl, reg, 50).collect()}
+    assert got == {f"c{i}": f"PSF-{i + 1:06d}" for i in range(6)}
+    with pytest.raises(RuntimeError):
+        select.assign_ids(cl, reg, 50, max_rounds=2)
+
+
 def test_ids_against_the_loop(spark):
     import random
 
