@@ -31,25 +31,28 @@ END = 0
 def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, start, length, ids_crc32, doc_tokens, and part, nth: the task and the count of that length so far in it."""
     path = tokenizer or tokens.default_path()
-    end = np.array([END], dtype="<u4").tobytes()
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
 
     def run(batches):
         part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, dtype=np.int64)
-        encode = tokens.encoder(path).ids
         for b in batches:
-            own, rows = b.column(0).to_pylist(), []
-            for i in range(0, len(own), 512):
-                for k, ids in zip(own[i : i + 512], encode(b.column(1)[i : i + 512].to_pylist())):
-                    ids += end
-                    n = len(ids) // 4
-                    for start in range(0, n, length):
-                        size = min(length, n - start)
-                        rows.append((k, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), n, part, int(seen[size])))
-                        seen[size] += 1
-            if rows:
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], b.schema.field(0).type), *[pa.array(c, pa.int64()) for c in columns[1:]]], names)
+            ids, n = tokens.with_end(*tokens.encoder(path).encode(b.column(1)), END)
+            first = np.cumsum(n) - n
+            times = -(-n // length)
+            doc = np.repeat(np.arange(len(n)), times)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times)) * length
+            size = np.minimum(length, n[doc] - start)
+            raw, at = memoryview(ids).cast("B"), 4 * (first[doc] + start)
+            crc = [zlib.crc32(raw[x : x + y]) for x, y in zip(at.tolist(), (4 * size).tolist())]
+            # the pieces of one length are counted on, in their order
+            order = np.argsort(size, kind="stable")
+            many = np.bincount(size, minlength=length + 1)
+            nth = np.empty(len(size), dtype=np.int64)
+            nth[order] = np.arange(len(size)) + (seen - (np.cumsum(many) - many))[size[order]]
+            seen += many
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(doc)), *[pa.array(c, pa.int64()) for c in (start, size, crc, n[doc], np.full(len(doc), part), nth)]], names
+            )
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{c} bigint" for c in names[1:]))
