@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.plans.store import written
+from siteweave.plans.store import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
     mark = None
     for _ in range(max_rounds):
-        now = written(_star(_star(now, True), False), "edges")
+        before, now = now, written(_star(_star(now, True), False), "edges")
+        discard(before)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
