@@ -8,7 +8,7 @@ vectors, and every ``SAMPLE``-th suffix position. All phrases are searched backw
 once, occurrences are located by walking to a sampled position, and the spans are merged.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text, one pass over the
-documents for each block, so what is sent to the tasks is bounded.
+documents for each block, so what the driver holds and sends to the tasks is bounded.
 
 Defined edge cases: null and wordless texts have no words and no hits; items without words
 are ignored; equal items and repeated item ids count as separate occurrences of their
@@ -18,13 +18,16 @@ may have any name; empty tables give empty results (no benchmark: nothing is hit
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siteweave.plans.store import written
+
 WINDOW = 10
 SAMPLE = 16
 SHARD_CHARS = 8 << 20
@@ -196,83 +199,102 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _pass(rows: DataFrame, items: list[tuple], window: int) -> DataFrame:
-    """rows (row, text, n_words, spans, items) with this block's hits added."""
+def _pass(rows: DataFrame, items: list[tuple], window: int, then: str | None = None) -> DataFrame:
+    """rows (__row, __text, __n_words, __spans, __items) with this block's hits added. ``then``: what becomes of the
+    text: "clean" takes the spans out of it, "drop" makes it null."""
     phrases = rows.sparkSession.sparkContext.broadcast(Phrases(items, window))  # at most BLOCK_BYTES of text
 
     def shard(batch):
         p = phrases.value
         get, sizes, numbers = p.vocabulary.get, [], []
-        for t in batch.column("__text").cast(pa.binary()):
+        texts = batch.column("__text").cast(pa.binary())
+        for t in texts:
             w = words_of(t.as_py())
             sizes.append(len(w))
-            numbers.append(np.fromiter((get(x, 0) for x in w), dtype=np.int64, count=len(w)))
+            numbers.append(np.fromiter((get(x, 0) for x in w), dtype=np.int32, count=len(w)))
         sizes = np.array(sizes, dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
-        spans, items = batch.column("__spans").to_pylist(), batch.column("__items").to_pylist()
+        new: dict[int, tuple[list, set]] = {}
         if len(p.lengths) and sizes.sum():
             place, which = shard_hits(np.concatenate(numbers), starts, p)
             doc = np.searchsorted(starts, place, "right") - 1
-            new: dict[int, tuple[list, set]] = {}
             for d, a, i in zip(doc.tolist(), (place - starts[doc]).tolist(), which.tolist()):
                 own = new.setdefault(d, ([], set()))
                 own[0].append((a, a + int(p.lengths[i])))
                 own[1].update(p.items[i])
+        columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        columns["__n_words"] = pa.array(sizes)
+        if new:
+            spans, items = columns["__spans"].to_pylist(), columns["__items"].to_pylist()
             for d, (found, names) in new.items():
                 old = [(x["start"], x["end"]) for x in spans[d]]
                 spans[d] = [{"start": a, "end": b} for a, b in merged(old + found)]
                 items[d] = sorted(names.union(items[d]))
-        at = {n: i for i, n in enumerate(batch.schema.names)}
-        columns = list(batch.columns)
-        columns[at["__n_words"]] = pa.array(sizes)
-        columns[at["__spans"]] = pa.array(spans, batch.schema.field("__spans").type)
-        columns[at["__items"]] = pa.array(items, batch.schema.field("__items").type)
-        return pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            columns["__spans"] = pa.array(spans, batch.schema.field("__spans").type)
+            columns["__items"] = pa.array(items, batch.schema.field("__items").type)
+        if then == "drop":
+            columns["__text"] = pa.nulls(batch.num_rows, pa.string())
+        if then == "clean" and pc.sum(columns["__spans"].value_lengths()).as_py():
+            spans = columns["__spans"].to_pylist()
+            kept = [without_spans(t.as_py(), [(x["start"], x["end"]) for x in own]) if own else t.as_py() for t, own in zip(texts, spans)]
+            columns["__text"] = pa.array(kept, pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     def run(batches):
         """Shards of about SHARD_CHARS, whatever the size of the batches."""
         waiting, size = [], 0
-        for b in batches:
-            waiting.append(b)
-            size += b.column("__text").nbytes
-            if size >= SHARD_CHARS:
-                yield from (shard(x) for x in pa.Table.from_batches(waiting).combine_chunks().to_batches())
-                waiting, size = [], 0
+        for whole in batches:
+            step = max(1, whole.num_rows * SHARD_CHARS // max(1, whole.column("__text").nbytes))
+            for i in range(0, whole.num_rows, step):
+                b = whole.slice(i, step)
+                waiting.append(b)
+                size += b.column("__text").nbytes
+                if size >= SHARD_CHARS:
+                    yield from (shard(x) for x in pa.Table.from_batches(waiting).combine_chunks().to_batches())
+                    waiting, size = [], 0
         if waiting:
             yield from (shard(x) for x in pa.Table.from_batches(waiting).combine_chunks().to_batches())
 
     return rows.mapInArrow(run, rows.schema)
 
 
-def blocks(benchmark: DataFrame, item: str, text: str) -> list[list[tuple]]:
-    """The stated phrases in blocks of at most BLOCK_BYTES."""
-    out, size = [[]], 0
+def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple]]:
+    """The stated phrases in blocks of at most BLOCK_BYTES (an item that is longer is a block), one after the other; one at least."""
+    block, size = [], 0
     rows = benchmark.select(F.col(item).alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null")
     for r in rows.toLocalIterator():
         if size and size + len(r.t) > BLOCK_BYTES:
-            out.append([])
-            size = 0
-        out[-1].append((r.i, bytes(r.t)))
+            yield block
+            block, size = [], 0
+        block.append((r.i, bytes(r.t)))
         size += len(r.t)
-    return out
+    yield block
+
 
+def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", item_text: str = "text", carry: list[str] | None = None, then: str | None = None) -> DataFrame:
+    """__row (struct of the carried columns), __text, __n_words, __spans of hit words [start, end), __items.
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", item_text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """__row (struct of the carried columns), __text, __n_words, __spans of hit words [start, end), __items."""
-    carry = docs.columns if carry is None else carry
+    The blocks of the benchmark are treated in turn: the driver and the tasks hold one at a time, and where
+    there are several the rows are written between them."""
+    carry = [c for c in docs.columns if c != text] if carry is None else carry
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row"),
+        F.struct(*([F.col(f"`{c}`") for c in carry] or [F.lit(0).alias("none")])).alias("__row"),
         F.col(f"`{text}`").alias("__text"),
         F.lit(0).cast("long").alias("__n_words"),
         F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("__spans"),
         F.expr("cast(array() as array<string>)").alias("__items"),
     )
-    return reduce(lambda df, block: _pass(df, block, window), blocks(benchmark, item, item_text), rows)
+    last = None
+    for block in blocks(benchmark, item, item_text):
+        if last is not None:
+            rows = written(_pass(rows, last, window), "hits")
+        last = block
+    return _pass(rows, last, window, then)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_words, n_hit, n_items, items_sha256, contaminated: a row for each document."""
-    found = hits(docs, benchmark, window, text, carry=[key])
+    found = hits(docs, benchmark, window, text, carry=[key], then="drop")
     n_hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.select(
         F.col("__row")[key].alias(key),
@@ -300,16 +322,5 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The documents with the hit passages taken out of their texts; other columns as they are."""
-    found = hits(docs, benchmark, window, text)
-
-    def run(batches):
-        for b in batches:
-            texts = [
-                without_spans(t.encode(), [(s["start"], s["end"]) for s in spans]).decode() if spans else t
-                for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["__row", "__text"])
-
-    schema = found.select("__row", "__text").schema
-    done = found.select("__row", "__text", "__spans").mapInArrow(run, schema)
-    return done.select(*[F.col("__text").alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns])
+    found = hits(docs, benchmark, window, text, then="clean")
+    return found.select(*[F.col("__text").alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns])

@@ -31,7 +31,7 @@ BITS = 64
 #: Index rows of a bucket that one task holds at once; a fuller bucket is split.
 BUCKET_ROWS = 8192
 #: Candidate pairs that a task verifies at once.
-PAIR_BLOCK = 1 << 20
+PAIR_BLOCK = 1 << 18
 #: What sending one probe row costs, in verified candidates.
 PROBE_COST = 8
 MAX_RADIUS = 2
@@ -418,7 +418,8 @@ def similar(nodes: DataFrame, bound: float, tau: int = 7, parts: int = 4) -> Dat
 
 
 def copies(docs: DataFrame, tau: int = 7, similarity: float = 0.8, shingle: int = 5, slack: float = 0.04, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, __th (hash of the text), keeper: a row for each document; True for the one that its group keeps.
+    """key, th (hash of the text), keeper: a row for each document; True for the one that its group keeps, which is
+    the one with the smallest key (null keys come last; of equal keys the one with the smallest th).
 
     Texts are linked if their words' fingerprints differ in at most ``tau`` bits and their
     sketches agree in ``similarity - slack`` of the bins or more; equal texts always are.
@@ -440,18 +441,21 @@ def copies(docs: DataFrame, tau: int = 7, similarity: float = 0.8, shingle: int
     same = texts.join(nodes, ["fp", "sketch"]).select(F.col("th").alias("a"), F.col("node").alias("b")).where("a <> b")
     roots = components(similar(nodes, similarity - slack, tau).union(same))
     member = texts.join(roots, texts.th == roots.node, "left").select("th", "low", F.coalesce("root", "th").alias("root"))
-    best = member.groupBy("root").agg(F.min(F.struct("low", "th")).alias("best"))
-    kept = member.join(best, "root").select("th", (F.struct("low", "th") == F.col("best")).alias("chosen"), F.col("best.low").alias("low"))
-    named = prints.select(key, "th").join(kept, "th")
-    return named.select(key, F.col("th").alias("__th"), (F.col("chosen") & (F.col(key) == F.col("low"))).alias("keeper"))
+    first = F.struct(F.col("low").isNull().alias("none"), "low", "th")
+    best = member.groupBy("root").agg(F.min(first).alias("best"))
+    kept = member.join(best, "root").select("th", (first == F.col("best")).alias("chosen"), F.col("best.low").alias("low"))
+    named = prints.select(F.col(key).alias("key"), "th").join(kept, "th")
+    return named.select(F.col("key").alias(key), "th", (F.col("chosen") & F.col("key").eqNullSafe(F.col("low"))).alias("keeper"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The documents, one of each group of near copies: the one with the smallest key. Of rows that repeat
-    that key and text one stays."""
-    marked = copies(docs, key=key, text=text, **how).where("keeper").groupBy(F.col(key).alias("__key"), "__th").agg(F.count("*").alias("__rows"))
-    marked = written(marked, "keepers")
-    th = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    found = docs.withColumn("__t", th).join(marked.hint("shuffle_hash"), (F.col(key) == F.col("__key")) & (F.col("__t") == F.col("__th")))
-    once = found.where("__rows = 1").select(docs.columns)
-    return once.unionByName(found.where("__rows > 1").dropDuplicates(["__key", "__th"]).select(docs.columns))
+    that key and text one stays. All columns are kept, whatever their names."""
+    own = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    marked = copies(own, key="key", text="text", **how).where("keeper").groupBy("key", "th").agg((F.count("*") > 1).alias("again"))
+    marked = written(marked, "keepers").select(F.col("key").alias("k"), F.col("th").alias("t"), "again")
+    th = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"), th.alias("th"))
+    found = rows.join(marked.hint("shuffle_hash"), (F.col("th") == F.col("t")) & F.col("key").eqNullSafe(F.col("k")))
+    one = found.where("again").dropDuplicates(["key", "th"])
+    return found.where("not again").select("row").union(one.select("row")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
