@@ -1,29 +1,35 @@
-"""Language-model scores by a weighted backoff automaton.
+"""Language-model scores by a weighted backoff automaton of order 3.
 
-Counts are global, the automaton is local: texts are numbered in shards of bounded size, each
-shard learns from the whole corpus what it needs (the counts of its own words and pairs, by
-joins) and builds the automaton of just the states and arcs its texts can reach. Nothing that
-grows with the corpus is broadcast or gathered.
+The model: states are histories (none, the start of a text, every word of the training texts, every
+pair of them in a row). A state has an arc for each word seen after it in training; all other words
+leave it by its failure arc, which goes to the history without its first word. With c for training
+counts and K = ``CONCENTRATION``:
 
-The model: a state for the empty history and one for every word that makes up ``min_share`` of the
-training tokens or more (and occurs ``min_word`` times; and one for the start of a text): there are
-1 / ``min_share`` states at most, at any size of the corpus. The empty history has an arc to each word with
-(c + 0.5) / (N + 0.5 (V + 1)), and one for all unseen words. A word's state has arcs for the
-pairs seen ``min_pair`` times or more, with absolute discounting interpolated with the empty
-history; everything else leaves by the failure arc with the remaining mass. So each state's
-probabilities sum to one. A text is read from left to right: the state is carried, failure
-arcs are followed until an arc fits, and log10 weights are added up.
+    P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))           (unseen words too)
+    P(w | v) = (c(v w) + K P(w)) / (c(v) + K)
+    P(w | u v) = (c(u v w) + K P(w | v)) / (c(u v) + K)
 
-Words and pairs meet by 64-bit hashes.
+So the failure arc of a state h weighs K / (c(h) + K), and each state's probabilities sum to one.
+Nothing is pruned: every n-gram of the training texts is in the model, at any size of the corpus.
+A text is walked from left to right: the state is carried, failure arcs are followed until an arc
+fits, and log10 weights are added up.
+
+Counts are global, the automaton is local. Texts are numbered in shards of bounded size. Each shard
+sends its distinct n-grams (64-bit hashes, sorted, with its own training counts) in parcels, one for
+each range of hashes; a range adds up all its parcels and answers each with the sums in the parcel's
+own order. A frequent n-gram is one number in a parcel, so no key is hot. Words and pairs go first; of
+the triples only those are sent whose both pairs are in other shards too, as all others are counted
+where they are. The texts' table is bucketed by shard, so answers come to the texts.
 
 Defined edge cases: a null or empty text is its end alone; documents of the held-out fold are
-only scored; with nothing to learn from, the base formula has N = V = 0 and all tokens are
-unseen; repeated rows count each time and are scored each time; other columns are not read.
+only scored, a document with a null key is trained on; with nothing to learn from, the base formula
+has N = V = 0 and all tokens are unseen; repeated rows count each time and are scored each time;
+other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from itertools import repeat
 
 import numpy as np
@@ -31,20 +37,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteweave.plans.store import new_path, written
+from siteweave.plans.store import discard, new_path, written
 
-#: Words of a shard, about.
-SHARD_TOKENS = 3_000_000
+#: Bytes of text of a shard, about (a longer text is a shard).
+SHARD_BYTES = 6 << 20
+#: Training and other tokens for each range of hashes, about.
+RANGE_TOKENS = 2_000_000
 FOLDS, HELD_OUT = 5, 1
-DISCOUNT = 0.75
-MIN_SHARE, MIN_WORD, MIN_PAIR = 2e-5, 2, 2
-#: Tokens of a lane: texts are cut into lanes that are read side by side, each after the token before it.
+CONCENTRATION = 8.0
+#: Tokens of a lane: texts are cut into lanes that are walked side by side.
 LANE = 512
 _START = -0x5DEECE66D  # the hash that stands for the start of a text
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+WORD, PAIR, TRIPLE = 0, 1, 2
 
 
 def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -55,18 +63,20 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     kept = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
     ends = kept[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
     coded = flat.filter(real).dictionary_encode()
-    numbers = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, ends[1:], 0)
+    numbers = np.insert(coded.indices.to_numpy().astype(np.int32) + 1, ends[1:], 0)
     return numbers, np.diff(ends) + 1, coded.dictionary
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Small numbers, byte by byte of equal rank, compressed."""
-    return pa.Codec("zstd").compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+    """Numbers, byte by byte of equal rank, compressed."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    return pa.Codec("zstd").compress(planes, asbytes=True)
 
 
-def unpack(packed: bytes, n: int) -> np.ndarray:
-    raw = np.frombuffer(pa.Codec("zstd").decompress(packed, 4 * n, asbytes=True), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, n).T).view("<i4").ravel().astype(np.int64)
+def unpack(packed: bytes, n: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.Codec("zstd").decompress(packed, size * n, asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, n).T).view(kind).ravel()
 
 
 def pair_keys(h: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -77,194 +87,250 @@ def pair_keys(h: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def _shards(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """kind 0: a row for each shard; kind 1: a row for each of its words (code 0, the hash of no word: the end)."""
+    """A row for each shard: its keys, folds and sizes, the numbers of its tokens and the hashes of its words, ascending."""
     kind = docs.schema[key].dataType.simpleString()
-    held = F.crc32(F.col(key).cast("string")) % FOLDS == HELD_OUT
-    schema = f"kind int, shard bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, code int, h bigint, n bigint"
+    held = F.coalesce(F.crc32(F.col(key).cast("string")) % FOLDS == HELD_OUT, F.lit(False))
+    schema = f"shard bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, n_words int, words binary, tokens bigint, trained bigint"
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def shard(number, rows):
+        table = pa.Table.from_batches(rows).combine_chunks()
+        numbers, sizes, words = encode(table.column(2).combine_chunks().cast(pa.large_string()))
+        held = table.column(1).combine_chunks().to_numpy(zero_copy_only=False)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_pylist(), repeat(42)), dtype=np.uint64, count=len(words))
+        order = np.argsort(hashes)
+        rank = np.zeros(len(order) + 1, dtype=np.int32)
+        rank[order + 1] = np.arange(1, len(order) + 1)
+        row = (number, table.column(0).to_pylist(), held.tolist(), sizes.tolist(), pack(rank[numbers]), len(order), pack(hashes[order]), len(numbers), int(sizes[~held].sum()))
+        types = (pa.int64(), pa.list_(table.schema.field(0).type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
+
     def run(batches):
-        part, serial = TaskContext.get().partitionId(), 0
-
-        def shard(rows):
-            table = pa.Table.from_batches(rows).combine_chunks()
-            numbers, sizes, words = encode(table.column(2).combine_chunks().cast(pa.large_string()))
-            held = np.array(table.column(1).to_pylist(), dtype=bool)
-            number = part << 24 | serial
-            counts = np.bincount(numbers[np.repeat(~held, sizes)], minlength=len(words) + 1)
-            one = lambda v, t: pa.array([v], t)
-            id_type = table.schema.field(0).type
-            nulls = lambda n, t: pa.nulls(n, t)
-            yield pa.RecordBatch.from_arrays(
-                [one(0, pa.int32()), one(number, pa.int64()), one(table.column(0).to_pylist(), pa.list_(id_type)), one(held.tolist(), pa.list_(pa.bool_())), one(sizes.tolist(), pa.list_(pa.int32())), one(pack(numbers), pa.binary()), nulls(1, pa.int32()), nulls(1, pa.int64()), nulls(1, pa.int64())],
-                names,
-            )
-            m = len(words) + 1
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, [b"", *words.cast(pa.large_binary()).to_pylist()], repeat(42)), dtype=np.uint64, count=m).view(np.int64)
-            for i in range(0, m, 100_000):
-                n = min(100_000, m - i)
-                codes = np.arange(i, i + n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(n, dtype=np.int32)), pa.array(np.full(n, number)), nulls(n, pa.list_(id_type)), nulls(n, pa.list_(pa.bool_())), nulls(n, pa.list_(pa.int32())), nulls(n, pa.binary()), pa.array(codes.astype(np.int32)), pa.array(hashes[i : i + n]), pa.array(counts[i : i + n])],
-                    names,
-                )
-
-        waiting, size = [], 0
-        for b in batches:
-            waiting.append(b)
-            size += b.column(2).nbytes // 6
-            if size >= SHARD_TOKENS:
-                yield from shard(waiting)
-                waiting, size, serial = [], 0, serial + 1
-        if sum(b.num_rows for b in waiting):
-            yield from shard(waiting)
+        number, waiting, size = TaskContext.get().partitionId() << 24, [], 0
+        for whole in batches:
+            step = max(1, whole.num_rows * SHARD_BYTES // (4 * max(1, whole.column(2).nbytes)))
+            for i in range(0, whole.num_rows, step):
+                waiting.append(whole.slice(i, step))
+                size += waiting[-1].column(2).nbytes
+                if size >= SHARD_BYTES:
+                    yield shard(number, waiting)
+                    number, waiting, size = number + 1, [], 0
+        if waiting:
+            yield shard(number, waiting)
 
     return docs.select(key, held.alias("held"), text).mapInArrow(run, schema)
 
 
-def _texts(shard: dict, state: np.ndarray, h: np.ndarray):
-    """(numbers, sizes, the token before each (-1: start), hashes of states by number, which numbers are states)."""
-    sizes = np.asarray(shard["sizes"], dtype=np.int64)
-    numbers = unpack(shard["codes"], int(sizes.sum()))
-    before = np.concatenate([[-1], numbers[:-1]])
-    before[np.cumsum(sizes) - sizes] = -1
-    name, known = np.zeros(int(numbers.max()) + 1, dtype=np.int64), np.zeros(int(numbers.max()) + 1, dtype=bool)
-    name[state], known[state] = h, True
-    return numbers, sizes, before, name, known
+class Shard:
+    """The distinct n-grams of a shard. Words by number (0 the end of a text), ``start`` the number of a text's start."""
+
+    def __init__(self, row: dict, triples: bool = True):
+        self.sizes = np.asarray(row["sizes"], dtype=np.int64)
+        self.held = np.asarray(row["held"], dtype=bool)
+        self.numbers = unpack(row["codes"], row["tokens"], "<i4").astype(np.int64)
+        self.start = row["n_words"] + 1
+        end = np.array([xxhash.xxh64_intdigest(b"", 42)], dtype=np.uint64)
+        word = np.concatenate([end.view(np.int64), unpack(row["words"], row["n_words"], "<i8"), [_START]])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        train = np.repeat(~self.held, self.sizes).astype(np.float64)
+        before = np.concatenate([[self.start], self.numbers[:-1]])
+        before[self.first] = self.start
+        pair, self.pair_at = np.unique(before * self.start + self.numbers, return_inverse=True)
+        self.history, self.label = pair // self.start, pair % self.start
+        names = [word[:-1], pair_keys(word[self.history], word[self.label])]
+        own = [np.bincount(self.numbers, train, self.start), np.bincount(self.pair_at, train, len(pair))]
+        if triples:
+            self.triple_at = np.full(len(self.numbers), -1)
+            later = np.ones(len(self.numbers), dtype=bool)
+            later[self.first] = False
+            at = np.flatnonzero(later)
+            triple, self.triple_at[at] = np.unique(self.pair_at[at - 1] * self.start + self.numbers[at], return_inverse=True)
+            self.prefix = triple // self.start
+            self.suffix = np.zeros(len(triple), dtype=np.int64)
+            self.suffix[self.triple_at[at]] = self.pair_at[at]
+            names.append(pair_keys(names[1][self.prefix], word[triple % self.start]))
+            own.append(np.bincount(self.triple_at[at], train[at], len(triple)))
+        self.names, self.own = [n.view(np.uint64) for n in names], [n.astype(np.int64) for n in own]
+
+    def parcels(self, kind: int, ranges: int, use: np.ndarray | None = None):
+        """(range, size, hashes, counts) of the n-grams of a kind (those in ``use``)."""
+        name, own = self.names[kind], self.own[kind]
+        if use is not None:
+            name, own = name[use], own[use]
+        order = np.argsort(name)
+        name, own = name[order], own[order]
+        cut = [0, *np.searchsorted(name, bounds(ranges)).tolist(), len(name)]
+        for r, (a, b) in enumerate(zip(cut, cut[1:])):
+            if b > a:
+                yield r, b - a, pack(name[a:b]), pack(own[a:b])
+
+    def answered(self, kind: int, parts: list[np.ndarray], use: np.ndarray | None = None) -> np.ndarray:
+        """Twice the global counts of the n-grams of a kind, and one more if other shards hold it too, from the answers in
+        the order of ranges; where not asked, an n-gram is in no other shard."""
+        out = 2 * self.own[kind]
+        at = np.arange(len(out)) if use is None else np.flatnonzero(use)
+        if len(at):
+            out[at[np.argsort(self.names[kind][at])]] = np.concatenate(parts)
+        return out
+
+    def asked(self, pairs: np.ndarray) -> np.ndarray:
+        """Which triples may be in other shards, given the answers for pairs."""
+        shared = pairs % 2 == 1
+        return shared[self.prefix] & shared[self.suffix]
 
 
-def pair_rows(shards: DataFrame, states: DataFrame) -> DataFrame:
-    """shard, pair, history, n (training count): distinct pairs of states (shard, code, h) in each shard."""
+def bounds(ranges: int) -> np.ndarray:
+    """Where the second and later ranges of hashes begin."""
+    return np.array([i * ((1 << 64) // ranges) for i in range(1, ranges)], dtype=np.uint64)
+
+
+_PARCEL = "kind int, span int, shard bigint, size int, hashes binary, counts binary"
+_ANSWER = "kind int, span int, shard bigint, size int, counts binary, distinct bigint"
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("shard", "pair", "history", "n")})
-        s = left.to_pylist()[0]
-        numbers, sizes, before, name, known = _texts(s, right.column("code").to_numpy(), right.column("h").to_numpy())
-        use = known[numbers] & ((before < 0) | known[before])
-        train = np.repeat(~np.array(s["held"], dtype=bool), sizes)[use]
-        both = (before[use] + 1) * len(name) + numbers[use]
-        pair, at = np.unique(both, return_inverse=True)
-        n = np.bincount(at, weights=train, minlength=len(pair)).astype(np.int64)
-        history = np.where(pair // len(name) == 0, np.int64(_START), name[pair // len(name) - 1])
-        return pa.table({"shard": np.full(len(pair), s["shard"]), "pair": pair_keys(history, name[pair % len(name)]), "history": history, "n": n})
 
-    return shards.groupBy("shard").cogroup(states.groupBy("shard")).applyInArrow(run, "shard bigint, pair bigint, history bigint, n bigint")
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [c.split() for c in schema.split(", ")]
+    types = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    return pa.table([pa.array([r[i] for r in rows], types[t]) for i, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
+
+
+def _added_up(group: pa.Table) -> pa.Table:
+    """The parcels of one kind and range -> their answers; ``distinct`` (in the first) counts n-grams seen in training."""
+    sizes = group.column("size").to_numpy().astype(np.int64)
+    both = [[unpack(p.as_py(), n, k) for p, n in zip(group.column(c), sizes.tolist())] for c, k in (("hashes", "<u8"), ("counts", "<i8"))]
+    name, own = map(np.concatenate, both)
+    order = np.argsort(name, kind="stable")
+    new = np.concatenate([[True], name[order][1:] != name[order][:-1]])
+    head = np.flatnonzero(new)
+    total = np.add.reduceat(own[order], head)
+    out = np.empty(len(name), dtype=np.int64)
+    out[order] = (2 * total + (np.diff(np.append(head, len(name))) > 1))[np.cumsum(new) - 1]
+    parts = np.split(out, np.cumsum(sizes)[:-1])
+    kind, span, shard = (group.column(c).to_pylist() for c in ("kind", "span", "shard"))
+    return _table([(k, r, s, len(p), pack(p), int((total > 0).sum()) if i == 0 else 0) for i, (k, r, s, p) in enumerate(zip(kind, span, shard, parts))], _ANSWER)
+
+
+def _answers(table: pa.Table, kind: int) -> list[np.ndarray]:
+    rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["span"])
+    return [unpack(r["counts"], r["size"], "<i8") for r in rows]
 
 
 class Automaton:
-    """States -1 (empty history), 0 (start of a text) and 1 + number of a word; arcs sorted by state and label."""
-
-    def __init__(self, size: int, root: np.ndarray, state: np.ndarray, label: np.ndarray, weight: np.ndarray, failure: np.ndarray, known: np.ndarray):
-        order = np.argsort(state * size + label)
-        self.size, self.root, self.failure, self.known = size, root, failure, known
-        self.arcs, self.weight = (state * size + label)[order], weight[order]
-
-    def step(self, state: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states and weights; a state without a fitting arc is left by its failure arc."""
-        total, at = np.zeros(len(state)), state
-        want = at * self.size + label
-        i = np.minimum(np.searchsorted(self.arcs, want), max(len(self.arcs) - 1, 0))
-        hit = (at >= 0) & (self.arcs[i] == want) if len(self.arcs) else np.zeros(len(at), dtype=bool)
-        fails = (at >= 0) & ~hit
-        total[fails] = self.failure[at[fails]]
-        total += np.where(hit, self.weight[i] if len(self.arcs) else 0.0, self.root[label])
-        return np.where(self.known[label], label + 1, -1), total
-
-    def score(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Log10 probability of each text. Lanes of LANE tokens are read left to right side by side; a
-        state depends on one token, so a lane takes its first state from the token before it."""
-        start = np.cumsum(sizes) - sizes
-        lanes = -(-sizes // LANE)
-        doc = np.repeat(np.arange(len(sizes)), lanes)
+    """States are histories of ORDER 0, 1 and 2: none, word numbers, pair numbers. An arc of order k is the
+    n-gram of k words and its label; it exists if training has seen it."""
+
+    def __init__(self, s: Shard, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, tokens: int, distinct: int):
+        k = CONCENTRATION
+        root = (words + 0.5) / (tokens + 0.5 * (distinct + 1))
+        of = np.append(words, words[0])  # a text starts as often as it ends
+        two = (pairs + k * root[s.label]) / (of[s.history] + k)
+        three = (triples + k * two[s.suffix]) / (pairs[s.prefix] + k)
+        self.root, self.weights = np.log10(root), (np.log10(root), np.log10(two), np.log10(three))
+        self.known = (words > 0, pairs > 0, triples > 0)
+        self.failure = (np.log10(k / (of + k)), np.log10(k / (pairs + k)))
+
+    def step(self, order, state, word, pair, triple):
+        """(order, state) after a word, and the weight: arcs of the state's order, else its failure arc and so on."""
+        total, done = np.zeros(len(order)), np.zeros(len(order), dtype=bool)
+        for level, arc in ((2, triple), (1, pair)):
+            here = np.flatnonzero(~done & (order == level))
+            hit = self.known[level][arc[here]]
+            total[here[hit]] += self.weights[level][arc[here[hit]]]
+            done[here[hit]] = True
+            lost = here[~hit]
+            total[lost] += self.failure[level - 1][state[lost]]
+            order, state = order.copy(), state.copy()
+            order[lost] -= 1
+            if level == 2:  # from a pair to its second word
+                state[lost] = self.second[state[lost]]
+        total[~done] += self.root[word[~done]]
+        longest = np.where(self.known[1][pair], 2, np.where(self.known[0][word], 1, 0))
+        return longest, np.where(longest == 2, pair, word), total
+
+    def score(self, s: Shard) -> np.ndarray:
+        """Log10 probability of each text. Lanes of LANE tokens are walked left to right side by side; a lane that
+        doesn't begin a text first walks the two tokens before it unscored, which bring it to the state of the whole walk."""
+        self.second = s.label
+        lanes = -(-s.sizes // LANE)
+        doc = np.repeat(np.arange(len(s.sizes)), lanes)
         turn = np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        at = start[doc] + turn * LANE
-        length = np.minimum(LANE, start[doc] + sizes[doc] - at)
-        last = numbers[np.maximum(at - 1, 0)]
-        state = np.where(turn == 0, 0, np.where(self.known[last], last + 1, -1))
-        order = np.argsort(-length, kind="stable")
-        at, length, state, total = at[order], length[order], state[order], np.zeros(len(doc))
+        at = s.first[doc] + turn * LANE
+        length = np.minimum(LANE, s.first[doc] + s.sizes[doc] - at)
+        order, state = np.where(turn == 0, 1, 0), np.where(turn == 0, s.start, 0)
+        by = np.argsort(-length, kind="stable")
+        at, length, order, state, fresh, total = at[by], length[by], order[by], state[by], (turn > 0)[by], np.zeros(len(doc))
+        for back in (2, 1):
+            on = np.flatnonzero(fresh)
+            i = at[on] - back
+            order[on], state[on], _ = self.step(order[on], state[on], s.numbers[i], s.pair_at[i], s.triple_at[i])
+            if back == 2:  # without what comes before it, a first word leads to itself
+                word = s.numbers[i]
+                order[on], state[on] = np.where(self.known[0][word], 1, 0), word
         live = len(doc)
         for t in range(int(length.max(initial=0))):
             live = int(np.searchsorted(-length[:live], -t, "left"))
-            state[:live], w = self.step(state[:live], numbers[at[:live] + t])
-            total[:live] += w
-        out = np.zeros(len(sizes))
-        np.add.at(out, doc[order], total)
+            i = at[:live] + t
+            order[:live], state[:live], weight = self.step(order[:live], state[:live], s.numbers[i], s.pair_at[i], s.triple_at[i])
+            total[:live] += weight
+        out = np.zeros(len(s.sizes))
+        np.add.at(out, doc[by], total)
         return out
 
 
-def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", min_share: float = MIN_SHARE, min_word: int = MIN_WORD, min_pair: int = MIN_PAIR) -> DataFrame:
+def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each document."""
     spark = docs.sparkSession
-    path = new_path(spark, "texts")
+    name = f"texts_{uuid.uuid4().hex}"
     made = _shards(docs, key, text)
-    made.write.partitionBy("kind").option("compression", "zstd").parquet(path)
-    table = spark.read.schema(made.schema).parquet(path)
-    shards = table.where("kind = 0").select("shard", "ids", "held", "sizes", "codes")
-    by_word = Window.partitionBy("h")
-    words = table.where("kind = 1").select(
-        "shard", "code", "h", "n", F.sum("n").over(by_word).alias("c"), (F.min("shard").over(by_word) == F.col("shard")).alias("first")
-    )
-    tokens = int(table.where("kind = 1").agg(F.sum("n")).first()[0] or 0)
-    limit = max(min_word, math.ceil(tokens * min_share))
-    state = F.col("c") >= limit
-    words = written(words.select("shard", "code", F.when(state, F.col("h")).otherwise(F.lit(0)).alias("h"), "c", F.when(F.col("first") & (F.col("c") > 0), 1).alias("new"), (F.col("c") != F.col("n")).alias("elsewhere")), "words")
-    distinct = int(words.agg(F.sum("new")).first()[0] or 0)
-    texts = int(table.where("kind = 1 and code = 0").agg(F.sum("n")).first()[0] or 0)
-
-    by_pair = Window.partitionBy("pair")
-    pairs = pair_rows(shards, words.where(state).select("shard", "code", "h"))
-    pairs = pairs.select("shard", "pair", "history", F.sum("n").over(by_pair).alias("c"), (F.min("shard").over(by_pair) == F.col("shard")).alias("first"))
-    pairs = written(pairs.where(F.col("c") >= min_pair).select("shard", "pair", "c", F.when(F.col("first"), F.col("history")).alias("history")), "pairs")
-    kept = pairs.where("history is not null").groupBy("history").agg(F.sum(F.col("c") - F.lit(DISCOUNT)).alias("kept"))
-    begin = kept.where(F.col("history") == _START).select("kept").first()  # one row
-    begin = float(begin[0]) if begin else 0.0
-    # a shard knows its own counts; it is told of words that occur elsewhere too, and of states
-    counts = words.where(F.col("elsewhere") & ~state).select("shard", F.lit(0).alias("what"), "code", F.lit(0).cast("long").alias("h"), "c", F.lit(0.0).alias("kept"))
-    own = words.where(state).join(kept, words.h == kept.history, "left").select("shard", F.lit(1).alias("what"), "code", "h", "c", F.coalesce("kept", F.lit(0.0)).alias("kept"))
-    found = pairs.select("shard", F.lit(2).alias("what"), F.lit(0).alias("code"), F.col("pair").alias("h"), "c", F.lit(0.0).alias("kept"))
-    facts = counts.unionByName(own).unionByName(found)
-    kind = docs.schema[key].dataType.simpleString()
-    names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    made.write.bucketBy(spread, "shard").option("path", new_path(spark, "texts")).option("compression", "uncompressed").saveAsTable(name)
+    texts = spark.table(name)
+    size = texts.agg(F.sum("tokens"), F.sum("trained")).first()  # one row
+    ranges, tokens = -(-(size[0] or 1) // RANGE_TOKENS), size[1] or 0
 
-    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    def ask(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                s = Shard(row, triples=False)
+                for kind in (WORD, PAIR):
+                    rows = [(kind, r, row["shard"], n, h, c) for r, n, h, c in s.parcels(kind, ranges)]
+                    yield from _table(rows, _PARCEL).to_batches()
+
+    def ask_triples(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        s = Shard(row)
+        use = s.asked(s.answered(PAIR, _answers(right, PAIR)))
+        return _table([(TRIPLE, r, row["shard"], n, h, c) for r, n, h, c in s.parcels(TRIPLE, ranges, use)], _PARCEL)
+
+    def answer(parcels: DataFrame) -> DataFrame:
+        return written(parcels.groupBy("kind", "span").applyInArrow(_added_up, _ANSWER), "answers")
+
+    counts = answer(texts.mapInArrow(ask, _PARCEL))
+    distinct = int(counts.where(F.col("kind") == WORD).agg(F.sum("distinct")).first()[0] or 0)
+    by_shard = texts.groupBy("shard")
+    triples = answer(by_shard.cogroup(counts.groupBy("shard")).applyInArrow(ask_triples, _PARCEL))
+
+    id_type = docs.schema[key].dataType.simpleString()
+    names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:  # never so: every shard has its texts
-            return pa.table([pa.array([], t) for t in (left.schema.field("ids").type.value_type, *types)], names=names)
-        s = left.to_pylist()[0]
-        what = right.column("what").to_numpy()
-        code, h, c, mass = (right.column(x).to_numpy() for x in ("code", "h", "c", "kept"))
-        w, p = what == 1, what == 2
-        numbers, sizes, before, name, known = _texts(s, code[w], h[w])
-        size = len(name)
-        count = np.bincount(numbers[np.repeat(~np.array(s["held"], dtype=bool), sizes)], minlength=size)
-        count[code[~p]] = c[~p]
-        root = np.log10((count + 0.5) / (tokens + 0.5 * (distinct + 1)))
-        taken = np.zeros(size + 1)
-        taken[0], taken[code[w] + 1] = begin, mass[w]
-        of = np.concatenate([[texts], count]).astype(float)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            failure = np.where(of > 0, np.log10((of - taken) / of), 0.0)
-        failure[1:][~known] = 0.0
-        # the arcs: pairs of this shard that the whole corpus has often enough
-        pair = np.unique((before + 1) * size + numbers)
-        pair = pair[known[pair % size] & ((pair < size) | known[pair // size - 1])]
-        history, label = pair // size, pair % size
-        keys = pair_keys(np.where(history == 0, np.int64(_START), name[history - 1]), name[label])
-        order = np.argsort(h[p])
-        sorted_, freq = h[p][order], c[p][order]
-        i = np.minimum(np.searchsorted(sorted_, keys), max(len(sorted_) - 1, 0))
-        hit = sorted_[i] == keys if len(sorted_) else np.zeros(len(keys), dtype=bool)
-        history, label, freq = history[hit], label[hit], freq[i[hit]] if len(sorted_) else np.zeros(0)
-        weight = np.log10((freq - DISCOUNT) / of[history] + 10.0 ** (failure[history] + root[label]))
-        machine = Automaton(size, root, history, label, weight, failure, known)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        base, seen = np.bincount(doc, weights=root[numbers], minlength=len(sizes)), np.bincount(doc, weights=count[numbers] > 0, minlength=len(sizes))
-        return pa.table(
-            [pa.array(s["ids"], left.schema.field("ids").type.value_type), pa.array(s["held"]), pa.array(sizes), pa.array(seen.astype(np.int64)), pa.array(np.full(len(sizes), tokens)), pa.array(base), pa.array(machine.score(numbers, sizes))],
-            names=names,
-        )
-
-    return shards.groupBy("shard").cogroup(facts.groupBy("shard")).applyInArrow(run, f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+        row = left.to_pylist()[0]
+        s = Shard(row)
+        words, pairs = (s.answered(kind, _answers(right, kind)) for kind in (WORD, PAIR))
+        of_triples = s.answered(TRIPLE, _answers(right, TRIPLE), s.asked(pairs))
+        words, pairs, of_triples = words // 2, pairs // 2, of_triples // 2
+        machine = Automaton(s, words, pairs, of_triples, tokens, distinct)
+        doc = np.repeat(np.arange(len(s.sizes)), s.sizes)
+        base = np.bincount(doc, machine.root[s.numbers], len(s.sizes))
+        seen = np.bincount(doc, words[s.numbers] > 0, len(s.sizes)).astype(np.int64)
+        columns = [pa.array(row["ids"], left.schema.field("ids").type.value_type), pa.array(s.held), pa.array(s.sizes), pa.array(seen), pa.array(np.full(len(s.sizes), tokens)), pa.array(base), pa.array(machine.score(s))]
+        return pa.table(columns, names=names)
+
+    both = counts.unionByName(triples)
+    found = by_shard.cogroup(both.groupBy("shard")).applyInArrow(run, f"`{key}` {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    out = written(found, "scores")
+    for table in (texts, counts, triples):
+        discard(table)
+    spark.sql(f"drop table {name}")
+    return out

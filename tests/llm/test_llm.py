@@ -89,41 +89,40 @@ def test_a_rule_of_ones_own(docs):
 
 # --- language-model scores -------------------------------------------------------------
 
-@pytest.mark.parametrize("min_word, lane", [(2, 512), (5, 7)])
-def test_lm(docs, none, monkeypatch, min_word, lane):
-    monkeypatch.setattr(lm, "LANE", lane)
-    got = lm.scores(docs, min_share=0.0, min_word=min_word).collect()
+@pytest.mark.parametrize("lane, shard, span", [(lm.LANE, lm.SHARD_BYTES, lm.RANGE_TOKENS), (7, 3000, 500)])
+def test_lm(docs, none, monkeypatch, lane, shard, span):
+    for n, v in (("LANE", lane), ("SHARD_BYTES", shard), ("RANGE_TOKENS", span)):
+        monkeypatch.setattr(lm, n, v)
+    got = lm.scores(docs).collect()
     toks = [(i, split(t) + [b""]) for i, t, *_ in ROWS]
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in toks}
-    c, pair, starts = Counter(), Counter(), 0
+    c = Counter()  # of n-grams; None is the start of a text
     for i, w in toks:
         if not held[i]:
-            c.update(w)
-            pair.update(zip([None, *w[:-1]], w))
-            starts += 1
-    n, v = sum(c.values()), len(c)
-    uni = lambda x: (c[x] + 0.5) / (n + 0.5 * (v + 1))
-    state = lambda x: x is None or c[x] >= min_word
-    arcs = {k: x for k, x in pair.items() if x >= 2 and all(map(state, k))}
-    mass = Counter()
-    for (a, _), x in arcs.items():
-        mass[a] += x - lm.DISCOUNT
+            for j in range(len(w)):
+                whole = [None, *w[: j + 1]]
+                for n in (1, 2, 3):
+                    if len(whole) >= n + (n == 1):
+                        c[tuple(whole[-n:])] += 1
+            c[(None,)] += 1
+    words = {g[0] for g in c if len(g) == 1} - {None}
+    n, v, k = sum(c[x,] for x in words), len(words), lm.CONCENTRATION
+
+    def p(w, *history):
+        if not history:
+            return (c[w,] + 0.5) / (n + 0.5 * (v + 1))
+        return (c[(*history, w)] + k * p(w, *history[1:])) / (c[history] + k)
+
     expected = defaultdict(list)
     for i, w in toks:
-        score, last = 0.0, None
-        for x in w:
-            of = starts if last is None else c[last]
-            p = uni(x) if not state(last) else max(arcs.get((last, x), lm.DISCOUNT) - lm.DISCOUNT, 0) / of + (of - mass[last]) / of * uni(x)
-            score, last = score + math.log10(p), x
-        expected[i].append((held[i], len(w), sum(c[x] > 0 for x in w), n, sum(math.log10(uni(x)) for x in w), score))
+        whole = [None, *w]
+        score = sum(math.log10(p(x, *whole[max(0, j - 1) : j + 1])) for j, x in enumerate(w))
+        expected[i].append((held[i], len(w), sum(c[x,] > 0 for x in w), n, sum(math.log10(p(x)) for x in w), score))
     assert len(got) == len(ROWS)
     for r in got:
         assert any(r[1:5] == e[:4] and r[5:] == pytest.approx(e[4:]) for e in expected[r.doc_id])
-    # each state's weights sum to one over the vocabulary and the unseen word
-    for h in (None, b"the", b"of"):
-        total = sum(max(arcs.get((h, x), lm.DISCOUNT) - lm.DISCOUNT, 0) / (starts if h is None else c[h]) for x in c)
-        of = starts if h is None else c[h]
-        assert total + (of - mass[h]) / of == pytest.approx(1)
+    for history in ((None,), (b"the",), (None, b"the"), (b"same", b"same")):  # a state's weights sum to one, with the unseen word
+        assert sum(p(x, *history) for x in [*words, b"never"]) == pytest.approx(1)
     assert lm.scores(none).count() == 0
 
 

@@ -33,6 +33,11 @@ def test_others_cover_the_table(spark, name):
     assert {r.doc_id for r in queries.QUERIES[name](spark, SF).select("doc_id").collect()} == docs
 
 
+def test_the_model_beats_single_words_on_held_out_texts(spark):
+    held = queries.op2_lm_scores(spark, "/root/testdata/sf0.01").where("held_out").groupBy().sum("score", "base_score").first()
+    assert held[0] > held[1]
+
+
 def test_pipeline(spark):
     raw = spark.read.parquet(f"{SF}/documents.parquet")
     docs, kept = raw, []
