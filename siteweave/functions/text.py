@@ -16,7 +16,9 @@ from pyspark.sql.types import DoubleType, StringType
 
 # Words that mark a landing in a name.
 LANDING_WORDS = ("landing", "atterrissage", "landeplatz")
-_FIGURE = r"(\d[\d,]*(?:\.\d+)?)\s*"
+# How heights are written, in metres and in feet.
+METRES = r"(?i)(\d[\d,]*(?:\.\d+)?)\s*m\b"
+FEET = r"(?i)(\d[\d,]*(?:\.\d+)?)\s*(?:ft|')"
 
 
 def clean_text(x: Column) -> Column:
@@ -36,8 +38,8 @@ def unsigned_decimal(x: Column) -> Column:
 def parse_height(x: Column) -> Column:
     """The first figure in metres, else the first in feet as metres (0.1), else null; numbers pass."""
     text = x.cast("string")
-    number = lambda unit: F.regexp_replace(F.regexp_extract(text, "(?i)" + _FIGURE + unit, 1), ",", "").try_cast("double")
-    return F.coalesce(number(r"m\b"), F.round(number(r"(?:ft|')") * 0.3048, 1), F.when(text.rlike(r"^-?\d+(\.\d+)?$"), text.try_cast("double")))
+    number = lambda pattern: F.regexp_replace(F.regexp_extract(text, pattern, 1), ",", "").try_cast("double")
+    return F.coalesce(number(METRES), F.round(number(FEET) * 0.3048, 1), F.when(text.rlike(r"^-?\d+(\.\d+)?$"), text.try_cast("double")))
 
 
 def ring_centroid(rings: Column) -> Column:

@@ -2,8 +2,9 @@
 
 Merge pairs are taken by ascending (rounded) distance, ties by keys. Two clusters join only if
 every pair across them lies within the merge distance or is forced. Decisions depend on one
-connected component only, so components are found first; small ones are decided in tasks, one
-group each, and ones with more than ``max_edges`` pairs in rounds of joins with equal results.
+connected component only: pairs whose ends have no other pair are clusters at once, components of
+the other pairs are decided in tasks, many in each, and components of more than ``max_edges`` pairs in
+rounds of joins with equal results. The clusters are a written table.
 """
 
 from __future__ import annotations
@@ -33,31 +34,58 @@ def apply_always(records: DataFrame, overrides: DataFrame) -> DataFrame:
     return forced.join(keys.withColumnRenamed("key", "key_a"), "key_a", "left_semi").join(keys.withColumnRenamed("key", "key_b"), "key_b", "left_semi").select("key_a", "key_b")
 
 
-def _greedy(pairs: pd.DataFrame, merge_m: float) -> pd.DataFrame:
-    """One component: rows (root, key_a, key_b, distance_m, band, forced) -> (key, cluster_id)."""
-    keys = sorted(set(pairs.key_a) | set(pairs.key_b))
-    cluster = {k: k for k in keys}
-    members = {k: [k] for k in keys}
-    allowed: dict[str, set[str]] = {k: set() for k in keys}
+def _greedy(rows: list[tuple], merge_m: float) -> list[tuple[str, str]]:
+    """One component: rows (key_a, key_b, distance_m, band, forced) -> (key, cluster_id)."""
+    cluster: dict[str, str] = {}
+    members: dict[str, list[str]] = {}
+    allowed: set[tuple[str, str]] = set()
+    for a, b, meters, _, forced in rows:
+        for k in (a, b):
+            cluster[k], members[k] = k, [k]
+        if forced or meters <= merge_m:
+            allowed |= {(a, b), (b, a)}
 
     def join(x, y):
         low, high = min(x, y), max(x, y)
-        members[low] += members.pop(high)
-        for k in members[low]:
+        for k in members[high]:
             cluster[k] = low
+        members[low] += members.pop(high)
 
-    for p in pairs.itertuples():
-        if p.forced or p.distance_m <= merge_m:
-            allowed[p.key_a].add(p.key_b)
-            allowed[p.key_b].add(p.key_a)
-    for p in pairs[pairs.forced].sort_values(["key_a", "key_b"]).itertuples():
-        if cluster[p.key_a] != cluster[p.key_b]:
-            join(cluster[p.key_a], cluster[p.key_b])
-    for p in pairs[pairs.band == "MERGE"].sort_values(["distance_m", "key_a", "key_b"]).itertuples():
-        x, y = cluster[p.key_a], cluster[p.key_b]
-        if x != y and all(b in allowed[a] for a in members[x] for b in members[y]):
+    for a, b, *_ in (r for r in rows if r[4]):
+        if cluster[a] != cluster[b]:
+            join(cluster[a], cluster[b])
+    for _, a, b in sorted((r[2], r[0], r[1]) for r in rows if r[3] == "MERGE"):
+        x, y = cluster[a], cluster[b]
+        if x != y and all((p, q) in allowed for p in members[x] for q in members[y]):
             join(x, y)
-    return pd.DataFrame({"key": keys, "cluster_id": [cluster[k] for k in keys]})
+    return list(cluster.items())
+
+
+def _components_at_once(inside: DataFrame, merge_m: float) -> DataFrame:
+    """inside (root, pair columns) -> (key, cluster_id): many components for each task and batch."""
+
+    def run(batches):
+        rest = None
+        for b in batches:
+            if rest is not None:
+                b = pd.concat([rest, b])
+            last = b["root"].iloc[-1] if len(b) else None
+            rest, done = b[b["root"] == last], b[b["root"] != last]
+            yield decided(done)
+        if rest is not None and len(rest):
+            yield decided(rest)
+
+    def decided(rows):
+        out, names = [], ["key_a", "key_b", "distance_m", "band", "forced"]
+        roots = rows["root"].to_numpy()
+        cut = [0, *(i for i in range(1, len(roots)) if roots[i] != roots[i - 1]), len(roots)]
+        flat = list(rows[names].itertuples(index=False, name=None))
+        for a, b in zip(cut, cut[1:]):
+            out += _greedy(flat[a:b], merge_m)
+        return pd.DataFrame(out, columns=["key", "cluster_id"])
+
+    tasks = int(inside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return inside.repartition(tasks, "root").sortWithinPartitions("root").mapInPandas(run, "key string, cluster_id string")
 
 
 def _in_rounds(pairs: DataFrame, merge_m: float, max_rounds: int = 1000) -> DataFrame:
@@ -100,17 +128,22 @@ def cluster_records(records: DataFrame, pairs: DataFrame, overrides: DataFrame |
         far = forced.select("key_a", "key_b", F.lit(float("inf")).alias("distance_m"), F.lit("FORCED").alias("band"), F.lit(True).alias("forced"))
         known = apply_never(pairs, overrides).select("key_a", "key_b", "distance_m", "band").withColumn("forced", F.lit(False)).unionByName(far)
     known = written(known, "pairs")
-    roots = components(known.where("band = 'MERGE' or forced").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+    edges = written(known.where("band = 'MERGE' or forced").select("key_a", "key_b").distinct(), "edges")
+    # a pair whose ends have no other pair is a cluster: it lies within the merge distance or is forced
+    ends = edges.select(F.explode(F.array("key_a", "key_b")).alias("key")).groupBy("key").agg((F.count("*") == 1).alias("leaf"))
+    leaf_a, leaf_b = (ends.select(F.col("key").alias(f"key_{s}"), F.col("leaf").alias(f"leaf_{s}")) for s in "ab")
+    marked = written(edges.join(leaf_a, "key_a").join(leaf_b, "key_b").withColumn("alone", F.expr("leaf_a and leaf_b")), "marked")
+    couples = marked.where("alone").select(F.explode(F.array("key_a", "key_b")).alias("key"), F.least("key_a", "key_b").alias("cluster_id"))
+    roots = components(marked.where("not alone").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
     node_a, node_b = (roots.select(F.col("node").alias(f"key_{s}"), F.col("root").alias(f"root_{s}")) for s in "ab")
     inside = written(known.join(node_a, "key_a").join(node_b, "key_b").where("root_a = root_b").withColumnRenamed("root_a", "root").drop("root_b"), "inside")
-    sizes = inside.groupBy("root").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > max_edges)
+    large = inside.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > max_edges)
     small = inside.join(large, "root", "left_anti")
     merge_m = config.merge_m
-    assigned = small.groupBy("root").applyInPandas(lambda p: _greedy(p, merge_m), "key string, cluster_id string")
+    assigned = couples.union(_components_at_once(small, merge_m))
     if not large.isEmpty():
         assigned = assigned.union(_in_rounds(inside.join(large, "root", "left_semi"), merge_m))
-    return records.select("key").join(assigned, "key", "left").select("key", F.coalesce("cluster_id", "key").alias("cluster_id"))
+    return written(records.select("key").join(assigned, "key", "left").select("key", F.coalesce("cluster_id", "key").alias("cluster_id")), "clusters")
 
 
 def review_items(pairs: DataFrame, clusters: DataFrame, overrides: DataFrame | None = None) -> DataFrame:

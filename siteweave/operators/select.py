@@ -79,7 +79,7 @@ def select_canonical(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return out.withColumn("ref", ref_for(F.col("sources"), config.precedence))
 
 
-def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "PSF-", max_rounds: int | None = None) -> DataFrame:
+def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "SITE-", max_rounds: int | None = None) -> DataFrame:
     """clusters (cluster_id, key), registry (key, canonical_id) -> cluster_id, canonical_id, is_new.
 
     Clusters in the order of their smallest key take their lowest known id that no earlier one
@@ -113,10 +113,20 @@ def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: s
     sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     base = sizes.withColumn("base", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     new = parts.join(base, "part").select("cluster_id", (F.col("base") + next_id - 1 + F.row_number().over(Window.partitionBy("part").orderBy("low"))).alias("n"))
-    label = lambda df, is_new: df.select("cluster_id", F.concat(F.lit(prefix), F.lpad(F.col("n").cast("string"), 6, "0")).alias("canonical_id"), F.lit(is_new).alias("is_new"))
+    label = lambda df, is_new: df.select("cluster_id", F.concat(F.lit(prefix), F.format_string("%06d", "n")).alias("canonical_id"), F.lit(is_new).alias("is_new"))
     return label(taken, False).unionByName(label(new, True))
 
 
+def source_pages(sites: DataFrame, guides: DataFrame) -> DataFrame:
+    """sites (ref, group), guides (name, site_url_template) -> ref, provider, page: each guide's page of its first id in the group."""
+    token = sites.select("ref", F.posexplode("group").alias("at", "token"))
+    first = token.select("ref", "at", F.split_part("token", F.lit(":"), F.lit(1)).alias("provider"), F.regexp_replace("token", "^[^:]*:", "").alias("id"))
+    own = first.groupBy("ref", "provider").agg(F.min_by("id", "at").alias("id"))
+    template = guides.select(F.col("name").alias("provider"), "site_url_template")
+    met = own.join(F.broadcast(template), "provider")  # a row for each guide
+    return met.select("ref", "provider", F.replace("site_url_template", F.lit("{id}"), F.col("id")).alias("page"))
+
+
 def save_registry(clusters: DataFrame, ids: DataFrame, registry: DataFrame) -> DataFrame:
     """key, canonical_id: old keys stay for ever, present ones get their cluster's id."""
     now = clusters.join(ids, "cluster_id").select("key", "canonical_id")

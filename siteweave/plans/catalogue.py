@@ -54,6 +54,20 @@ canon as (select cluster_id, arg_min(name, rnk) name, arg_min(lat, rnk) lat, arg
 site as (select canon.*, source, n_sources, pge, ansg, dhv, case when pge is not null then 'pge:' || pge when ansg is not null then 'ansg:' || ansg else 'dhv:' || dhv end ref from canon join srcs using (cluster_id))"""
 
 
+def similarity_sql(pairs: str) -> str:
+    """CTEs that end in sim (i, similarity) for the rows (i, a, b) of a query: the longest common subsequence is
+    counted on the bits of one number."""
+    return f"""ask as ({pairs}),
+tok as (select i, list_distinct(list_filter(regexp_split_to_array(a, '\\s+'), lambda t: t <> '')) x, list_distinct(list_filter(regexp_split_to_array(b, '\\s+'), lambda t: t <> '')) y from ask where a <> '' and b <> ''),
+prt as (select i, x, y, array_to_string(list_sort(list_filter(x, lambda t: list_contains(y, t))), ' ') s,
+  array_to_string(list_sort(list_filter(x, lambda t: not list_contains(y, t))), ' ') p, array_to_string(list_sort(list_filter(y, lambda t: not list_contains(x, t))), ' ') q from tok),
+msk as (select *, list_transform(string_split(p, ''), lambda c: coalesce(list_sum(list_transform(range(length(q)), lambda j: case when q[j + 1] = c then 1::hugeint << j::int else 0::hugeint end)), 0)::hugeint) m from prt),
+lcs as (select *, length(q) - bit_count(list_reduce(list_prepend((1::hugeint << length(q)::int) - 1, m), lambda v, w: (v + (v & w)) | (v - (v & w))) & ((1::hugeint << length(q)::int) - 1)) n from msk),
+len as (select *, length(s) ls, case when s = '' then 0 else 1 end g, length(p) lp, length(q) lq from lcs),
+sim as (select i, case when len(x) = 0 or len(y) = 0 then 0.0 when s <> '' and (p = '' or q = '') then 100.0 else greatest(100 - 100.0::double * (lp + lq - 2 * n) / (2 * ls + 2 * g + lp + lq),
+  case when s <> '' then 100 - 100.0::double * (g + lp) / (2 * ls + g + lp) end, case when s <> '' then 100 - 100.0::double * (g + lq) / (2 * ls + g + lq) end) end similarity from len)"""
+
+
 def _with(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
@@ -76,10 +90,26 @@ def sites(spark, sf_dir):
 
 @query(_with(RECORDS) + """select provider, id, "key", name, role, lat, lon, wind, altitude, country, url, closed, notes, tow, approximate_location, gid group_ids from rec""")
 def union_records(spark, sf_dir):
-    df = records(spark, sf_dir)
+    return _as_text(readers.union_records({g: (geo.WORLD, _guide(spark, sf_dir, g)) for g in DEFAULT.precedence}, geo.WORLD))
+
+
+def _as_text(df):
     return df.withColumn("wind", wind_pairs(F.col("wind"))).withColumn("group_ids", F.array_join("group_ids", ";"))
 
 
+def _guide(spark, sf_dir, name):
+    """A guide's reader: its records inside a box."""
+    return lambda box: records(spark, sf_dir).where(F.col("provider") == name).where(geo.in_bbox(F.col("lat"), F.col("lon"), box))
+
+
+@query(_with(RECORDS) + """select provider, id, "key", name, role, lat, lon, wind, altitude, country, url, closed, notes, tow, approximate_location, gid group_ids from rec
+where provider = 'pge' and lat between -60 and -29 and lon between 100 and 180 or provider = 'ansg' and lat between -45 and -29 and lon between 110 and 155""")
+def union_in_scope(spark, sf_dir):
+    """A guide whose extent misses the scope is skipped, the others are read inside it."""
+    extents = {"pge": geo.WORLD, "ansg": geo.Box(-45.0, 110.0, -10.0, 155.0), "dhv": geo.Box(45.0, 5.0, 55.0, 17.0)}
+    return _as_text(readers.union_records({g: (box, _guide(spark, sf_dir, g)) for g, box in extents.items()}, geo.Box(-60.0, 100.0, -29.0, 180.0)))
+
+
 @query(_with(RECORDS, _PAIRS) + "select * from pairs")
 def candidate_pairs(spark, sf_dir):
     return pairs.candidate_pairs(records(spark, sf_dir))
@@ -131,7 +161,34 @@ def calibration_samples(spark, sf_dir):
 
 # --- resolution --------------------------------------------------------------------------
 
-@query()
+def clusters_sql(decisions: bool) -> str:
+    """CTEs that end in clus (key, cluster_id); with decisions, those of dec count."""
+    never = "where not exists (select 1 from dec where verdict = 'never' and least(a, b) = key_a and greatest(a, b) = key_b)" if decisions else ""
+    forced = """union all select distinct least(a, b), greatest(a, b), null, 'FORCED', true from dec where verdict = 'always' and a in (select "key" from rec) and b in (select "key" from rec)""" if decisions else ""
+    return f"""known as (select key_a, key_b, distance_m, band, false forced from pairs {never} {forced}),
+edge as (select key_a x, key_b y from known where band <> 'REVIEW' union select key_b, key_a from known where band <> 'REVIEW'),
+reach as (select x, x r from edge union select edge.y, reach.r from reach join edge on edge.x = reach.x where edge.y > reach.r),
+top as (select x, min(r) r from reach group by x),
+deep as (select x, r from top union select edge.y, deep.r from deep join edge on edge.x = deep.x join top on top.x = edge.y where deep.r < top.r),
+root as (select x, min(r) r from deep group by x),
+inside as (select known.*, a.r from known join root a on a.x = key_a join root b on b.x = key_b and a.r = b.r),
+step as (select *, row_number() over (partition by r order by forced desc, distance_m, key_a, key_b) n from inside where band <> 'REVIEW'),
+may as (select r, list(key_a || ' ' || key_b) ok from inside where forced or distance_m <= 250 group by r),
+walk as (select r, 0::bigint n, list([x]) c from root group by r
+  union all select r, n, case when px <> py and len(list_filter(flatten(list_transform(px, lambda p: list_transform(py, lambda q: least(p, q) || ' ' || greatest(p, q)))), lambda z: list_contains(ok, z))) >= case when forced then 0 else len(px) * len(py) end
+    then list_append(list_filter(c, lambda z: z <> px and z <> py), px || py) else c end
+  from (select w.r, s.n, w.c, s.forced, m.ok, list_filter(w.c, lambda z: list_contains(z, s.key_a))[1] px, list_filter(w.c, lambda z: list_contains(z, s.key_b))[1] py
+    from walk w join step s on s.r = w.r and s.n = w.n + 1 join may m on m.r = w.r)),
+done as (select r, arg_max(c, n) c from walk group by r),
+put as (select unnest(g) pk, list_min(g) cluster_id from (select unnest(c) g from done)),
+clus as (select "key", coalesce(cluster_id, "key") cluster_id from rec left join put on pk = "key")"""
+
+
+def _recursive(*parts: str) -> str:
+    return _with(*parts).replace("with ", "with recursive ", 1)
+
+
+@query(_recursive(RECORDS, _PAIRS, clusters_sql(False)) + "select * from clus")
 def cluster_records(spark, sf_dir):
     df = records(spark, sf_dir)
     return resolve.cluster_records(df, pairs.candidate_pairs(df))
@@ -143,7 +200,11 @@ def cluster_with_overrides(spark, sf_dir):
     return resolve.cluster_records(df, pairs.candidate_pairs(df), stated(spark, sf_dir))
 
 
-@query()
+_MEM = "mem as (select *, role || ':' || slot cluster_id from rec)"
+
+
+@query(_recursive(RECORDS, _PAIRS, clusters_sql(False), _MEMBERS.replace(_MEM, "mem as (select rec.*, clus.cluster_id from rec join clus using (\"key\"))"), _CANON) + """
+select 'SITE-' || printf('%06d', row_number() over (order by cluster_id)) canonical_id, ref, name, role, lat, lon, "primary", country, wind, source from site""")
 def canonical_catalogue(spark, sf_dir):
     """The whole way: pairs, clusters, selection, ids."""
     df = records(spark, sf_dir)
@@ -190,6 +251,8 @@ def apply_always(spark, sf_dir):
     return resolve.apply_always(records(spark, sf_dir), stated(spark, sf_dir))
 
 
+SQL["cluster_with_overrides"] = _recursive(RECORDS, _PAIRS, _KEYS, clusters_sql(True)) + "select * from clus"
+
 _STATUS = """st as (select a, b, verdict, case when a in (select "key" from rec) and b in (select "key" from rec) then 'yes' else 'stale' end status from dec)"""
 
 
@@ -221,28 +284,28 @@ def select_canonical(spark, sf_dir):
     return s.select("cluster_id", "ref", "name", "lat", "lon", "role", "url", "primary", wind_pairs(F.col("wind")).alias("wind"), "altitude", "notes", "closed", "tow", F.array_join("group", ";").alias("site_group"), "country", text.encode_tokens(F.col("sources")).alias("source"))
 
 
-_IDS = """reg as (select "key", 'PSF-' || lpad((slot + 1)::varchar, 6, '0') canonical_id, slot + 1 n from rec where k % 97 <> 0 and (slot % 7 <> 3)),
+_IDS = """reg as (select "key", 'SITE-' || printf('%06d', slot + 1) canonical_id, slot + 1 n from rec where k % 97 <> 0 and (slot % 7 <> 3)),
 want as (select role || ':' || slot cluster_id, n from rec join reg using ("key") group by all),
 low as (select role || ':' || slot cluster_id, min("key") low from rec group by 1),
 got as (select n, arg_min(cluster_id, low) cluster_id from want join low using (cluster_id) group by n),
-fresh as (select cluster_id, 500000 - 1 + row_number() over (order by low) n from low where cluster_id not in (select cluster_id from got)),
-ids as (select cluster_id, 'PSF-' || lpad(n::varchar, 6, '0') canonical_id, false is_new from got union all select cluster_id, 'PSF-' || lpad(n::varchar, 6, '0'), true from fresh)"""
+fresh as (select cluster_id, 999990 - 1 + row_number() over (order by low) n from low where cluster_id not in (select cluster_id from got)),
+ids as (select cluster_id, 'SITE-' || printf('%06d', n) canonical_id, false is_new from got union all select cluster_id, 'SITE-' || printf('%06d', n), true from fresh)"""
 
 
 def old_registry(spark, sf_dir):
     kept = derived.base(spark, sf_dir).where("k % 97 <> 0 and slot % 7 <> 3")
-    return kept.select(F.col("rkey").alias("key"), F.concat(F.lit("PSF-"), F.lpad((F.col("slot") + 1).cast("string"), 6, "0")).alias("canonical_id"))
+    return kept.select(F.col("rkey").alias("key"), F.concat(F.lit("SITE-"), F.format_string("%06d", F.col("slot") + 1)).alias("canonical_id"))
 
 
 @query(_with(RECORDS, _IDS) + "select * from ids")
 def assign_ids(spark, sf_dir):
-    return select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 500000)
+    return select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 999990)
 
 
 @query(_with(RECORDS, _IDS) + """select "key", canonical_id from rec join ids on ids.cluster_id = role || ':' || slot""")
 def save_registry(spark, sf_dir):
     clusters, old = derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir)
-    return select.save_registry(clusters, select.assign_ids(clusters, old, 500000), old)
+    return select.save_registry(clusters, select.assign_ids(clusters, old, 999990), old)
 
 
 # --- gates and reports -------------------------------------------------------------------
@@ -326,18 +389,35 @@ def output_health(spark, sf_dir):
     return gates.output_health(published(spark, sf_dir, False), published(spark, sf_dir, True))
 
 
-@query()
+_LABEL = """'**' || {0}.provider || '** [' || replace({0}.name, '|', '\\|') || '](' || {0}.url || ')'"""
+_MERGED = f"""duo as (select a.cluster_id, a."key" ka, b."key" kb, a.name na, b.name nb, {_HAV.format(a="a.", b="b.")} m from mem a join mem b on a.cluster_id = b.cluster_id and a."key" < b."key")"""
+
+
+@query(_with(RECORDS, _MEMBERS, _MERGED, similarity_sql("select ka || ' ' || kb i, na a, nb b from duo"), f"""w as (select cluster_id, max(m) m, arg_max(ka, struct_pack(m := m, a := ka, b := kb)) ka, arg_max(kb, struct_pack(m := m, a := ka, b := kb)) kb, min(similarity) s
+  from duo left join sim on sim.i = ka || ' ' || kb group by 1),
+names as (select cluster_id, string_agg({_LABEL.format("mem")}, ' · ' order by provider, "key") members from mem group by 1)""") + """
+select cluster_id, coalesce(cluster_country, '??') country, members, round(m, 1) spread_m, round(s) similarity, '{"a": "' || ka || '", "b": "' || kb || '", "verdict": "never", "reason": ""}' override
+from w join names using (cluster_id) join cc using (cluster_id)""")
 def merged_report(spark, sf_dir):
     rows = members(spark, sf_dir)
     return reports.merged_report(records(spark, sf_dir), derived.slot_clusters(spark, sf_dir), select.cluster_country(rows))
 
 
-@query()
+@query(_with(RECORDS, _PAIRS, _SIZES, """itm as (select key_a, key_b, distance_m, case when band = 'REVIEW' then 'beyond merge threshold' when ma or mb then 'counterpart already merged' else 'would over-merge the cluster' end reason from j where ca <> cb and not (ma and mb)),
+both_ as (select itm.*, a.name na, b.name nb, a.provider pa, b.provider pb, """ + _LABEL.format("a") + " la, " + _LABEL.format("b") + """ lb from itm join rec a on a."key" = key_a join rec b on b."key" = key_b)""",
+similarity_sql("select key_a || ' ' || key_b i, na a, nb b from both_")) + """
+select case when pa <= pb then la else lb end "first", case when pa <= pb then lb else la end "second", distance_m, round(similarity) similarity, reason,
+  '{"a": "' || key_a || '", "b": "' || key_b || '", "verdict": "always", "reason": ""}' override from both_ left join sim on sim.i = key_a || ' ' || key_b""")
 def review_report(spark, sf_dir):
     return reports.review_report(review_items(spark, sf_dir), records(spark, sf_dir))
 
 
-@query()
+_POINTS = "array_to_string(list_transform(list_filter(string_split({0}, ';'), lambda x: x <> ''), lambda x: string_split(x, ':')[1]), ',')"
+
+
+@query(_with(RECORDS, _PAIRS, "dup as (select pa provider, key_a, key_b, round(m, 1) distance_m, a.name na, b.name nb, a.wind wa, b.wind wb from near join rec a on a.\"key\" = key_a join rec b on b.\"key\" = key_b where pa = pb and ia < ib and ga <> gb and m <= 250)",
+similarity_sql("select key_a || ' ' || key_b i, na a, nb b from dup")) + f"""
+select provider, key_a, key_b, distance_m, round(similarity) similarity, {_POINTS.format("wa")} wind_a, {_POINTS.format("wb")} wind_b from dup left join sim on sim.i = key_a || ' ' || key_b""")
 def duplicates_report(spark, sf_dir):
     df = records(spark, sf_dir)
     return reports.duplicates_report(pairs.same_source_pairs(df), df)
@@ -376,12 +456,12 @@ def catalogue_checks(spark, sf_dir):
 
 def _numbered(spark, sf_dir):
     """Sites with an id from their first key's order-free number."""
-    ids = select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 500000).select("cluster_id", F.col("canonical_id").alias("id"))
+    ids = select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 999990).select("cluster_id", F.col("canonical_id").alias("id"))
     return sites(spark, sf_dir).join(ids, "cluster_id")
 
 
 _WINDS = ", ".join(f"coalesce(nullif(regexp_extract(wind, '(^|;){d}:(\\d)', 2), ''), '0') wind_{d.lower()}" for d in DIRECTIONS)
-_FLAT = f"""flat as (select substr(canonical_id, 5)::int::varchar id, ref, name, printf('%.6f', lon) longitude, printf('%.6f', lat) latitude, coalesce(altitude::int::varchar, '') altitude,
+_FLAT = f"""flat as (select substr(canonical_id, 6)::int::varchar id, ref, name, printf('%.6f', lon) longitude, printf('%.6f', lat) latitude, coalesce(altitude::int::varchar, '') altitude,
   lower(coalesce(country, '')) country, {_WINDS}, source, coalesce(closed, '') closed, role site_type, case when tow then '1' else '0' end tow, site_group, "primary" from site join ids using (cluster_id))"""
 
 
@@ -453,7 +533,7 @@ def text_numbers(spark, sf_dir):
     """unsigned_decimal, numeric_id, normalise_newlines"""
     df = spark.read.parquet(f"{sf_dir}/customer.parquet")
     plain = F.format_string("%.2f", "c_acctbal")
-    return df.select("c_custkey", text.unsigned_decimal(plain).alias("amount"), text.numeric_id(F.format_string("PSF-%06d", "c_custkey")).alias("n"), text.normalise_newlines(F.concat(F.lit("a\r\n"), "c_name", F.lit("\r"))).alias("name"))
+    return df.select("c_custkey", text.unsigned_decimal(plain).alias("amount"), text.numeric_id(F.format_string("SITE-%06d", "c_custkey")).alias("n"), text.normalise_newlines(F.concat(F.lit("a\r\n"), "c_name", F.lit("\r"))).alias("name"))
 
 
 @query("""select s_suppkey, case s_suppkey % 4 when 0 then 'NNE-SSE' when 1 then 'NE, Ostwind' when 2 then 'ENE-ESE' else 'E' end said, s_suppkey % 3 = 0 approximate from supplier""")
@@ -489,7 +569,7 @@ def labels(spark, sf_dir):
     return df.select("key", text.member_label(F.col("provider"), F.col("name"), F.col("url")).alias("label"), text.override_entry(F.col("key"), F.col("id"), "never").alias("entry"), geo.in_bbox(F.col("lat"), F.col("lon"), box).alias("inside"))
 
 
-@query()
+@query("with " + similarity_sql("select p_partkey i, p_name a, p_type b from part") + " select p_partkey, similarity from part left join sim on i = p_partkey")
 def name_similarity(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/part.parquet")
     return df.select("p_partkey", text.name_similarity(F.col("p_name"), F.col("p_type")).alias("similarity"))

@@ -35,7 +35,10 @@ _EXPORT = (
     "mapShapeIds: array<bigint>, launches: array<struct<id: string, name: string, lat: double, lon: double, conditions: string, closed: string>>>>, "
     "mapShapes array<struct<id: bigint, name: string, category: struct<name: string>, coordinatesList: array<string>>>"
 )
-_PLACEMARK = "name string, description string, styleUrl string, Point struct<coordinates: string>"
+_LINE, _AREA = "struct<coordinates: string>", "struct<outerBoundaryIs: struct<LinearRing: struct<coordinates: string>>>"
+_SHAPES = {"Point": _LINE, "LineString": _LINE, "LinearRing": _LINE, "Polygon": _AREA}
+_PLACEMARK = "name string, description string, styleUrl string, " + ", ".join(f"{n} {t}" for n, t in _SHAPES.items())
+_PLACEMARK += ", MultiGeometry struct<" + ", ".join(f"{n}: {t}" for n, t in _SHAPES.items()) + ">"
 
 # Placemark styles and what they mean (role, tow).
 KML_STYLES = {"dhv_startplatz": ("launch", False), "dhv_schlepp": ("launch", True), "dhv_landeplatz": ("landing", False)}
@@ -154,15 +157,19 @@ def read_polygon_landings(spark: SparkSession, path: str, box: Box, provider: st
 
 
 def read_kml_areas(spark: SparkSession, path: str, country: str, box: Box, provider: str = "dhv", template: str = "https://example.org/details?item={id}") -> DataFrame:
-    """KML placemarks; style, item number, wind and height come from their text."""
+    """KML placemarks; style, item number, wind and height come from their text. The place is the first
+    position of a point, else of a line, a ring or an area, also inside a MultiGeometry."""
     rows = spark.read.format("xml").option("rowTag", "Placemark").schema(_PLACEMARK).load(path)
     style = F.regexp_replace(F.coalesce("styleUrl", F.lit("")), "^#+", "")
     role, tow = F.lit(None).cast("string"), F.lit(False)
     for name, (r, t) in KML_STYLES.items():
         role, tow = F.when(style == name, r).otherwise(role), F.when(style == name, F.lit(t)).otherwise(tow)
     text = F.coalesce("description", F.lit(""))
+    # Fixed values of the landed files: item=<number>, "Startrichtung <compass prose>", "Höhe NN <metres> m".
     found = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    at = F.split(F.trim("Point.coordinates"), ",")
+    inner = {n: f"{n}.coordinates" if t == _LINE else f"{n}.outerBoundaryIs.LinearRing.coordinates" for n, t in _SHAPES.items()}
+    said = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in (*inner.values(), *[f"MultiGeometry.{c}" for c in inner.values()])])
+    at = F.split(said, r"[,\s]+")
     parsed = rows.select(
         F.trim(F.coalesce("name", F.lit(""))).alias("name"),
         role.alias("role"),
@@ -209,12 +216,26 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     return checked_overrides(spark.read.schema("a string, b string, verdict string, reason string").json(path, multiLine=True))
 
 
+def override_violations(rows: DataFrame) -> DataFrame:
+    """a, b, verdict, problem: entries without a key, of a key with itself, with an unknown verdict or for a pair decided twice."""
+    pair = rows.withColumn("low", F.least("a", "b")).withColumn("high", F.greatest("a", "b"))
+    twice = pair.groupBy("low", "high").agg(F.count("*").alias("n")).where("n > 1").select(F.col("low").alias("l"), F.col("high").alias("h"), F.lit(True).alias("twice"))
+    seen = pair.join(twice, F.col("low").eqNullSafe(F.col("l")) & F.col("high").eqNullSafe(F.col("h")), "left")
+    blank = lambda c: F.coalesce(c, F.lit("")) == ""
+    problem = (
+        F.when(blank("a") | blank("b"), "missing key")
+        .when(F.col("a") == F.col("b"), "a pair of one key")
+        .when(~F.coalesce("verdict", F.lit("")).isin("never", "always"), "unknown verdict")
+        .when(F.col("twice"), "decided twice")
+    )
+    return seen.select("a", "b", "verdict", problem.alias("problem")).where("problem is not null")
+
+
 def checked_overrides(rows: DataFrame) -> DataFrame:
-    """Fails on a missing key, a pair with itself, an unknown verdict or a pair decided twice."""
-    wrong = rows.where("coalesce(a, '') = '' or coalesce(b, '') = '' or a = b or coalesce(verdict, '') not in ('never', 'always')").limit(3).collect()
-    twice = rows.groupBy(F.least("a", "b"), F.greatest("a", "b")).count().where("count > 1").limit(3).collect()
-    if wrong or twice:
-        raise ValueError(f"overrides: {wrong or twice}")
+    """Fails if there is any violation."""
+    wrong = override_violations(rows).limit(3).collect()
+    if wrong:
+        raise ValueError(f"overrides: {wrong}")
     return rows
 
 

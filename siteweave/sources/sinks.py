@@ -24,8 +24,9 @@ def shard_rows(sites: DataFrame) -> DataFrame:
 
 
 def write_country_shards(sites: DataFrame, path: str) -> None:
-    """One folder for each country, rows by id; the whole set is replaced, so stale countries go."""
-    rows = shard_rows(sites).repartition("country").sortWithinPartitions("country", "id")
+    """One folder for each country, rows by id; the whole set is replaced, so stale countries go. Ranges of
+    (country, id) are written by tasks of their own, so a large country has several files, in order."""
+    rows = shard_rows(sites).repartitionByRange("country", "id").sortWithinPartitions("country", "id")
     rows.select("country", F.col("body").alias("value")).write.mode("overwrite").partitionBy("country").text(path)
 
 
@@ -41,6 +42,14 @@ def shard_changes(new: DataFrame, old: DataFrame) -> DataFrame:
     return both.select("country", F.when(F.col("a.n").isNull(), "removed").when(same, "unchanged").otherwise("written").alias("status"))
 
 
+def shard_totals(new: DataFrame, old: DataFrame) -> DataFrame:
+    """countries, written, unchanged, sites of the new set, and how many shards are removed: one row."""
+    changes = shard_changes(new, old)
+    count = lambda status: F.count_if(F.col("status") == status).alias(status)
+    totals = changes.agg(F.count_if(F.col("status") != "removed").alias("countries"), count("written"), count("unchanged"), count("removed"))
+    return totals.crossJoin(new.agg(F.count("*").alias("sites")))  # one row each
+
+
 def flat_rows(sites: DataFrame) -> DataFrame:
     """The 21 columns as text."""
     empty = lambda c: F.coalesce(c, F.lit(""))

@@ -45,19 +45,19 @@ def ids(spark, clusters, registry, next_id):
 
 
 def test_ids(spark):
-    assert ids(spark, {"a": ["pge:1"], "b": ["pge:2"]}, {}, 1) == {"a": "PSF-000001", "b": "PSF-000002"}
-    assert ids(spark, {"a": ["pge:1", "ansg:a"]}, {"pge:1": "PSF-000001"}, 2) == {"a": "PSF-000001"}
-    assert ids(spark, {"a": ["pge:1", "ansg:a"]}, {"pge:1": "PSF-000002", "ansg:a": "PSF-000001"}, 3) == {"a": "PSF-000001"}
-    split = ids(spark, {"x": ["pge:1"], "y": ["ansg:a"]}, {"pge:1": "PSF-000001", "ansg:a": "PSF-000001"}, 2)
-    assert split == {"y": "PSF-000001", "x": "PSF-000002"}
+    assert ids(spark, {"a": ["pge:1"], "b": ["pge:2"]}, {}, 1) == {"a": "SITE-000001", "b": "SITE-000002"}
+    assert ids(spark, {"a": ["pge:1", "ansg:a"]}, {"pge:1": "SITE-000001"}, 2) == {"a": "SITE-000001"}
+    assert ids(spark, {"a": ["pge:1", "ansg:a"]}, {"pge:1": "SITE-000002", "ansg:a": "SITE-000001"}, 3) == {"a": "SITE-000001"}
+    split = ids(spark, {"x": ["pge:1"], "y": ["ansg:a"]}, {"pge:1": "SITE-000001", "ansg:a": "SITE-000001"}, 2)
+    assert split == {"y": "SITE-000001", "x": "SITE-000002"}
 
 
 def test_ids_of_a_chain_longer_than_the_rounds(spark):
     cl = spark.createDataFrame([("c0", "k0")] + [(f"c{i}", f"k{i}{x}") for i in range(1, 6) for x in "ab"], "cluster_id string, key string")
-    known = [("k0", "PSF-000001")] + [(f"k{i}{x}", f"PSF-{i + (x == 'b'):06d}") for i in range(1, 6) for x in "ab"]
+    known = [("k0", "SITE-000001")] + [(f"k{i}{x}", f"SITE-{i + (x == 'b'):06d}") for i in range(1, 6) for x in "ab"]
     reg = spark.createDataFrame(known, "key string, canonical_id string")
     got = {r.cluster_id: r.canonical_id for r in select.assign_ids(cl, reg, 50).collect()}
-    assert got == {f"c{i}": f"PSF-{i + 1:06d}" for i in range(6)}
+    assert got == {f"c{i}": f"SITE-{i + 1:06d}" for i in range(6)}
     with pytest.raises(RuntimeError):
         select.assign_ids(cl, reg, 50, max_rounds=2)
 
@@ -67,7 +67,7 @@ def test_ids_against_the_loop(spark):
 
     r = random.Random(1)
     keys = [f"k:{i:03d}" for i in range(120)]
-    clusters, registry = {}, {k: f"PSF-{r.randrange(1, 40):06d}" for k in keys if r.random() < 0.8}
+    clusters, registry = {}, {k: f"SITE-{r.randrange(1, 40):06d}" for k in keys if r.random() < 0.8}
     for k in keys:
         clusters.setdefault(f"c{r.randrange(60)}", []).append(k)
     taken, expected, n = set(), {}, 500
@@ -76,7 +76,7 @@ def test_ids_against_the_loop(spark):
         if free:
             expected[c] = free[0]
         else:
-            expected[c], n = f"PSF-{n:06d}", n + 1
+            expected[c], n = f"SITE-{n:06d}", n + 1
         taken.add(expected[c])
     assert ids(spark, clusters, registry, 500) == expected
 

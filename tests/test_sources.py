@@ -92,7 +92,7 @@ def test_bad_overrides(spark, rows):
 
 def test_flat_csv(spark, tmp_path):
     df = frame(spark, [record(name='He said "hi", ok\r\nthere', altitude=2.5, closed="a;b"), record("ansg:z", 9000, country=None, role="landing", name="Z")])
-    clusters = spark.createDataFrame([("pge:1", "PSF-000002"), ("ansg:z", "PSF-000010")], "key string, cluster_id string")
+    clusters = spark.createDataFrame([("pge:1", "SITE-000002"), ("ansg:z", "SITE-000010")], "key string, cluster_id string")
     sites = select.select_canonical(select.members(df, clusters)).withColumnRenamed("cluster_id", "id")
     sinks.write_flat_csv(sites.coalesce(1), str(tmp_path / "out"))
     (part,) = (tmp_path / "out").glob("part-*.csv")
