@@ -2,6 +2,10 @@
 
 Every stage works on all that the one before it kept; all but the last return the columns
 of ``documents``, with n_chars brought up to date where the text changes.
+
+Defined edge cases: a null or empty text has no words, so the quality rules reject it; null ids are
+kept as they are; of repeated rows one stays; extra columns of any name pass through; an empty table,
+also one that a stage has emptied, gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siteweave.llm import decontaminate, packing, pii, quality, simhash
+from siteweave.llm.queries import pseudonym_key
 from siteweave.plans.store import written
 
 
@@ -34,7 +39,7 @@ def decontamination_stage(spark, docs, sf_dir):
 
 def private_data_stage(spark, docs, sf_dir):
     """Private values are replaced by pseudonyms of the same format."""
-    return _measured(pii.pseudonymised(docs), docs.columns)
+    return _measured(pii.pseudonymised(docs, pseudonym_key(spark)), docs.columns)
 
 
 def packing_stage(spark, docs, sf_dir):

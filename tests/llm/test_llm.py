@@ -471,24 +471,59 @@ def luhn(s):
     return total % 10 == 0
 
 
+def mod97(s):
+    plain = re.sub(" ", "", s)
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
 def test_pii(spark):
-    found = ["4111111111111111", "4111 1111 1111 1111", "10.0.0.1", "+1 (017) 555-7713", "1984-02-29", "31.12.1999", "Über.34@mail7.example.com", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"]
-    kept = ["4111111111111112", "2023-02-30", "1.2.3", "999.1.1.1", "1500-01-01", "12345", "a@b", "v1.2.3.4.5"]
+    found = ["4111111111111111", "4111 1111 1111 1111", "10.0.0.1", "+1 (617) 555-7713", "1984-02-29", "31.12.1999", "Über.34@mail7.example.com", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]
+    kept = ["4111111111111112", "2023-02-30", "1.2.3", "999.1.1.1", "1500-01-01", "12345", "a@b", "v1.2.3.4.5", "DE88 3704 0044 0532 0130 00", "+0 170 1234567", "GB82"]
     rows = [(i, f"see {x}, {y} or {x}.", "x") for i, (x, y) in enumerate(zip(found, kept))] + [(98, None, "x"), (99, "", None), (99, "no number", "x")]
+    spelled = ["+491701234567", "+49 170 1234567", "+49-170-123-4567", "+49 (170) 123 4567"]
+    rows += [(200 + i, x, "x") for i, x in enumerate(spelled)] + [(300, f"mark \ue000 {found[0]} and \ue001 {found[3]}", "x"), (301, " ".join(found) * 400, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, __found string")
-    got = [(r.doc_id, r.text, r.n) for r in pii.pseudonymised(df, count="n").collect()]
+    got = [(r.doc_id, r.text, r.n) for r in pii.pseudonymised(df, "k", count="n").collect()]
     assert {(98, None, 0), (99, "", 0), (99, "no number", 0)} <= set(got)
-    by = {i: t for i, t, _ in got}
+    by, n = {i: t for i, t, _ in got}, {i: n for i, _, n in got}
+    new = {}
     for i, (x, y) in enumerate(zip(found, kept)):
         a, b, c = re.fullmatch(r"see (.+), (.+) or (.+)\.", by[i]).groups()
-        assert a == c != x and b == y
+        assert a == c != x and b == y and n[i] == 2
+        new[x] = a
         if "@" not in x:
             shape = lambda s: re.sub("[0-9a-f]", "9", s) if i == 7 else re.sub(r"\d+" if i == 2 else r"\d", "9", s)
             assert shape(a) == shape(x)
-    assert luhn(re.search(r"see (\d+)", by[0])[1]) and re.sub(" ", "", re.search(r"see ([\d ]+),", by[1])[1]) == re.search(r"see (\d+)", by[0])[1]
+    assert luhn(new[found[0]]) and re.sub(" ", "", new[found[1]]) == new[found[0]]
+    assert re.sub(" ", "", new[found[8]]) == new[found[9]] and all(mod97(new[x]) == 1 for x in found[8:])
+    phones = {re.sub(r"\D", "", by[200 + i]) for i in range(4)}  # one pseudonym, in each spelling
+    assert len(phones) == 1 and phones != {"491701234567"} and all(re.sub(r"\d", "9", by[200 + i]) == re.sub(r"\d", "9", x) for i, x in enumerate(spelled))
+    assert by[300] == f"mark \ue000 {new[found[0]]} and \ue001 {new[found[3]]}" and n[300] == 2
+    assert n[301] > 400 * 8  # a very long text
     other = pii.pseudonymised(df, key="other").where("doc_id = 0").first().text
     assert other != by[0]
-    assert pii.pseudonymised(df.limit(0)).count() == 0
+    assert pii.pseudonymised(df.limit(0), "k").count() == 0
+
+
+def test_the_network_against_a_plain_one(spark):
+    """feistel() in plain Python, for digits, phones and days."""
+    import hashlib
+
+    def network(x, y, a, b, kind):
+        for i in range(pii.ROUNDS):
+            mixed = int(hashlib.sha256(f"k|{kind}|{i}|{y}".encode()).hexdigest()[:12], 16)
+            x, y = y, (x + mixed) % (a if i % 2 == 0 else b)
+        return x, y
+
+    phones = ["+491701234567", "+14155550100", "+3312345678"]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in phones], "p string").select(pii.pseudonym(F.col("p"), "k")).collect()]
+    for p, g in zip(phones, got):
+        d = p[1:]
+        h = len(d) // 2
+        x, y = network(int(d[:h]) - 10 ** (h - 1), int(d[h:]), 9 * 10 ** (h - 1), 10 ** (len(d) - h), "phone")
+        assert g == f"+{x + 10 ** (h - 1)}{y:0{len(d) - h}d}"
+    x, y = network(12, 345, 100, 1000, "t")
+    assert spark.createDataFrame([("12345",)], "d string").select(pii.permuted_digits(F.col("d"), "k", "t")).first()[0] == f"{x:02d}{y:03d}"
 
 
 def test_pseudonyms_are_a_permutation(spark):
