@@ -3,10 +3,11 @@
 Of all suffixes of all texts only those are kept that start at a minimiser: the least hash of
 ``LENGTH - ANCHOR + 1`` runs of ``ANCHOR`` words. Every passage of ``LENGTH`` words holds one, and
 equal passages hold the same one. Suffixes are sorted by their first words; those whose first
-``ANCHOR`` words occur once in the corpus leave before any text moves. The others are extended
-left and right: for each way to split the remaining words between the left and the right side
-the rows are sorted and equal neighbours compared, so a passage is found if and only if it
-occurs at two places. Equal texts are one unit, so copies cost nothing. One word said over and
+``ANCHOR`` words occur once in the corpus leave before any text moves. The others are sorted on by
+the words after the anchor, and backwards by the words before it; neighbours are compared word by
+word to the right and extended to the left, so a passage is found if and only if it occurs at two
+places. Longer passages hold an anchor for each ``SIDE + 1`` of their words, and their parts are
+joined. Equal texts are one unit, so copies cost nothing. One word said over and
 over would make every place a minimiser: inside such a run only its first place is kept, and a
 run of more than ``LENGTH`` words repeats itself. ``CROWD`` bounds what a task holds of one anchor;
 one with more suffixes is resolved by counting its passages in a grouped aggregation, with the
@@ -124,21 +125,53 @@ def _columns(b) -> tuple:
     return anchor, th, place.astype(np.int64), lefts, rights, sides
 
 
+def ranked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of rows of numbers, how many numbers each has in common with the row before it in this order)."""
+    whole = np.ascontiguousarray(rows.astype(">u4")).view(f"S{4 * rows.shape[1]}").ravel()
+    order = np.argsort(whole, kind="stable")
+    equal = rows[order][1:] == rows[order][:-1]
+    return order, np.concatenate([[0], np.where(equal.all(axis=1), rows.shape[1], equal.argmin(axis=1))])[: len(rows)]
+
+
+def common_passages(anchor: np.ndarray, lefts: np.ndarray, rights: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix the most words on the left and on the right of its anchor that a passage of LENGTH words which
+    occurs again takes; -1 if there is none.
+
+    The suffixes are sorted once by what follows the anchor and once by what precedes it, read backwards. Suffixes
+    with r words in common are an interval of the first order; inside it neighbours of the second order have
+    the longest extension to the left, so comparing neighbours finds every passage."""
+    n = len(anchor)
+    left, right = sides[:, SIDE - 1 :: -1], sides[:, SIDE:]
+    name = np.unique(anchor, return_inverse=True)[1]
+    order, common = ranked(np.concatenate([name[:, None].astype(np.uint32), right], axis=1))
+    back, _ = ranked(left)
+    rank = np.empty(n, dtype=np.int64)
+    rank[back] = np.arange(n)
+    most_left, most_right = np.full(n, -1), np.full(n, -1)
+    part = np.empty(n, dtype=np.int64)
+    for r in range(SIDE + 1):
+        part[order] = np.cumsum(common < r + 1)  # one class for each anchor and r words after it
+        able = np.flatnonzero((rights >= r) & (lefts >= SIDE - r))
+        by = able[np.argsort(part[able] * n + rank[able], kind="stable")]
+        x, y = by[:-1], by[1:]
+        near = part[x] == part[y]
+        x, y = x[near], y[near]
+        again = (left[x, : SIDE - r] == left[y, : SIDE - r]).all(axis=1)
+        hit = np.concatenate([x[again], y[again]])
+        most_left[hit] = np.maximum(most_left[hit], SIDE - r)
+        most_right[hit] = np.maximum(most_right[hit], r)
+    return most_left, most_right
+
+
 def _neighbours(batches):
     """Batches sorted by anchor -> th, start, end: what each suffix has in common with another one."""
     waiting = None
 
     def spans(rows):
         anchor, th, place, lefts, rights, sides = rows
-        first, last = np.full(len(anchor), SIDE + 1), np.full(len(anchor), -1)
-        for on_right, at, name in _passage_hashes(anchor, lefts, rights, sides):
-            order = np.argsort(name, kind="stable")
-            same = np.flatnonzero(name[order][1:] == name[order][:-1])
-            hit = at[np.unique(np.concatenate([order[same], order[same + 1]]))]
-            first[hit], last[hit] = np.minimum(first[hit], on_right), np.maximum(last[hit], on_right)
-        hit = np.flatnonzero(last >= 0)
-        start, end = place[hit] - (SIDE - first[hit]), place[hit] + ANCHOR + last[hit]
-        return pa.RecordBatch.from_arrays([pa.array(th[hit]), pa.array(start), pa.array(end)], ["th", "start", "end"])
+        left, right = common_passages(anchor, lefts, rights, sides)
+        hit = np.flatnonzero(right >= 0)
+        return pa.RecordBatch.from_arrays([pa.array(th[hit]), pa.array(place[hit] - left[hit]), pa.array(place[hit] + ANCHOR + right[hit])], ["th", "start", "end"])
 
     for b in batches:
         rows = _columns(b)

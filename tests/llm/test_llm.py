@@ -329,6 +329,19 @@ def test_repeated_passages(docs, none, crowd):
     assert suffixes.repeated_passages(none).count() == 0
 
 
+def test_neighbours_find_every_passage():
+    r = np.random.default_rng(9)
+    side, size = suffixes.SIDE, suffixes.SIDE * 2
+    for n in (1, 2, 40, 300):
+        anchor = np.sort(r.integers(0, 4, n))
+        sides = np.ascontiguousarray(r.integers(0, 2, (n, 1)) + (r.random((n, size)) < 0.04)).astype(np.uint32)
+        lefts, rights = (r.integers(side - 8, side + 1, n) for _ in range(2))
+        left, right = suffixes.common_passages(anchor, lefts, rights, sides)
+        for i in range(n):
+            both = [(side - k, k) for k in range(side + 1) for j in range(n) if j != i and anchor[i] == anchor[j] and min(rights[i], rights[j]) >= k and min(lefts[i], lefts[j]) >= side - k and (sides[i, k : k + side] == sides[j, k : k + side]).all()]
+            assert (left[i], right[i]) == (max((x for x, _ in both), default=-1), max((y for _, y in both), default=-1))
+
+
 def test_compact_windows_hold_every_run():
     r = np.random.default_rng(3)
     for n in (46, 60, 500):
