@@ -306,8 +306,12 @@ SKETCH = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_print(words: list[bytes], size: int) -> tuple[int, bytes]:
-    """The fingerprint of the set of words, and the sketch of the set of ``size``-word shingles.
+#: Fingerprints of a document's words, each with other hashes: two documents are candidates if any of them is near.
+PRINTS = 3
+
+
+def word_print(words: list[bytes], size: int, prints: int = PRINTS) -> tuple[list[int], bytes]:
+    """Fingerprints of the set of words, and the sketch of the set of ``size``-word shingles.
 
     A sketch holds 0 for an empty bin. Its agreement is an estimate of the sets' Jaccard
     similarity (standard error 0.025 at 0.8 for long texts, less for short ones).
@@ -326,7 +330,13 @@ def word_print(words: list[bytes], size: int) -> tuple[int, bytes]:
     first = np.flatnonzero(np.concatenate([[True], np.diff(bins) != 0])) if len(bins) else bins
     sketch = np.zeros(SKETCH, dtype=np.uint8)
     sketch[bins[first]] = (runs[first] % np.uint64(255)).astype(np.uint8) + 1
-    return majority(hashes), sketch.tobytes()
+    again = [hashes]
+    for _ in range(prints - 1):
+        x = again[-1] * _MIX
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        again.append(x ^ (x >> np.uint64(32)))
+    return [majority(h) for h in again], sketch.tobytes()
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -417,34 +427,37 @@ def similar(nodes: DataFrame, bound: float, tau: int = 7, parts: int = 4) -> Dat
     return met.mapInArrow(run, "a bigint, b bigint")
 
 
-def copies(docs: DataFrame, tau: int = 7, similarity: float = 0.8, shingle: int = 5, slack: float = 0.04, key: str = "doc_id", text: str = "text") -> DataFrame:
+def copies(docs: DataFrame, tau: int = 7, prints: int = PRINTS, similarity: float = 0.8, shingle: int = 5, slack: float = 0.04, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, th (hash of the text), keeper: a row for each document; True for the one that its group keeps, which is
     the one with the smallest key (null keys come last; of equal keys the one with the smallest th).
 
-    Texts are linked if their words' fingerprints differ in at most ``tau`` bits and their
-    sketches agree in ``similarity - slack`` of the bins or more; equal texts always are.
+    Texts are linked if one of their ``prints`` pairs of fingerprints differs in at most ``tau`` bits and their
+    sketches agree in ``similarity - slack`` of the bins or more; equal texts always are. A copy with added
+    paragraphs shares a smaller part of its words than one with scattered edits, hence several fingerprints.
     Every pair within ``tau`` bits is verified, also of texts with one fingerprint, before a spanning forest is taken.
     """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            pairs = [word_print((t.as_py() or b"").lower().split(), shingle) for t in b.column(2).cast(pa.binary())]
+            pairs = [word_print((t.as_py() or b"").lower().split(), shingle, prints) for t in b.column(2).cast(pa.binary())]
             fps, sketches = zip(*pairs) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64()), pa.array(sketches, pa.binary())], [key, "th", "fp", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], [key, "th", "fps", "sketch"])
 
     hashed = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), text)
-    prints = written(hashed.mapInArrow(run, f"`{key}` {kind}, th bigint, fp bigint, sketch binary"), "prints")
-    texts = written(prints.groupBy("th").agg(F.min(key).alias("low"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "texts")
-    # texts with one fingerprint and one sketch are linked to the first of them
-    nodes = written(texts.groupBy("fp", "sketch").agg(F.min("th").alias("node")), "nodes")
-    same = texts.join(nodes, ["fp", "sketch"]).select(F.col("th").alias("a"), F.col("node").alias("b")).where("a <> b")
-    roots = components(similar(nodes, similarity - slack, tau).union(same))
+    made = written(hashed.mapInArrow(run, f"`{key}` {kind}, th bigint, fps array<bigint>, sketch binary"), "prints")
+    texts = written(made.groupBy("th").agg(F.min(key).alias("low"), F.first("fps").alias("fps"), F.first("sketch").alias("sketch")), "texts")
+    # texts with the same fingerprints and sketch are linked to the first of them
+    nodes = written(texts.groupBy("fps", "sketch").agg(F.min("th").alias("node")), "nodes")
+    links = texts.join(nodes, ["fps", "sketch"]).select(F.col("th").alias("a"), F.col("node").alias("b")).where("a <> b")
+    for i in range(prints):
+        links = links.union(similar(nodes.select("node", F.get("fps", F.lit(i)).alias("fp"), "sketch"), similarity - slack, tau))
+    roots = components(links)
     member = texts.join(roots, texts.th == roots.node, "left").select("th", "low", F.coalesce("root", "th").alias("root"))
     first = F.struct(F.col("low").isNull().alias("none"), "low", "th")
     best = member.groupBy("root").agg(F.min(first).alias("best"))
     kept = member.join(best, "root").select("th", (first == F.col("best")).alias("chosen"), F.col("best.low").alias("low"))
-    named = prints.select(F.col(key).alias("key"), "th").join(kept, "th")
+    named = made.select(F.col(key).alias("key"), "th").join(kept, "th")
     return named.select(F.col("key").alias(key), "th", (F.col("chosen") & F.col("key").eqNullSafe(F.col("low"))).alias("keeper"))
 
 
