@@ -347,6 +347,8 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 #: Pairs whose sketches a task compares at once.
 SKETCH_BLOCK = 1 << 14
+#: Links that a task remembers so as not to send their trees again; beyond that it starts afresh.
+TREE = 1 << 18
 
 
 def _hits(fps: DataFrame, tau: int, parts: int) -> DataFrame:
@@ -403,6 +405,7 @@ def similar(nodes: DataFrame, bound: float, tau: int = 7, parts: int = 4) -> Dat
     def run(batches):
         empty = np.zeros(0, dtype=np.int64)
         slot0, fp0, node0, sketch0 = empty, empty, empty, np.zeros((0, SKETCH), dtype=np.uint8)
+        tree = (empty, empty)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -417,9 +420,12 @@ def similar(nodes: DataFrame, bound: float, tau: int = 7, parts: int = 4) -> Dat
                 good = [k + np.flatnonzero(alike(asked[i[k : k + SKETCH_BLOCK]], held[j[k : k + SKETCH_BLOCK]]) >= bound) for k in range(0, len(i), SKETCH_BLOCK)]
                 if sum(map(len, good)):
                     good = np.concatenate(good)
-                    x, y = asking[i[good]], name[j[good]]
-                    keep = spanning(x, y, np.zeros(len(x), dtype=np.int8))
-                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["a", "b"])
+                    # what this task has linked already is kept, so only links between its trees are new
+                    x, y = np.concatenate([tree[0], asking[i[good]]]), np.concatenate([tree[1], name[j[good]]])
+                    keep = spanning(x, y, (np.arange(len(x)) >= len(tree[0])).astype(np.int8))
+                    new = keep[keep >= len(tree[0])]
+                    tree = (x[keep], y[keep]) if len(keep) <= TREE else (x[new], y[new])
+                    yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(y[new])], ["a", "b"])
             last = slots == slot[-1]
             slot0, fp0, node0, sketch0 = slots[last], known[last], name[last], held[last]
 
