@@ -57,3 +57,23 @@ def test_pipeline(spark):
     assert all(r.n_chars == len(r.text) for r in kept[3].values())
     assert {r.doc_id for r in docs.select("doc_id").collect()} == set(kept[3])
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
+
+
+def test_pipeline_on_odd_tables(spark):
+    """No rows, nulls in every column, repeated rows, a very long text and extra columns of names used inside."""
+    names = "__row, row, key, th, keeper, __text, __spans, __parts, __new, again".split(", ")
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{n}` string" for n in names)
+    words = [f"word{i}" for i in range(90)] + ["the", "of", "and", "to"] * 6
+    good, extra = " ".join(words), tuple(f"kept {n}" for n in names)
+    rows = [(1, good, "en", "s", 9, *extra), (1, good, "en", "s", 9, *extra), (None, None, None, None, None, *[None] * 10), (3, "", None, None, 0, *extra), (4, " ".join(f"{w}x{i}" if i % 3 else w for i in range(300) for w in words), "en", "s", 1, *extra)]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        full = docs.count() > 0
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, docs, SF)
+            if i < 4:
+                assert docs.columns[5:] == names
+                docs = docs.cache()
+                got = docs.collect()
+                assert sorted(r.doc_id for r in got) == ([] if not full else [1, 1, 4] if i == 0 else [1, 4])
+                assert all(tuple(r[5:]) == extra for r in got)
+        assert (docs.count() > 0) == full
