@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -26,10 +27,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of what is written meanwhile are removed as soon as it is, not whenever the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, computed once, written as Parquet and read again."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
