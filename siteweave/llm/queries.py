@@ -1,10 +1,10 @@
-"""The queries op1 to op10 and their SQL; each reads whole tables."""
+"""The queries op1 to op13 and their SQL; each reads whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, lm, packing, pii, quality, shards, simhash, suffixes, urls, windows
+from siteweave.llm import decontaminate, lm, negatives, packing, pii, quality, shards, simhash, suffixes, urls, windows
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -161,3 +161,22 @@ def op5_suffix_dedup(spark, sf_dir):
 @query
 def op7_near_passages(spark, sf_dir):
     return windows.near_passages(table(spark, sf_dir, "documents"))
+
+
+# --- hard negatives ------------------------------------------------------------------
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_hard_negatives"] = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l, list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id anchor_id, a.l al, b.vec_id id, b.l bl, list_dot_product(a.e, b.e)::bigint score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, id positive_id, score positive_score from s where al = bl qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (select p.*, s.id negative_id, s.score negative_score, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.id) rank
+  from p join s on s.anchor_id = p.anchor_id and al <> bl and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, rank::int rank, negative_id, positive_score, negative_score from n where rank <= 3"""
