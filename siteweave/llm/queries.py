@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteweave.llm import decontaminate, lm, negatives, packing, pii, quality, shards, simhash, suffixes, urls, windows
+from siteweave.llm import decontaminate, langid, lm, negatives, packing, pii, quality, shards, simhash, suffixes, tries, urls, windows
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -180,3 +180,36 @@ p as (select anchor_id, id positive_id, score positive_score from s where al = b
 n as (select p.*, s.id negative_id, s.score negative_score, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.id) rank
   from p join s on s.anchor_id = p.anchor_id and al <> bl and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
 select anchor_id, positive_id, rank::int rank, negative_id, positive_score, negative_score from n where rank <= 3"""
+
+
+# --- prefix trie ---------------------------------------------------------------------
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return tries.rebuilt_nodes(table(spark, sf_dir, "conversations"))
+
+
+_TURN = "md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))"
+_CRC = """xor(list_reduce(list_prepend(4294967295::ubigint, flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: [ascii(c)::ubigint, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda v, e: case when xor(v, e) & 1 = 1 then xor(xor(v, e) >> 1, 3988292384::ubigint) else xor(v, e) >> 1 end), 4294967295::ubigint)"""
+SQL["op13_prefix_trie"] = f"""
+with o as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), {_TURN}) p, {_TURN} k, strlen(coalesce(text, '')) b from conversations where conv_id is not null),
+c as (select conv_id, ({_CRC} % 9)::bigint h from (select distinct conv_id from o)),
+opening as (select c.conv_id, p, k, b from c join o on o.conv_id = c.conv_id - c.conv_id % 5 and p <= h),
+own as (select conv_id, p - h + coalesce(n, 0) p, k, b from o join c using (conv_id) left join (select conv_id, count(*) n from opening group by 1) using (conv_id) where p > h),
+x as (select * from opening union all select * from own),
+place as (select conv_id, 0 d, 0 b, '' k from c union all select conv_id, p, b, string_agg(k, '') over (partition by conv_id order by p) from x),
+node as (select d, k, min(conv_id) conv_id, count(*) n_convs, any_value(b) b, left(k, 32 * greatest(d - 1, 0)) pk from place group by d, k),
+kids as (select d - 1 d, pk k, count(*) n from node where d > 0 group by all),
+parts as (select unnest(range(0, d + 1)) as top, node.k, node.d, (n_convs - 1) * b saved, n is null leaf from node left join kids using (d, k)),
+sums as (select top as d, left(k, 32 * top) k, sum(saved) saved, count(*) filter (leaf) leaves from parts group by all),
+done as (select k, string_agg(conv_id::varchar, ',' order by conv_id) ids from (select conv_id, arg_max(k, d) k from place group by 1) group by k)
+select node.conv_id, node.d::bigint depth, up.conv_id parent_conv_id, node.n_convs, coalesce(kids.n, 0) n_children, leaves n_leaves, saved::bigint saved_tokens, sha256(coalesce(ids, '')) ends_sha256
+from node join sums using (d, k) left join kids using (d, k) left join done using (k) left join node up on node.d > 0 and up.d = node.d - 1 and up.k = node.pk"""
+
+
+# --- language identification ---------------------------------------------------------
+
+@query
+def op12_language_id(spark, sf_dir):
+    return langid.identified(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
