@@ -77,11 +77,16 @@ def _pack(scale: float, most: int):
 
 
 class Block:
-    """Rows with their sorted lists, made when they are first read."""
-
-    def __init__(self, row: dict):
-        self.ids, self.labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64)
-        self.numbers = np.frombuffer(row["numbers"], row["kind"]).reshape(row["n"], row["width"]).astype(np.float64)
+    """Rows of one or several packed blocks with their sorted lists, made when they are first read."""
+
+    def __init__(self, packed: list[dict]):
+        self.ids, self.labels = (np.concatenate([np.frombuffer(p[c], np.int64) for p in packed]) for c in ("ids", "labels"))
+        self.part = np.concatenate([np.full(p["n"], p["part"]) for p in packed])
+        self.row = np.concatenate([np.arange(p["n"]) + (p["seq"] << 20) for p in packed])
+        self.numbers, at = np.zeros((len(self.ids), max(p["width"] for p in packed))), 0
+        for p in packed:
+            self.numbers[at : at + p["n"], : p["width"]] = np.frombuffer(p["numbers"], p["kind"]).reshape(p["n"], p["width"])
+            at += p["n"]
         self.largest = float(np.abs(self.numbers).max(initial=0))
         self.kinds = np.unique(self.labels)
         self._order = None
@@ -119,9 +124,9 @@ class Best:
 class Tile:
     """Anchors with what they have found. windows: (row, n, given score) of each window, rows ascending."""
 
-    def __init__(self, row: dict, ids, labels, numbers, windows: list[tuple[int, int, int]], limits, k: int, alike: bool):
-        self.row, self.ids, self.labels, self.numbers, self.alike = row, ids, labels, numbers, alike
-        self.windows, self.largest = windows, float(np.abs(numbers).max(initial=0))
+    def __init__(self, of: Block, cut: slice, windows: list[tuple[int, int, int]], limits, k: int, alike: bool):
+        self.part, self.row, self.ids, self.labels, self.numbers, self.alike = of.part[cut], of.row[cut], of.ids[cut], of.labels[cut], of.numbers[cut], alike
+        self.windows, self.largest = windows, float(np.abs(self.numbers).max(initial=0))
         self.of = np.array([w[0] for w in windows], np.int64)  # place of a window's anchor in the tile
         big = max((abs(w[2]) for w in windows), default=0) > 1 << 46
         self.best = Best(*limits, k, object if big else np.float64)
@@ -197,28 +202,27 @@ class Tile:
     def rows(self):
         for w, score, who in zip(self.best.window, self.best.score, self.best.id):
             at, n, given = self.windows[w]
-            yield self.row["part"], self.row["first"] + at, n, int(self.ids[at]), int(who), max(_LONG.min, min(_LONG.max, int(score))), given
+            yield int(self.part[at]), int(self.row[at]), n, int(self.ids[at]), int(who), max(_LONG.min, min(_LONG.max, int(score))), given
 
 
-def _tiles(row: dict, given: dict | None, k: int, low: int, high: int):
-    """Tiles of a block of anchors, anchors of like signs together. given: row -> [(n, score)] for the second pass."""
-    b = Block(row)
-    base = row["seq"] << 20
+def _tiles(packed: list[dict], given: dict | None, k: int, low: int, high: int):
+    """Tiles of anchors. given: (part, row) -> [(n, score)] for the second pass."""
+    b = Block(packed)
     for at in range(0, len(b.ids), TILE):
         cut = slice(at, at + TILE)
-        ids = b.ids[cut]
+        places = list(zip(b.part[cut].tolist(), b.row[cut].tolist()))
         if given is None:
-            windows = [(i, 0, 0) for i in range(len(ids))]
-            limits = [-np.inf] * len(ids), [np.inf] * len(ids)
+            windows = [(i, 0, 0) for i in range(len(places))]
+            limits = [-np.inf] * len(windows), [np.inf] * len(windows)
         else:
-            windows = [(i, n, s) for i in range(len(ids)) for n, s in given.get(base + at + i, ())]
+            windows = [(i, n, s) for i, place in enumerate(places) for n, s in given.get(place, ())]
             limits = [-(-low * w[2] // 100) for w in windows], [high * w[2] // 100 for w in windows]
-        yield Tile({"part": row["part"], "first": base + at}, ids, b.labels[cut], b.numbers[cut], windows, limits, k, given is None)
+        yield Tile(b, cut, windows, limits, k, given is None)
 
 
 def _pass(anchors: DataFrame, blocks: DataFrame, parts: int, runs: int, k: int, low: int, high: int, positives: DataFrame | None) -> DataFrame:
     empty = "array<struct<row: bigint, n: int, id: bigint, score: bigint>>"
-    task = lambda run: F.col("part") * runs + run
+    task = lambda run: F.pmod("part", F.lit(parts)) * runs + run
     names = [c.split()[0] for c in _PACKED.split(", ")]
     asked = anchors.withColumn("task", F.explode(F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), task))).select("task", F.lit(1).alias("step"), *names, F.lit(None).cast(empty).alias("given"))
     shown = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("task", F.col("task") * runs + F.pmod(F.col("part") + F.col("seq"), F.lit(runs)))
@@ -232,19 +236,31 @@ def _pass(anchors: DataFrame, blocks: DataFrame, parts: int, runs: int, k: int,
     second = positives is not None
 
     def run(batches):
-        tiles, given = [], {} if second else None
+        tiles, asked, waiting, given = [], [], [], {} if second else None
+
+        def meet():
+            if asked:
+                tiles.extend(_tiles(asked, given, k, low, high))
+                asked.clear()
+            if waiting:
+                block = Block(waiting)
+                waiting.clear()
+                for t in tiles:
+                    t.meet(block)
+
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
                 if row["step"] == 0:
                     for p in row["given"]:
-                        given.setdefault(p["row"], []).append((p["n"], p["score"]))
+                        given.setdefault((row["part"], p["row"]), []).append((p["n"], p["score"]))
                 elif row["step"] == 1:
-                    tiles += _tiles(row, given, k, low, high)
+                    asked.append(row)
                 else:
-                    block = Block(row)
-                    for t in tiles:
-                        t.meet(block)
+                    if waiting and sum(w["n"] for w in waiting) + row["n"] > BLOCK:
+                        meet()
+                    waiting.append(row)
+        meet()
         for t in tiles:
             rows = list(t.rows())
             if rows:
@@ -271,7 +287,6 @@ def mine(vectors: DataFrame, anchors: Column, key: str = "vec_id", vector: str =
     runs = max(1, min(cuts, -(-wanted // parts)))
     packed = lambda df, n, most, name: written(df.repartitionByRange(n, "label", "id").sortWithinPartitions("label", "id").select("id", "label", "vector").mapInArrow(_pack(scale, most), _PACKED), name)
     asks, blocks = packed(rows.where("asks"), parts, ANCHORS, "anchors"), packed(rows, cuts, BLOCK, "vectors")
-    parts = (asks.agg(F.max("part")).first()[0] or 0) + 1  # a row
     order = Window.partitionBy("part", "row").orderBy(F.desc("score"), "id")
     liked = _pass(asks, blocks, parts, runs, positives, low, high, None).drop("n").withColumn("n", F.row_number().over(order)).where(F.col("n") <= positives)
     liked = written(liked.select("part", "row", "n", "anchor_id", "id", "score"), "positives")
