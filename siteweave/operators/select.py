@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from itertools import count
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT, Config
 from siteweave.functions.text import ref_for
-from siteweave.plans.store import written
+from siteweave.operators.components import components
+from siteweave.plans.store import discard, written
 
 
 def members(records: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -79,34 +81,72 @@ def select_canonical(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return out.withColumn("ref", ref_for(F.col("sources"), config.precedence))
 
 
-def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "SITE-", max_rounds: int | None = None) -> DataFrame:
+def _first_come(batches):
+    """Rows (root, low, cluster_id, n) sorted by root, low, n: each cluster takes its first id that no earlier one of its component took."""
+    root, taken, cluster, done = None, set(), None, False
+    for b in batches:
+        out = []
+        for r, c, n in zip(b["root"], b["cluster_id"], b["n"]):
+            if r != root:
+                root, taken, cluster = r, set(), None
+            if c != cluster:
+                cluster, done = c, False
+            if not done and n not in taken:
+                taken.add(n)
+                done = True
+                out.append((c, n))
+        yield pd.DataFrame(out, columns=["cluster_id", "n"])
+
+
+def _by_proposals(wanted: DataFrame, max_rounds: int | None) -> DataFrame:
+    """The same by rounds of joins, one for each link of the longest chain: each cluster proposes its lowest untried id,
+    an id keeps the earliest proposer, the others go on."""
+    gone = written(wanted.select("cluster_id", "n").limit(0), "gone")
+    for turn in count(1):
+        left = wanted.join(gone, ["cluster_id", "n"], "left_anti")
+        asks = written(left.groupBy("cluster_id", "low").agg(F.min("n").alias("n")), "asks")
+        holder = asks.groupBy("n").agg(F.min("low").alias("held"))
+        refused = written(asks.join(holder, "n").where("low <> held").select("cluster_id", "n"), "refused")
+        if refused.isEmpty():
+            return asks.select("cluster_id", "n")
+        if turn == max_rounds:
+            raise RuntimeError(f"ids are contested after {max_rounds} rounds")
+        before, gone = gone, written(gone.union(refused), "gone")
+        for table in (before, asks, refused):
+            discard(table)
+
+
+def assign_ids(clusters: DataFrame, registry: DataFrame, next_id: int, prefix: str = "SITE-", max_rounds: int | None = None, max_edges: int = 500_000) -> DataFrame:
     """clusters (cluster_id, key), registry (key, canonical_id) -> cluster_id, canonical_id, is_new.
 
-    Clusters in the order of their smallest key take their lowest known id that no earlier one
-    took. That is deferred acceptance: each proposes its lowest untried id, an id keeps the
-    earliest proposer, the others go on. Only contested ids need a second round; a chain of them
-    needs one for each cluster. Where ``max_rounds`` is given and not enough, an error is raised.
+    Clusters in the order of their smallest key take their lowest known id that no earlier one took. Who gets a contested
+    id depends only on the clusters that a chain of contested ids links. Those components are decided one after the other
+    in tasks, many in each, whatever the length of their chains; a component of more than ``max_edges`` wishes, too large for
+    one task, is decided in rounds of joins with equal results. Where ``max_rounds`` is given, all are, and an error is raised
+    if that many are not enough.
     """
     ranked = clusters.groupBy("cluster_id").agg(F.min("key").alias("low"))
     number = F.substring_index("canonical_id", "-", -1).cast("long")
-    wanted = clusters.join(registry, "key").select("cluster_id", number.alias("n")).distinct().join(ranked, "cluster_id")
-    wanted = written(wanted, "wanted")
-    if wanted.groupBy("n").count().where("count > 1").isEmpty():  # no id is wanted twice
-        taken = wanted.groupBy("cluster_id").agg(F.min("n").alias("n"))
+    wishes = clusters.join(registry, "key").select("cluster_id", number.alias("n")).distinct().join(ranked, "cluster_id")
+    wishes = written(wishes, "wishes")
+    contested = wishes.groupBy("n").agg(F.min("low").alias("first"), F.count("*").alias("asked")).where("asked > 1")
+    links = written(wishes.join(contested, "n").where("low <> first").select(F.col("low").alias("a"), F.col("first").alias("b")), "links")
+    lowest = lambda df: df.groupBy("cluster_id").agg(F.min("n").alias("n"))
+    if links.isEmpty():  # no id is wanted twice
+        taken = lowest(wishes)
     else:
-        gone = written(wanted.select("cluster_id", "n").limit(0), "gone")
-        for turn in count(1):
-            left = wanted.join(gone, ["cluster_id", "n"], "left_anti")
-            asks = left.groupBy("cluster_id", "low").agg(F.min("n").alias("n"))
-            holder = asks.groupBy("n").agg(F.min("low").alias("held"))
-            refused = asks.join(holder, "n").where("low <> held").select("cluster_id", "n")
-            more = written(gone.union(refused).distinct(), "gone")
-            taken = asks.select("cluster_id", "n")
-            if refused.isEmpty():
-                break
-            if turn == max_rounds:
-                raise RuntimeError(f"ids are contested after {max_rounds} rounds")
-            gone = more
+        roots = components(links).withColumnRenamed("node", "low")
+        linked = written(wishes.join(roots, "low"), "linked")
+        large = linked.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") > (max_edges if max_rounds is None else 0))
+        tasks = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        small = linked.join(large, "root", "left_anti").repartition(tasks, "root").sortWithinPartitions("root", "low", "n")
+        solved = small.mapInPandas(_first_come, f"cluster_id {clusters.schema['cluster_id'].dataType.simpleString()}, n bigint")
+        taken = lowest(wishes.join(roots, "low", "left_anti")).unionByName(solved)
+        if not large.isEmpty():
+            taken = taken.unionByName(_by_proposals(linked.join(large, "root", "left_semi").select("cluster_id", "low", "n"), max_rounds))
+    taken = written(taken, "taken")
+    discard(links)
+    discard(wishes)
     fresh = ranked.join(taken, "cluster_id", "left_anti")
     # numbers without one global window: sort by range, count each part, then number inside the parts
     parts = written(fresh.repartitionByRange("low").withColumn("part", F.spark_partition_id()), "fresh")

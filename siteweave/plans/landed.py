@@ -213,6 +213,21 @@ def assign_ids_contested(spark, sf_dir):
     return select.assign_ids(clusters.select("cluster_id", "key"), registry, 2_000_000)
 
 
+@query("""with c as (select c_custkey k, c_custkey % 200 i from customer),
+p as (select c.k, i, case when i = 199 then row_number() over (partition by i = 199 order by c.k) end late from c)
+select 'c' || k cluster_id, 'SITE-' || printf('%06d', case when i = 199 then 2000000 - 1 + late else k + 1 end) canonical_id, i = 199 is_new from p""")
+def assign_ids_chains(spark, sf_dir):
+    """Chains of two hundred clusters: each knows its own id and that of the cluster before it, the last knows only the latter."""
+    k = F.col("c_custkey")
+    key = F.format_string("%08d", k)
+    clusters = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("c"), k.cast("string")).alias("cluster_id"), F.explode(F.array(F.concat(key, F.lit("a")), F.concat(key, F.lit("b")))).alias("key"), "c_custkey")
+    n = F.when((k % 200 != 199) & (F.col("key").endswith("a") | (k % 200 == 0)), k + 1).otherwise(k)
+    first = clusters.agg(F.min(k).alias("first"))  # a chain may begin after its first cluster
+    known = clusters.crossJoin(first).where((n > F.col("first")) | (k % 200 == 0))
+    registry = known.select("key", F.concat(F.lit("SITE-"), F.format_string("%06d", n)).alias("canonical_id"))
+    return select.assign_ids(clusters.select("cluster_id", "key"), registry, 2_000_000)
+
+
 @query(_with(RECORDS, _MEMBERS, _CANON, _IDS) + """select coalesce(lower(country), 'xx') shard, canonical_id id, name, round(lat, 6) lat, round(lon, 6) lon, role, "primary", wind, source, site_group, altitude, country, url, closed, notes, tow from site join ids using (cluster_id)""")
 def country_shard_bodies(spark, sf_dir):
     """The shards that were written, read back field by field."""

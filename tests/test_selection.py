@@ -1,5 +1,8 @@
 """Country, ranking, gap-filling, ids and gates."""
 
+import random
+import time
+
 import pytest
 
 from siteweave.config import Config
@@ -81,6 +84,37 @@ def test_ids_against_the_loop(spark):
     assert ids(spark, clusters, registry, 500) == expected
 
 
+def loop(clusters, registry, n):
+    taken, expected = set(), {}
+    for c in sorted(clusters, key=lambda c: min(clusters[c])):
+        free = sorted({registry[k] for k in clusters[c] if k in registry} - taken)
+        expected[c], n = (free[0], n) if free else (f"SITE-{n:06d}", n + 1)
+        taken.add(expected[c])
+    return expected
+
+
+def test_ids_of_a_chain_of_two_thousand(spark):
+    """Every cluster knows its own id and that of the one before it; the last of all finds nothing left."""
+    keys = {f"c{i}": [f"k{i:05d}a", f"k{i:05d}b"] for i in range(2000)} | {"c2000": ["k02000a"]}
+    known = {f"k{i:05d}{x}": f"SITE-{max(i + (x == 'a'), 1):06d}" for i in range(2000) for x in "ab"} | {"k02000a": "SITE-002000"}
+    began = time.time()
+    assert ids(spark, keys, known, 5000) == loop(keys, known, 5000)
+    assert time.time() - began < 30
+
+
+@pytest.mark.parametrize("max_edges", [500_000, 12])
+def test_ids_of_components_in_tasks_and_in_rounds(spark, max_edges):
+    r = random.Random(6)
+    keys = [f"k:{i:03d}" for i in range(200)]
+    registry = {k: f"SITE-{r.randrange(1, 110):06d}" for k in keys if r.random() < 0.9}
+    clusters = {}
+    for k in keys:
+        clusters.setdefault(f"c{r.randrange(120)}", []).append(k)
+    cl = spark.createDataFrame([(c, k) for c, ks in clusters.items() for k in ks], "cluster_id string, key string")
+    got = select.assign_ids(cl, spark.createDataFrame(list(registry.items()), "key string, canonical_id string"), 500, max_edges=max_edges)
+    assert {x.cluster_id: x.canonical_id for x in got.collect()} == loop(clusters, registry, 500)
+
+
 def catalogue(spark, n, start=0, provider="pge", role="launch", key=None):
     return [(f"{provider}:{key or ''}{i}", -30 + i * 0.01, 150.0, [provider], role) for i in range(start, start + n)]
 
