@@ -184,7 +184,7 @@ def sample(docs: DataFrame, learned: Column, key: str, text: str, lang: str, doc
     usable = docs.where(F.col(lang).isNotNull() & learned).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(key).alias("u"), F.col(text).alias("text"))
     order = Window.partitionBy("lang").orderBy("u")
     least = usable.select("lang", "u").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_each).groupBy("lang").agg(F.max("u").alias("most"))
-    chosen = usable.join(least, "lang").where("u <= most")
+    chosen = usable.join(F.broadcast(least), "lang").where("u <= most")  # a row for each language
     once = chosen.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("u", F.xxhash64("text")))).where(F.col("n") <= docs_each)
 
     def windows(batches):
