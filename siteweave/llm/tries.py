@@ -202,42 +202,46 @@ def _shard(found: list[tuple[bytes, int, int, str]]) -> list[dict]:
     return out
 
 
-def _shards(batches):
+def _shards(most: int):
     """Pieces sorted by (seq, low) -> nodes, surplus at the boundaries inside this range, and its first and last sequence."""
-    part, found, turns, edge, last = TaskContext.get().partitionId(), [], 0, None, None
-    seq, n, low, digest = None, 0, None, None
 
-    def close():
-        nonlocal found, turns, edge, last
-        rows = _shard(found) + (_surplus(last, found[0][0]) if last is not None else [])
-        edge, last = found[0][0] if edge is None else edge, found[-1][0]
-        found, turns = [], 0
-        return _batches(rows)
+    def run(batches):
+        part, found, turns, edge, last = TaskContext.get().partitionId(), [], 0, None, None
+        seq, n, low, digest = None, 0, None, None
 
-    for b in batches:
-        for s, a, c, ids in zip(*(b.column(i).to_pylist() for i in range(4))):
-            if s == seq:
-                digest.update(b",")
-            else:
-                if seq is not None:
-                    found.append((seq, n, low, digest.hexdigest()))
-                    turns += len(seq) // TOKEN + 1
-                    if turns >= SHARD_TURNS:
-                        yield from close()
-                seq, n, low, digest = s, 0, a, hashlib.sha256()
-            n += c
-            digest.update(ids)
-    if seq is not None:
-        found.append((seq, n, low, digest.hexdigest()))
-        yield from close()
-        yield from _batches([{"part": part, "first": edge, "last": last}])
-
-
-def nodes(seqs: DataFrame) -> DataFrame:
+        def close():
+            nonlocal found, turns, edge, last
+            rows = _shard(found) + (_surplus(last, found[0][0]) if last is not None else [])
+            edge, last = found[0][0] if edge is None else edge, found[-1][0]
+            found, turns = [], 0
+            return _batches(rows)
+
+        for b in batches:
+            for s, a, c, ids in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if s == seq:
+                    digest.update(b",")
+                else:
+                    if seq is not None:
+                        found.append((seq, n, low, digest.hexdigest()))
+                        turns += len(seq) // TOKEN + 1
+                        if turns >= most:
+                            yield from close()
+                    seq, n, low, digest = s, 0, a, hashlib.sha256()
+                n += c
+                digest.update(ids)
+        if seq is not None:
+            found.append((seq, n, low, digest.hexdigest()))
+            yield from close()
+            yield from _batches([{"part": part, "first": edge, "last": last}])
+
+    return run
+
+
+def nodes(seqs: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """seqs (conv_id, seq) -> conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256: a row for each node."""
     seqs = seqs.select("seq", "conv_id")
     pieces = written(seqs.repartitionByRange("seq", "conv_id").sortWithinPartitions("seq", "conv_id").mapInArrow(_pieces, _PIECES), "pieces")
-    found = written(pieces.repartitionByRange("seq").sortWithinPartitions("seq", "low").mapInArrow(_shards, _NODES), "nodes")
+    found = written(pieces.repartitionByRange("seq").sortWithinPartitions("seq", "low").mapInArrow(_shards(shard_turns), _NODES), "nodes")
     discard(pieces)
     # boundaries between ranges: a row for each task
     parts = found.where("part is not null").select("part", "first", "last")
@@ -261,9 +265,9 @@ def nodes(seqs: DataFrame) -> DataFrame:
     return whole.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", (F.col("gross") - F.col("net")).alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"))
 
 
-def rebuilt_nodes(turns: DataFrame, **names: str) -> DataFrame:
+def rebuilt_nodes(turns: DataFrame, shard_turns: int = SHARD_TURNS, **names: str) -> DataFrame:
     """The trie of the rebuilt conversations of a table of turns."""
     own = written(sequences(turns, **names), "turns")
     whole = written(rebuilt(own), "rebuilt")
     discard(own)
-    return nodes(whole)
+    return nodes(whole, shard_turns)
