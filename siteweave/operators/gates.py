@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT, Config
 from siteweave.functions.geo import haversine_m
+from siteweave.plans.store import discard, written
 
 
 def source_stats(records: DataFrame) -> DataFrame:
@@ -82,11 +83,17 @@ def gate_key_moves(diff: DataFrame, config: Config = DEFAULT) -> DataFrame:
 
 
 def output_health(new: DataFrame, old: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """All gates; with nothing published yet, one row that says so."""
-    diff = catalogue_diff(new, old)
+    """All gates; with nothing published yet, one row that says so. Both catalogues are read once: the gates read the few
+    columns that they need from written tables, the rows of the result are a written table too."""
+    columns = ["ref", "lat", "lon", "providers", "role"]
+    new, old = written(new.select(columns), "new"), written(old.select(columns), "old")
+    diff = written(catalogue_diff(new, old), "diff")
     gates = reduce(DataFrame.unionByName, [gate_count(new, old, config), gate_provider_drop(new, old, config), gate_key_churn(diff, config), gate_key_moves(diff, config).join(old.limit(1).select(F.lit(1).alias("any")), F.lit(True)).drop("any")])
     none = old.agg(F.count("*").alias("n")).where("n = 0").select(*_row("first run", F.lit(True), F.lit(0), 0, F.lit("nothing published yet")))
-    return gates.unionByName(none)
+    out = written(gates.unionByName(none).coalesce(1), "gates")  # some rows
+    for table in (new, old, diff):
+        discard(table)
+    return out
 
 
 def require(health: DataFrame) -> None:
@@ -96,11 +103,14 @@ def require(health: DataFrame) -> None:
         raise ValueError("; ".join(f"{r.gate}: {r.value:g} beyond {r.limit:g} ({r.detail})" for r in bad))
 
 
-def save_run_state(stats: DataFrame, state: DataFrame, known: list[str], renamed: dict[str, str] | None = None) -> DataFrame:
-    """source, record_count: this run's counts, else the carried ones; retired guides go."""
+def save_run_state(stats: DataFrame, state: DataFrame, known: list[str], renamed: dict[str, str] | None = None, versions: DataFrame | None = None) -> DataFrame:
+    """source, record_count, version_id: this run's counts and versions (source, version_id), else the carried ones; retired guides go."""
     name = F.col("source")
     for old, new in (renamed or {}).items():
         name = F.when(F.col("source") == old, new).otherwise(name)
-    was = state.select(name.alias("source"), F.col("record_count").alias("was")).groupBy("source").agg(F.max("was").alias("was"))
+    version = F.col("version_id") if "version_id" in state.columns else F.lit(None).cast("string")
+    was = state.select(name.alias("source"), F.col("record_count").alias("was"), version.alias("had")).groupBy("source").agg(F.max("was").alias("was"), F.max("had").alias("had"))
     now = stats.select(F.col("provider").alias("source"), F.col("record_count").alias("now"))
-    return was.join(now, "source", "full_outer").where(F.col("source").isin(known)).select("source", F.coalesce("now", "was").alias("record_count"))
+    both = was.join(now, "source", "full_outer")
+    both = both.withColumn("has", F.lit(None).cast("string")) if versions is None else both.join(versions.select("source", F.col("version_id").alias("has")), "source", "full_outer")
+    return both.where(F.col("source").isin(known)).select("source", F.coalesce("now", "was").alias("record_count"), F.coalesce("has", "had").alias("version_id"))

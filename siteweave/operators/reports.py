@@ -72,6 +72,27 @@ def overrides_report(overrides: DataFrame, records: DataFrame) -> DataFrame:
     return override_status(overrides, records).groupBy("verdict", "status").agg(F.count("*").alias("n"))
 
 
+def override_entries(overrides: DataFrame, records: DataFrame) -> DataFrame:
+    """verdict, nth (by a, then b within its verdict), first, second, reason, status: each entry with its records' names.
+
+    A key without a record is shown as it is, so that a stale entry can be seen; the keys of a pair stand in their order.
+    """
+    given = overrides if "reason" in overrides.columns else overrides.withColumn("reason", F.lit(None).cast("string"))
+    both = given.join(override_status(overrides, records).distinct(), ["a", "b", "verdict"])
+    label = records.select("key", member_label(F.col("provider"), F.col("name"), F.col("url")).alias("label"))
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    named = both.join(label.select(F.col("key").alias("low"), F.col("label").alias("l")), low == F.col("low"), "left").join(label.select(F.col("key").alias("high"), F.col("label").alias("h")), high == F.col("high"), "left")
+    cell = lambda shown, key: F.coalesce(shown, F.when(F.coalesce(key, F.lit("")) != "", F.concat(F.lit("`"), key, F.lit("`"))), F.lit("—"))
+    nth = F.row_number().over(Window.partitionBy("verdict").orderBy("a", "b"))
+    reason = F.replace(F.coalesce("reason", F.lit("—")), F.lit("|"), F.lit("\\|"))
+    return named.select("verdict", nth.alias("nth"), cell(F.col("l"), low).alias("first"), cell(F.col("h"), high).alias("second"), reason.alias("reason"), "status")
+
+
+def duplicate_counts(pairs: DataFrame) -> DataFrame:
+    """provider, n: how many pairs each guide has."""
+    return pairs.groupBy("provider").agg(F.count("*").alias("n"))
+
+
 def run_metrics(canonical: DataFrame, merged: DataFrame, review: DataFrame, duplicates: DataFrame, status: DataFrame) -> DataFrame:
     """metric, label, value: one small aggregate after the other."""
     one = lambda df, metric, value: df.agg(value.cast("double").alias("value")).select(F.lit(metric).alias("metric"), F.lit("").alias("label"), "value")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT
 from siteweave.functions import geo
-from siteweave.operators import gates, select
+from siteweave.operators import gates, pairs, publish, reports, select
 from siteweave.plans.catalogue import (
     _CANON,
     _IDS,
+    _KEYS,
+    _LABEL,
     _MEMBERS,
+    _PAIRS,
     RECORDS,
     _numbered,
     _with,
@@ -19,9 +24,10 @@ from siteweave.plans.catalogue import (
     published,
     query,
     sites,
+    stated,
     wind_pairs,
 )
-from siteweave.plans.store import new_path
+from siteweave.plans.store import new_path, written
 from siteweave.sources import derived, readers, sinks
 
 
@@ -143,14 +149,23 @@ def read_registry(spark, sf_dir):
 
 @query(_with(RECORDS) + "select provider source, count(*) record_count, null::varchar version_id from rec group by 1")
 def read_run_state(spark, sf_dir):
-    from siteweave.plans.catalogue import records
-
     path = new_path(spark, "state")
-    state = gates.save_run_state(gates.source_stats(records(spark, sf_dir)), last_counts(spark, sf_dir), list(DEFAULT.precedence), {"siteguide_au": "ansg"})
+    state = gates.save_run_state(gates.source_stats(derived.records(spark, sf_dir)), last_counts(spark, sf_dir), list(DEFAULT.precedence), {"siteguide_au": "ansg"})
     state.write.parquet(path)
     return readers.read_run_state(spark, path)
 
 
+@query(_with(RECORDS) + """select provider source, count(*) record_count, case provider when 'pge' then 'v' || count(*) when 'ansg' then 's' || (select count(*) from supplier) end version_id from rec group by 1""")
+def run_state_versions(spark, sf_dir):
+    """A version of this run, one carried from before under a former name, a guide without one and a retired guide's."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").agg(F.concat(F.lit("s"), F.count("*").cast("string")).alias("had"))
+    had = F.when(F.col("source") == "siteguide_au", F.col("had")).when(F.col("source") == "retired", "old")
+    state = last_counts(spark, sf_dir).crossJoin(suppliers).withColumn("version_id", had)
+    stats = gates.source_stats(derived.records(spark, sf_dir))
+    versions = stats.where("provider = 'pge'").select(F.col("provider").alias("source"), F.concat(F.lit("v"), F.col("record_count").cast("string")).alias("version_id"))
+    return gates.save_run_state(stats, state, list(DEFAULT.precedence), {"siteguide_au": "ansg"}, versions)
+
+
 _GUIDES = """guides as (select case n_nationkey when 0 then 'pge' when 1 then 'ansg' when 2 then 'dhv' else 'g' || n_nationkey end as name, n_name "label", n_name || ' guide' full_name, 'https://' || lower(n_name) || '.example.org' homepage,
   'https://example.org/' || lower(n_name) || '?item={id}' site_url_template, 'CC' licence, null::varchar licence_url from nation)"""
 
@@ -179,6 +194,18 @@ def source_page_url(spark, sf_dir):
     return select.source_pages(sites(spark, sf_dir), guide_dimension(spark, sf_dir))
 
 
+@query("""with g as (select n_nationkey k, case n_nationkey when 0 then 'pge' when 1 then 'ansg' when 2 then 'dhv' else 'g' || n_nationkey end as name from nation)
+select name, 'unranked' problem from g where k > 2 union all select name, 'no label' from g where k % 4 = 1 union all select name, 'no homepage' from g where k % 5 = 2
+union all select name, 'no full_name' from g where k % 6 = 0 union all select name, 'no label' from g where k % 6 = 0 and k % 4 <> 1 union all select name, 'no homepage' from g where k % 6 = 0 and k % 5 <> 2
+union all select name, 'no site_url_template' from g where k % 6 = 0""")
+def guide_checks(spark, sf_dir):
+    """A guide for each nation: most are unranked, some have a blank label or homepage, some are not in the dimension at all."""
+    rows = guide_dimension(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("label"), F.col("n_nationkey").alias("k")), "label")
+    k = F.col("k")
+    known = rows.where(k % 6 != 0).withColumn("label", F.when(k % 4 == 1, "  ").otherwise(F.col("label"))).withColumn("homepage", F.when(k % 5 != 2, F.col("homepage")))
+    return readers.guide_violations(rows.select("name"), known)
+
+
 # --- shards, counts and gates ---------------------------------------------------------------
 
 @query(_with(RECORDS, _MEMBERS, _CANON, "c as (select coalesce(country, 'xx') country, bool_or(low like 'pge:%33') changed from site group by 1)") + """
@@ -238,3 +265,60 @@ def country_shard_bodies(spark, sf_dir):
     source = F.array_join(F.array_sort(F.transform(F.map_entries("r.sources"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))), ";")
     plain = ["id", "name", "lat", "lon", "role", "primary", "altitude", "country", "url", "closed", "notes", "tow"]
     return back.select("shard", *[f"r.{c}" for c in plain], wind_pairs(F.col("r.wind")).alias("wind"), source.alias("source"), F.array_join("r.group", ";").alias("site_group"))
+
+
+# --- overrides and duplicates by entry ------------------------------------------------------
+
+_ENTRY = """dec2 as (select *, case when substr(verdict, 1, 1) = 'n' then 'far | apart' end reason from dec),
+ent as (select verdict, row_number() over (partition by verdict order by a, b) nth, least(a, b) low, greatest(a, b) high, coalesce(replace(reason, '|', '\\|'), '—') reason from dec2)"""
+
+
+@query(_with(RECORDS, _PAIRS, _KEYS, _ENTRY) + f"""select verdict, nth, coalesce({_LABEL.format("x")}, '`' || low || '`') "first", coalesce({_LABEL.format("y")}, '`' || high || '`') "second", reason,
+  case when x."key" is null or y."key" is null then 'stale' else 'yes' end status from ent left join rec x on x."key" = low left join rec y on y."key" = high""")
+def override_entries(spark, sf_dir):
+    """Every entry with its names, in order; some reasons hold a mark that would break a table, some are missing."""
+    said = stated(spark, sf_dir).withColumn("reason", F.when(F.col("verdict") == "never", "far | apart"))
+    return reports.override_entries(said, derived.records(spark, sf_dir))
+
+
+@query(_with(RECORDS, _PAIRS) + "select pa provider, count(*) n from near where pa = pb and ia < ib and ga <> gb and m <= 250 group by 1")
+def duplicate_counts(spark, sf_dir):
+    return reports.duplicate_counts(pairs.same_source_pairs(derived.records(spark, sf_dir)))
+
+
+# --- publishing ---------------------------------------------------------------------------
+
+def _renamed(spark, sf_dir, rows, tail):
+    """The sites whose smallest key ends so have another name."""
+    low = derived.slot_clusters(spark, sf_dir).groupBy("cluster_id").agg(F.min("key").alias("low"))
+    return rows.join(low, "cluster_id").withColumn("name", F.when(F.col("low").like(f"pge:%{tail}"), F.concat("name", F.lit("?"))).otherwise(F.col("name"))).drop("low")
+
+
+@query(_with(RECORDS, _MEMBERS, _CANON, "c as (select lower(coalesce(country, 'xx')) country, bool_or(low like 'pge:%33') changed from site group by 1)") + """
+select country, case when changed then 'written' else 'unchanged' end status, not changed files_kept from c union all select 'gone', 'removed', false""")
+def shards_written_again(spark, sf_dir):
+    """The second write over the first: which shards' files are still the same ones."""
+    path = new_path(spark, "shards")
+    new = _numbered(spark, sf_dir)
+    old = _renamed(spark, sf_dir, new, "33")
+    sinks.write_country_shards(old.unionByName(old.where("country = 'AU'").withColumn("country", F.lit("GONE"))), path)
+    files = lambda: spark.read.schema("value string, country string").text(path).groupBy("country").agg(F.array_sort(F.collect_set("_metadata.file_name")).alias("names"), F.max("_metadata.file_modification_time").alias("time"))
+    before = written(files(), "before")
+    status = sinks.write_country_shards(new, path)
+    same = before.join(files().select("country", F.col("names").alias("n2"), F.col("time").alias("t2")), "country", "left").select("country", F.coalesce((F.col("names") == F.col("n2")) & (F.col("time") == F.col("t2")), F.lit(False)).alias("files_kept"))
+    return status.join(same, "country")
+
+
+@query(_with(RECORDS, _MEMBERS, _CANON, _IDS, "c as (select *, lower(coalesce(country, 'xx')) shard, low like 'pge:%33' changed from site)") + """
+select shard, canonical_id id, name, 1 + max(changed::int) over (partition by shard) "run" from c join ids using (cluster_id)""")
+def published_catalogue(spark, sf_dir):
+    """Published twice, the second time with some names changed, and then refused: what readers see, and the run that wrote it."""
+    root = new_path(spark, "root")
+    new = _numbered(spark, sf_dir)
+    publish.publish(_renamed(spark, sf_dir, new, "33"), root)
+    publish.publish(new, root)
+    with contextlib.suppress(ValueError):
+        publish.publish(new.where("role = 'landing'"), root)  # too few rows: the gates refuse
+    rows = publish.read_shards(spark, root).select(F.col("country").alias("shard"), F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.name").alias("name"))
+    runs = publish.manifest(spark, root).select(F.col("country").alias("shard"), F.regexp_extract("folder", "^runs/0*([0-9]+)", 1).cast("int").alias("run"))
+    return rows.join(runs, "shard").select("shard", "id", "name", "run")

@@ -47,9 +47,50 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """The path in its file system, whichever that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _place(spark, path)
+    return system.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, at = _place(spark, path)
+    system.delete(at, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    system, at = _place(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(at)) if system.exists(at) else []
+
+
+def small_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if there is none."""
+    if not exists(spark, path):
+        return None
+    row = spark.read.text(path, wholetext=True).first()
+    return row[0] if row else ""
+
+
+def switch(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file in one step: readers see the old content or the new, nothing between."""
+    jvm, new = spark._jvm, f"{path}.{uuid.uuid4().hex}"
+    system, at = _place(spark, new)
+    out = system.create(at, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(at, jvm.org.apache.hadoop.fs.Path(path), how)
+
+
 def discard(df: DataFrame) -> None:
     """Removes a table that ``written`` has made and that nothing will read again."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove(df.sparkSession, folder)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.config import DIRECTIONS, RECORD_COLUMNS, RECORD_SCHEMA
+from siteweave.config import DEFAULT, DIRECTIONS, RECORD_COLUMNS, RECORD_SCHEMA, Config
 from siteweave.functions.geo import Box, bbox_intersect, in_bbox
 from siteweave.functions.text import (
     approximate_flag,
@@ -189,12 +189,24 @@ def read_kml_areas(spark: SparkSession, path: str, country: str, box: Box, provi
 def union_records(guides: dict[str, tuple[Box, object]], scope: Box) -> DataFrame:
     """guides: name -> (extent, function of a box giving records). A guide outside the scope is skipped.
 
-    Fails when read if a key occurs twice.
+    Reading the result fails if a key occurs twice or is null.
     """
     parts = [make(box) for extent, make in guides.values() if (box := bbox_intersect(extent, scope))]
     if not parts:
         raise ValueError("no guide covers this scope")
-    return reduce(DataFrame.unionByName, parts)
+    return with_unique(reduce(DataFrame.unionByName, parts))
+
+
+def with_unique(records: DataFrame, column: str = "key") -> DataFrame:
+    """The same rows; any read of them fails if the column repeats a value or has a null.
+
+    The counts are summed up before they are exchanged, so what is sent is a key and a number; the verdict is one row,
+    which every row's filter needs, so no optimisation leaves it out.
+    """
+    wrong = records.groupBy(column).agg(F.count("*").alias("n")).where(F.col(column).isNull() | (F.col("n") > 1))
+    told = F.concat(F.lit(f"{column} occurs more than once or is null: "), F.col("wrong").cast("string"), F.lit(" values, such as "), F.coalesce(F.col("least").cast("string"), F.lit("null")))
+    verdict = wrong.agg(F.count("*").alias("wrong"), F.min(column).alias("least")).select(F.when(F.col("wrong") == 0, True).otherwise(F.raise_error(told).cast("boolean")).alias("__unique"))
+    return records.crossJoin(F.broadcast(verdict)).where("__unique").drop("__unique")  # one row
 
 
 def require_unique(records: DataFrame, column: str = "key") -> None:
@@ -247,5 +259,25 @@ def read_run_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("source string, record_count bigint, version_id string").parquet(path)
 
 
+IDENTITY = ("label", "full_name", "homepage", "site_url_template")
+
+
+def guide_violations(names: DataFrame, guides: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """name, problem: guides of a run (name) that have no place in the precedence, so that their keys would follow from the
+    alphabet, or that lack part of their identity in the dimension, so that their rows would go out without a label or a link."""
+    blank = [F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) == "", F.lit(f"no {c}")) for c in IDENTITY]
+    unranked = F.when(~F.col("name").isin(*config.precedence), F.lit("unranked"))
+    found = names.select("name").distinct().join(guides.select("name", *IDENTITY), "name", "left")
+    return found.select("name", F.explode(F.array_compact(F.array(unranked, *blank))).alias("problem"))
+
+
+def require_guides(names: list[str], guides: DataFrame, config: Config = DEFAULT) -> None:
+    """Raises before anything is read if a guide of the run is unranked or unnamed."""
+    rows = guides.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    wrong = guide_violations(rows, guides, config).orderBy("name", "problem").collect()  # some rows for each guide
+    if wrong:
+        raise ValueError("guides: " + ", ".join(f"{r.name}: {r.problem}" for r in wrong))
+
+
 def read_guides(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string, label string, full_name string, homepage string, site_url_template string, licence string, licence_url string").json(path)

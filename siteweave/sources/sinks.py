@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.config import DIRECTIONS
 from siteweave.functions.text import encode_tokens, normalise_newlines, numeric_id
+from siteweave.plans.store import discard, exists, remove, written
 
 FLAT_COLUMNS = ["id", "ref", "name", "longitude", "latitude", "altitude", "country", *[f"wind_{d.lower()}" for d in DIRECTIONS], "source", "closed", "site_type", "tow", "site_group", "primary"]
 
@@ -23,23 +24,52 @@ def shard_rows(sites: DataFrame) -> DataFrame:
     return sites.select(F.lower(F.coalesce("country", F.lit("xx"))).alias("country"), "id", F.to_json(body).alias("body"))
 
 
-def write_country_shards(sites: DataFrame, path: str) -> None:
-    """One folder for each country, rows by id; the whole set is replaced, so stale countries go. Ranges of
-    (country, id) are written by tasks of their own, so a large country has several files, in order."""
-    rows = shard_rows(sites).repartitionByRange("country", "id").sortWithinPartitions("country", "id")
-    rows.select("country", F.col("body").alias("value")).write.mode("overwrite").partitionBy("country").text(path)
+def _in_files(rows: DataFrame) -> DataFrame:
+    """Ranges of (country, id) are written by tasks of their own, so a large country has several files, in order."""
+    return rows.repartitionByRange("country", "id").sortWithinPartitions("country", "id").select("country", F.col("body").alias("value"))
+
+
+def write_country_shards(sites: DataFrame, path: str) -> DataFrame:
+    """One folder for each country, rows by id. Only shards whose rows have changed are written again, those of countries
+    that are gone are removed; all other files keep their names and times. Returns country, status (a row for each shard).
+
+    Shards are compared by the number and the summed hashes of their rows, before anything is written; the changed ones
+    are replaced by a dynamic overwrite of their partitions.
+    """
+    spark = sites.sparkSession
+    rows = written(shard_rows(sites), "rows")
+    now = rows.groupBy("country").agg(*_sums("body"))
+    stored = spark.read.schema("value string, country string").text(path) if exists(spark, path) else None
+    was = now.limit(0) if stored is None else stored.groupBy("country").agg(*_sums("value"))
+    status = written(_status(now, was).coalesce(1), "status")
+    changed = F.broadcast(status.where("status = 'written'").select("country"))  # a row for each country
+    _in_files(rows.join(changed, "country")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country").text(path)
+    if stored is not None:
+        folders = stored.select("country", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
+        for row in folders.join(status.where("status = 'removed'"), "country").collect():  # a row for each country
+            remove(spark, row.folder)
+    discard(rows)
+    return status
+
+
+def _sums(body: str) -> list[Column]:
+    return [F.count("*").alias("n"), F.sum(F.xxhash64(body).cast("decimal(38,0)")).alias("sum")]
+
+
+def _status(new: DataFrame, old: DataFrame) -> DataFrame:
+    """country, status of two tables of sums."""
+    a, b = new.alias("a"), old.alias("b")
+    same = (F.col("a.n") == F.col("b.n")) & (F.col("a.sum") == F.col("b.sum"))
+    return a.join(b, "country", "full_outer").select("country", F.when(F.col("a.n").isNull(), "removed").when(same, "unchanged").otherwise("written").alias("status"))
 
 
 def shard_sums(sites: DataFrame) -> DataFrame:
-    return shard_rows(sites).groupBy("country").agg(F.count("*").alias("n"), F.sum(F.xxhash64("body").cast("decimal(38,0)")).alias("sum"))
+    return shard_rows(sites).groupBy("country").agg(*_sums("body"))
 
 
 def shard_changes(new: DataFrame, old: DataFrame) -> DataFrame:
     """country, status: written, unchanged or removed."""
-    a, b = shard_sums(new).alias("a"), shard_sums(old).alias("b")
-    both = a.join(b, "country", "full_outer")
-    same = (F.col("a.n") == F.col("b.n")) & (F.col("a.sum") == F.col("b.sum"))
-    return both.select("country", F.when(F.col("a.n").isNull(), "removed").when(same, "unchanged").otherwise("written").alias("status"))
+    return _status(shard_sums(new), shard_sums(old))
 
 
 def shard_totals(new: DataFrame, old: DataFrame) -> DataFrame:
