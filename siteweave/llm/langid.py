@@ -182,8 +182,11 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def sample(docs: DataFrame, learned: Column, key: str, text: str, lang: str, docs_each: int = DOCS, pieces: int = PIECES) -> DataFrame:
     """lang, window: the bounded sample. Chosen by the hash of the key, without reading texts."""
     usable = docs.where(F.col(lang).isNotNull() & learned).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(key).alias("u"), F.col(text).alias("text"))
+    # hashes are spread evenly, so all but a few times as many as are wanted can be left out before rows are exchanged
+    size = usable.groupBy("lang").agg(F.approx_count_distinct("u").alias("size"))
+    near = usable.select("lang", "u").join(F.broadcast(size), "lang").where(F.col("u") <= -(2.0**63) + 2.0**64 * F.least(F.lit(1.0), 4.0 * docs_each / F.col("size")))
     order = Window.partitionBy("lang").orderBy("u")
-    least = usable.select("lang", "u").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_each).groupBy("lang").agg(F.max("u").alias("most"))
+    least = near.select("lang", "u").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_each).groupBy("lang").agg(F.max("u").alias("most"))
     chosen = usable.join(F.broadcast(least), "lang").where("u <= most")  # a row for each language
     once = chosen.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("u", F.xxhash64("text")))).where(F.col("n") <= docs_each)
 
