@@ -59,6 +59,21 @@ def read_feature_landings(spark, sf_dir):
     return back.select("key", "name", "role", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "altitude", "country", "url", "notes", F.array_join("group_ids", ";").alias("group_ids"))
 
 
+@query(_with(RECORDS, """t as (select k, k % 3 f, k // 4 g, name, altitude, country, url, id from rec where provider = 'pge'),
+o as (select g, arg_min(k, f * 1000000000 + k) k, string_agg(id, ';' order by f, k) group_ids from t group by g)""") + """
+select 'pge:' || t.id || '-lz' as "key", name || ' Landing' as name, -30 + t.g / 1000 lat, 115 + t.g / 1000 lon, country, group_ids from t join o on t.k = o.k""")
+def landings_of_several_files(spark, sf_dir):
+    """Every landing is shared by takeoffs of three files: the first file's first takeoff names it."""
+    df = derived.base(spark, sf_dir).where("provider = 'pge'").withColumn("g", F.floor(F.col("k") / 4))
+    landing = F.struct((-30 + F.col("g") / 1000).cast("string").alias("landing_lat"), (115 + F.col("g") / 1000).cast("string").alias("landing_lng"))
+    item = F.struct(F.struct(F.col("id").alias("pge_site_id"), "name", F.col("country").alias("countryCode"), landing.alias("landing")).alias("properties"))
+    path = new_path(spark, "features")
+    lists = df.groupBy((F.col("k") % 3).alias("f")).agg(F.array_sort(F.collect_list(F.struct(F.col("k"), item.alias("item")))).alias("items"))
+    lists.select("f", F.to_json(F.struct(F.transform("items", lambda x: x["item"]).alias("features"))).alias("value")).write.partitionBy("f").text(path)
+    back = readers.read_feature_landings(spark, path, geo.WORLD)
+    return back.select("key", "name", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "country", F.array_join("group_ids", ";").alias("group_ids"))
+
+
 # --- polygons --------------------------------------------------------------------------
 
 @query("""with s as (select s_suppkey k, s_suppkey // 3 shape, case when s_suppkey % 2 = 0 then 'Stay low ' || s_suppkey end prose from supplier),

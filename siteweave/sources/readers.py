@@ -23,18 +23,19 @@ from siteweave.functions.text import (
     unsigned_decimal,
 )
 from siteweave.functions.wind import as_wind, graded_wind, parse_conditions
+from siteweave.sources.documents import array_items
 
-_FEATURES = (
-    "features array<struct<id: string, geometry: struct<coordinates: array<string>>, properties: struct<pge_site_id: string, name: string, "
+_FEATURE = (
+    "id string, geometry struct<coordinates: array<string>>, properties struct<pge_site_id: string, name: string, "
     + ", ".join(f"{d}: string" for d in DIRECTIONS)
     + ", takeoff_altitude: string, countryCode: string, pge_link: string, winch: string, landing: struct<landing_lat: string, landing_lng: string, "
-    "landing_altitude: string, landing_name: string, landing_description: string>>>>"
+    "landing_altitude: string, landing_name: string, landing_description: string>>"
 )
-_EXPORT = (
-    "sites array<struct<id: string, name: string, conditions: string, shortLocation: string, height: string, closed: string, landing: string, "
-    "mapShapeIds: array<bigint>, launches: array<struct<id: string, name: string, lat: double, lon: double, conditions: string, closed: string>>>>, "
-    "mapShapes array<struct<id: bigint, name: string, category: struct<name: string>, coordinatesList: array<string>>>"
+_SITE = (
+    "id string, name string, conditions string, shortLocation string, height string, closed string, landing string, "
+    "mapShapeIds array<bigint>, launches array<struct<id: string, name: string, lat: double, lon: double, conditions: string, closed: string>>"
 )
+_MAP_SHAPE = "id bigint, name string, category struct<name: string>, coordinatesList array<string>"
 _LINE, _AREA = "struct<coordinates: string>", "struct<outerBoundaryIs: struct<LinearRing: struct<coordinates: string>>>"
 _SHAPES = {"Point": _LINE, "LineString": _LINE, "LinearRing": _LINE, "Polygon": _AREA}
 _PLACEMARK = "name string, description string, styleUrl string, " + ", ".join(f"{n} {t}" for n, t in _SHAPES.items())
@@ -52,8 +53,14 @@ def as_records(df: DataFrame, provider: str) -> DataFrame:
     return df.select(*[(F.col(c) if c in df.columns else fill.get(c, F.lit(None))).cast(types[c]).alias(c) for c in RECORD_COLUMNS])
 
 
+def _items(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """pos, item: the objects of an array of all documents. pos orders them, by file and then by place."""
+    found = array_items(spark, path, name)
+    return found.select(F.struct("file", "range", "nth").alias("pos"), F.from_json("body", schema).alias("item")).where("item is not null")
+
+
 def _features(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(_FEATURES).json(path, multiLine=True).select(F.posexplode("features").alias("pos", "f"))
+    rows = _items(spark, path, "features", _FEATURE).withColumnRenamed("item", "f")
     p = F.col("f.properties")
     return rows.select("pos", "f", p.alias("p"), F.coalesce(clean_text(p["pge_site_id"]), clean_text(F.col("f.id"))).alias("site"), F.coalesce(clean_text(p["name"]), F.lit("Unknown site")).alias("title"))
 
@@ -85,7 +92,8 @@ def read_feature_points(spark: SparkSession, path: str, box: Box, provider: str
 
 
 def read_feature_landings(spark: SparkSession, path: str, box: Box, provider: str = "pge", template: str = "https://example.org/?site={id}") -> DataFrame:
-    """Landings nested in takeoffs, one for each place (5 decimals); the first takeoff names it, all are its groups."""
+    """Landings nested in takeoffs, one for each place (5 decimals); the first takeoff names it, all are its groups. First
+    is by the path of the file, then by place in it, so several files give one result however they are read."""
     z = F.col("p.landing")
     rows = _features(spark, path).withColumn("lat", clean_text(z["landing_lat"]).try_cast("double")).withColumn("lon", clean_text(z["landing_lng"]).try_cast("double"))
     good = rows.where(F.col("site").isNotNull() & in_bbox(F.col("lat"), F.col("lon"), box))
@@ -112,7 +120,7 @@ def read_feature_landings(spark: SparkSession, path: str, box: Box, provider: st
 
 def read_nested_launches(spark: SparkSession, path: str, box: Box, provider: str = "ansg", country: str = "AU", template: str = "https://example.org/sites/{id}") -> DataFrame:
     """Launches under sites; a launch's own text wins over its site's."""
-    rows = spark.read.schema(_EXPORT).json(path, multiLine=True).select(F.explode("sites").alias("s")).select("s", F.explode("s.launches").alias("l"))
+    rows = _items(spark, path, "sites", _SITE).select(F.col("item").alias("s"), F.explode("item.launches").alias("l"))
     title, part = F.coalesce(clean_text(F.col("s.name")), F.lit("Unknown site")), clean_text(F.col("l.name"))
     out = rows.where(in_bbox(F.col("l.lat"), F.col("l.lon"), box)).select(
         F.concat("s.id", F.lit("-"), "l.id").alias("id"),
@@ -132,15 +140,15 @@ def read_nested_launches(spark: SparkSession, path: str, box: Box, provider: str
 
 
 def read_polygon_landings(spark: SparkSession, path: str, box: Box, provider: str = "ansg", country: str = "AU", template: str = "https://example.org/sites/{id}") -> DataFrame:
-    """Shapes of category Landing that a site refers to, at the mean of their vertices."""
-    whole = spark.read.schema(_EXPORT).json(path, multiLine=True)
-    sites = whole.select(F.posexplode("sites").alias("pos", "s")).select("pos", "s.id", clean_text(F.col("s.landing")).alias("prose"), F.posexplode("s.mapShapeIds").alias("sub", "shape"))
+    """Shapes of category Landing that a site refers to, at the mean of their vertices. Sites are in the order of their files
+    and of their places in them."""
+    sites = _items(spark, path, "sites", _SITE).select("pos", "item.id", clean_text(F.col("item.landing")).alias("prose"), F.posexplode("item.mapShapeIds").alias("sub", "shape"))
     spot = F.struct("pos", "sub")
     parents = sites.groupBy("shape").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "sub", "id"))), lambda x: x["id"]).alias("group_ids"),
         F.min_by("prose", F.when(F.col("prose").isNotNull(), spot)).alias("notes"),
     )
-    shapes = whole.select(F.explode("mapShapes").alias("m")).where("m.category.name = 'Landing'").select("m.id", "m.name", ring_centroid(F.col("m.coordinatesList")).alias("at"))
+    shapes = _items(spark, path, "mapShapes", _MAP_SHAPE).where("item.category.name = 'Landing'").select("item.id", "item.name", ring_centroid(F.col("item.coordinatesList")).alias("at"))
     met = shapes.join(parents, shapes.id == parents.shape).where(in_bbox(F.col("at.lat"), F.col("at.lon"), box))
     out = met.select(
         F.concat(F.lit("lz-"), F.col("id").cast("string")).alias("id"),
