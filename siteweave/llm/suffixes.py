@@ -16,7 +16,8 @@ same result.
 Words are compared by 64-bit hashes (32 bits for each word beside the anchor).
 
 Defined edge cases: null and short texts have no passage; a text that occurs twice (also as
-a repeated row) is one passage if it has ``LENGTH`` words; other columns are not read; an
+a repeated row) is one passage if it has ``LENGTH`` words; null keys are kept and their texts
+compared as any others; other columns are not read; an
 empty table gives an empty result.
 """
 
@@ -217,7 +218,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     often = written(often.where("a <> b or c <> d").select("anchor", "n"), "often")
     found = anchors.join(often.select("anchor"), "anchor").select("th", "place").groupBy("th").agg(F.collect_set("place").alias("places"))
     wanted = found.join(units.select("th", "rep"), "th").select(F.col("th").alias("__th"), "rep", "places")
-    texts = base.join(wanted.hint("shuffle_hash"), (base[key] == F.col("rep")) & (F.col("th") == F.col("__th"))).select("th", "__text", "places")
+    texts = base.join(wanted.hint("shuffle_hash"), base[key].eqNullSafe(F.col("rep")) & (F.col("th") == F.col("__th"))).select("th", "__text", "places")
     suffixes = _suffixes(texts)
     crowded = often.where(F.col("n") > crowd).select("anchor")  # by copies too, so more than enough
     schema = "th bigint, start bigint, end bigint"
