@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteweave.llm import tokens
-from siteweave.plans.store import new_path, written
+from siteweave.plans.store import children, new_path, written
 
 LENGTH = 2048
 END = 0
 ROUNDS = 6
 #: Bytes of a shard, at most.
 SHARD_BYTES = 64 << 20
+#: Tasks that write shards, at most, for each shuffle partition of the session.
+TASKS = 16
 
 
 def permuted(x: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -107,12 +109,14 @@ def sequences(docs: DataFrame, length: int, tokenizer: str | None, key: str, tex
 
 
 def materialise(docs: DataFrame, out: str | None = None, seed: int = 1, length: int = LENGTH, tokenizer: str | None = None, shard_bytes: int = SHARD_BYTES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Writes shard-NNNNNN.bin files to ``out``, a folder that all executors see, once; the result is a written table.
+    """Writes shard-NNNNNN.bin files to ``out``, a new or empty folder that all executors see, once; the result is a written table.
 
     A row for each piece of a document: key, start, length, ids_crc32, shard, slot, offset.
     """
     spark = docs.sparkSession
     folder = out or new_path(spark, "shards")
+    if children(spark, folder):
+        raise ValueError(f"{folder} isn't empty: shards of another run may be there")
     made = written(sequences(docs, length, tokenizer, key, text), "sequences")
     sizes = made.groupBy("part").agg(F.count("*").alias("n"))  # a row for each task
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,8 +174,9 @@ def materialise(docs: DataFrame, out: str | None = None, seed: int = 1, length:
     names = [key, "start", "length", "ids_crc32", "shard", "slot", "offset"]
     numbered = made.join(F.broadcast(base), "part").select((F.col("base") + F.col("nth")).alias("i"), "ids", "pieces")  # a row for each task
     placed = numbered.mapInArrow(place, f"shard bigint, slot bigint, ids binary, pieces {piece}")
-    # a range of slots, which is a shard, for each task
-    dealt = placed.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
+    # a range of slots, which is a shard or some in a row, for each task
+    in_a_row = -(-shards // (TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = placed.repartitionById(-(-shards // in_a_row), F.floor(F.col("shard") / in_a_row).cast("int")).sortWithinPartitions("slot")
     return written(dealt.mapInArrow(write, f"`{key}` {kind}, " + ", ".join(f"{c} bigint" for c in names[1:])), "placed")
 
 
