@@ -12,7 +12,8 @@ documents for each block, so what the driver holds and sends to the tasks is bou
 
 Defined edge cases: null and wordless texts have no words and no hits; items without words
 are ignored; equal items and repeated item ids count as separate occurrences of their
-distinct ids; repeated rows of documents are treated one by one; extra columns are kept and
+distinct ids; the passages of an item without an id are hit, it is not listed or counted;
+repeated rows of documents are treated one by one; extra columns are kept and
 may have any name; empty tables give empty results (no benchmark: nothing is hit).
 """
 
@@ -154,7 +155,8 @@ class Phrases:
                     at = found.setdefault(tuple(numbers[i : i + window]), len(found))
                     if at == len(self.items):
                         self.items.append([])
-                    self.items[at].append(str(item))
+                    if item is not None:
+                        self.items[at].append(str(item))
         self.lengths = np.array([len(p) for p in found], dtype=np.int64)
         self.rows = np.zeros((len(found), window), dtype=np.int64)
         for i, p in enumerate(found):
