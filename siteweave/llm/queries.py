@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import functions as F
 
 from siteweave.llm import decontaminate, langid, lm, negatives, packing, pii, quality, shards, simhash, suffixes, tries, urls, windows
@@ -87,8 +89,8 @@ from d left join h using (rid) left join t using (rid)"""
 # --- personal data -------------------------------------------------------------------
 
 def pseudonym_key(spark) -> str:
-    """From the session; the given tables are invented, so theirs need not be secret."""
-    return spark.conf.get("spark.siteweave.pseudonym.key", "invented tables")
+    """From the session; where none is set a new secret one, so equal values are linked within a run only."""
+    return spark.conf.get("spark.siteweave.pseudonym.key", None) or secrets.token_hex(32)
 
 
 @query
