@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 WIDTH, HIDDEN, LANES = 64, 8, 4096
 #: The sample's bound: documents for each language, windows for each document.
 DOCS, PIECES = 240, 6
-#: Training: windows a step, passes over the sample, rate.
-STEP, PASSES, RATE = 256, 6, 0.03
+#: Training: windows a step, passes over the sample, steps at least, rate.
+STEP, PASSES, STEPS, RATE = 256, 6, 120, 0.03
 UNKNOWN = "und"
 LETTER = np.array([chr(i).isascii() and chr(i).isalpha() or i >= 128 for i in range(256)])
 
@@ -48,8 +48,6 @@ def steps(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray
 class Direction:
     """A gated recurrent unit: rows of gates are reset, update, candidate; states are columns."""
 
-    NAMES = ("given", "again", "bias")
-
     def __init__(self, r: np.random.Generator):
         self.given = (r.standard_normal((3 * HIDDEN, 256)) * 0.3).astype(np.float32)
         self.again = (r.standard_normal((3 * HIDDEN, HIDDEN)) / HIDDEN**0.5).astype(np.float32)
@@ -141,7 +139,9 @@ class Network:
     def learn(self, text: np.ndarray, language: np.ndarray, passes: int = PASSES, seed: int = 7) -> None:
         """Adam over shuffled windows; text (WIDTH, windows)."""
         r, moments, n = np.random.default_rng(seed), {}, 0
-        total = passes * -(-len(language) // STEP)
+        each = -(-len(language) // STEP)
+        passes = max(passes, -(-STEPS // each))
+        total = passes * each
         for _ in range(passes):
             order = r.permutation(len(language))
             for i in range(0, len(order), STEP):

@@ -17,8 +17,8 @@ block of anchors. Nothing grows with a label's or a vector's copies: state is k
 
 Defined edge cases: rows with a null key, label or vector, or a null or non-finite component take no part; rows of one
 key take part one by one and are never each other's partners; shorter vectors count as filled up with zeros; labels
-are integers; scores that don't fit in 64 bits are compared exactly and reported as the nearest 64-bit value; columns
-besides key, vector and label aren't read; an empty table gives no rows.
+are integers; a score beyond 64 bits counts as the nearest 64-bit number; columns besides key, vector and label aren't read;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ BLOCK, ANCHORS, TILE, NUMBERS = 8192, 16384, 1024, 1 << 22
 LEAST = 1024
 _PACKED = "part int, seq int, n int, ids binary, labels binary, kind string, width int, numbers binary"
 _FOUND = "part int, row bigint, n int, anchor_id bigint, id bigint, score bigint, given bigint"
-_LONG = np.iinfo(np.int64)
+_LONG = np.iinfo(np.int64)  # its bounds are Python integers
 
 
 def _pack(scale: float, most: int):
@@ -161,7 +161,7 @@ class Tile:
             # in object arithmetic the float threshold may be off by rounding: a little slack keeps it an upper bound
             threshold = up @ tops + down @ bottoms
             if kind is object:
-                threshold = threshold + np.abs(threshold) * 1e-9
+                threshold = np.maximum(threshold + np.abs(threshold) * 1e-9, float(_LONG.min))
             open_ = np.zeros(len(self.ids), bool)
             open_[self.of[np.asarray(threshold[self.of] >= self.best.bound, bool) & np.asarray(self.best.high >= self.best.bound, bool)]] = True
             open_ &= useful
@@ -179,7 +179,10 @@ class Tile:
             seen[new] = True
             depth = deep
             if len(new):
-                self._offer(active, mine_fast[active] @ fast[new].T, block.ids[new], block.labels[new])
+                scores = mine_fast[active] @ fast[new].T
+                if kind is object:
+                    scores = np.minimum(np.maximum(scores, _LONG.min), _LONG.max)
+                self._offer(active, scores, block.ids[new], block.labels[new])
 
     def _offer(self, active, scores, ids, labels) -> None:
         place = np.full(len(self.ids), -1)
@@ -202,7 +205,7 @@ class Tile:
     def rows(self):
         for w, score, who in zip(self.best.window, self.best.score, self.best.id):
             at, n, given = self.windows[w]
-            yield int(self.part[at]), int(self.row[at]), n, int(self.ids[at]), int(who), max(_LONG.min, min(_LONG.max, int(score))), given
+            yield int(self.part[at]), int(self.row[at]), n, int(self.ids[at]), int(who), int(score), given
 
 
 def _tiles(packed: list[dict], given: dict | None, k: int, low: int, high: int):
