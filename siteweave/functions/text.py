@@ -1,7 +1,6 @@
 """Text columns: cleaning, parsing, keys and labels.
 
-``slugify`` and ``name_similarity`` are the only pandas functions; Spark has neither Unicode
-decomposition nor a longest common subsequence.
+``slugify`` is the only pandas function; Spark has no Unicode decomposition.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
 
 # Words that mark a landing in a name.
 LANDING_WORDS = ("landing", "atterrissage", "landeplatz")
@@ -152,6 +151,84 @@ def similarity(a: str | None, b: str | None) -> float | None:
     return best
 
 
-@F.pandas_udf(DoubleType())
-def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+#: Bits of a word of the longest common subsequence; two such numbers and a carry fit in a bigint.
+WORD = 62
+
+
+def _bound(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _power(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n)
+
+
+def _marks(bits: Column, c: Column) -> Column:
+    """The bits of the characters (c, bit) that equal c."""
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda m, x: F.when(x["c"] == c, m.bitwiseOR(x["bit"])).otherwise(m))
+
+
+def _with_bits(chars: Column) -> Column:
+    return F.transform(chars, lambda c, i: F.struct(c.alias("c"), _power(i).alias("bit")))
+
+
+def _chars(s: Column) -> Column:
+    return F.filter(F.split(s, ""), lambda c: c != "")
+
+
+def common_count(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts, as a column: a bit for each character of b, in words of
+    ``WORD`` bits whose additions carry over. The bits that are cleared at the end are counted."""
+
+    def step(full: Column, state: Column, hit: Column, carry: Column) -> Column:
+        return _bound(state + hit + carry, lambda total: F.struct(total.bitwiseOR(state - hit).bitwiseAND(full).alias("word"), F.shiftright(total, WORD).alias("carry")))
+
+    def one(full: Column) -> Column:
+        return _bound(_with_bits(_chars(b)), lambda bits: F.aggregate(_chars(a), full, lambda state, c: step(full, state, state.bitwiseAND(_marks(bits, c)), F.lit(0).cast("long"))["word"]))
+
+    def several(chars: Column) -> Column:
+        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size(chars) - 1) / WORD).cast("int")), lambda j: F.slice(chars, j * WORD + 1, F.lit(WORD)))
+        words = F.transform(cuts, lambda cut: F.struct(_with_bits(cut).alias("bits"), (_power(F.size(cut)) - 1).alias("full")))
+
+        def across(words: Column, state: Column, c: Column) -> Column:
+            start = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(0).cast("long").alias("carry"))
+
+            def add(acc: Column, pair: Column) -> Column:
+                hit = pair["state"].bitwiseAND(_marks(pair["word"]["bits"], c))
+                # the last word may be shorter: bits beyond its characters are dropped by its mask
+                stepped = _bound(hit, lambda h: step(pair["word"]["full"], pair["state"], h, acc["carry"]))
+                return _bound(stepped, lambda r: F.struct(F.concat(acc["done"], F.array(r["word"])).alias("done"), r["carry"].alias("carry")))
+
+            return F.aggregate(F.zip_with(words, state, lambda w, s: F.struct(w.alias("word"), s.alias("state"))), start, add)["done"]
+
+        end = _bound(words, lambda w: F.aggregate(_chars(a), F.transform(w, lambda x: x["full"]), lambda state, c: across(w, state, c)))
+        return F.aggregate(end, F.lit(0), lambda n, x: n + F.bit_count(x))
+
+    single = _bound(_power(F.length(b)) - 1, lambda full: F.bit_count(one(full)))
+    left = F.when(F.length(b) <= WORD, single).otherwise(_bound(_chars(b), several))
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).otherwise(F.length(b) - left)
+
+
+def name_similarity(a: Column | str, b: Column | str) -> Column:
+    """Token-set ratio, 0 to 100, of built-in functions: shared words count fully, the rest by common subsequence; null if a
+    name is null or empty, 0 if one has no words."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    tokens = lambda s: F.array_distinct(F.filter(F.split(s, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != ""))
+    joined = lambda t: F.array_join(F.array_sort(t), " ")
+
+    def parts(sets: Column) -> Column:
+        x, y = sets["x"], sets["y"]
+        cut = F.struct(joined(F.array_intersect(x, y)).alias("both"), joined(F.array_except(x, y)).alias("p"), joined(F.array_except(y, x)).alias("q"))
+        return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(_bound(cut, ratio))
+
+    def ratio(s: Column) -> Column:
+        n, p, q = (F.length(s[c]) for c in ("both", "p", "q"))
+        gap = F.when(n > 0, 1).otherwise(0)
+        rate = lambda distance, total: 100.0 - 100.0 * distance / total
+        by_rest = rate(p + q - 2 * common_count(s["p"], s["q"]), 2 * (n + gap) + p + q)
+        shared = F.greatest(by_rest, rate(gap + p, 2 * n + gap + p), rate(gap + q, 2 * n + gap + q))
+        return F.when((n > 0) & ((p == 0) | (q == 0)), 100.0).when(n > 0, shared).otherwise(by_rest)
+
+    sets = F.struct(tokens(a).alias("x"), tokens(b).alias("y"))
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), _bound(sets, parts))

@@ -1,4 +1,5 @@
-"""The tables behind the reports, calibration and sweeps over the published rows."""
+"""The tables behind the reports, calibration and sweeps over the published rows. Rows come in any order: who shows a
+report sorts it."""
 
 from __future__ import annotations
 
@@ -42,7 +43,7 @@ def merged_report(records: DataFrame, clusters: DataFrame, country: DataFrame) -
     pair = pair.withColumn("s", name_similarity("name_a", "name_b"))
     wide = pair.groupBy("cluster_id").agg(F.max(F.struct("m", "key_a", "key_b")).alias("w"), F.min("s").alias("similarity"))
     out = wide.join(names, "cluster_id").join(country.select("cluster_id", F.coalesce("country", F.lit("??")).alias("country")), "cluster_id")
-    return out.select("cluster_id", "country", "members", F.round("w.m", 1).alias("spread_m"), F.round("similarity", 0).alias("similarity"), override_entry(F.col("w.key_a"), F.col("w.key_b"), "never").alias("override")).orderBy("country", "spread_m", "cluster_id")
+    return out.select("cluster_id", "country", "members", F.round("w.m", 1).alias("spread_m"), F.round("similarity", 0).alias("similarity"), override_entry(F.col("w.key_a"), F.col("w.key_b"), "never").alias("override"))
 
 
 def review_report(items: DataFrame, records: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def review_report(items: DataFrame, records: DataFrame) -> DataFrame:
         F.round(name_similarity("name_a", "name_b"), 0).alias("similarity"),
         "reason",
         override_entry(F.col("key_a"), F.col("key_b"), "always").alias("override"),
-    ).orderBy("distance_m", "override")
+    )
 
 
 def wind_text(wind):
@@ -64,7 +65,7 @@ def wind_text(wind):
 
 def duplicates_report(pairs: DataFrame, records: DataFrame) -> DataFrame:
     two = _two(pairs, records.drop("provider"), ["name", "wind"])
-    return two.select("provider", "key_a", "key_b", "distance_m", F.round(name_similarity("name_a", "name_b"), 0).alias("similarity"), wind_text(F.col("wind_a")).alias("wind_a"), wind_text(F.col("wind_b")).alias("wind_b")).orderBy("provider", "distance_m", "key_a")
+    return two.select("provider", "key_a", "key_b", "distance_m", F.round(name_similarity("name_a", "name_b"), 0).alias("similarity"), wind_text(F.col("wind_a")).alias("wind_a"), wind_text(F.col("wind_b")).alias("wind_b"))
 
 
 def overrides_report(overrides: DataFrame, records: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Column functions against values worked out by hand."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,16 @@ def test_distance_and_boxes(spark):
     assert geo.bbox_intersect(box, geo.Box(10, 0, 20, 10)) is None
     assert geo.bbox_intersect(box, geo.Box(5, 5, 20, 20)) == geo.Box(5, 5, 10, 10)
     assert one(spark, geo.in_bbox(F.lit(10.0), F.lit(0.0), box)) is True
+
+
+def test_similarity_as_a_column(spark):
+    """The column expression against the plain function: words, odd spaces, marks, names beyond one and beyond two words of bits."""
+    r = random.Random(12)
+    pool = ["hill", "ridge", "Öd", "launch", "a|b", "x" * 70, "é" * 40, "north", "West", "10", "kite gap", "𝒳y"]
+    name = lambda: r.choice([" ", "\t", "  "]).join(r.choice(pool) + r.choice(["", "s", str(r.randrange(30))]) for _ in range(r.randrange(12)))
+    rows = [(i, name(), name()) for i in range(250)] + [(300, None, "a"), (301, "a", None), (302, "", "a"), (303, "  ", "a"), (304, "a b", "b a c"), (305, "abcdefgh" * 20, "bcdefgha" * 20), (306, "x" * 62, "x" * 61 + "y"), (307, "y" + "x" * 124, "x" * 125)]
+    df = spark.createDataFrame(rows, "i int, a string, b string").withColumn("s", text.name_similarity("a", "b"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    for x in df.collect():
+        want = text.similarity(x.a, x.b)
+        assert x.s == (want if want is None else pytest.approx(want, abs=1e-9)), x
