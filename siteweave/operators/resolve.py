@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT, Config
 from siteweave.operators.components import components
-from siteweave.plans.store import written
+from siteweave.plans.store import discard, written
 
 
 def override_pairs(overrides: DataFrame, verdict: str) -> DataFrame:
@@ -89,38 +89,45 @@ def _components_at_once(inside: DataFrame, merge_m: float) -> DataFrame:
 
 
 def _in_rounds(pairs: DataFrame, merge_m: float, max_rounds: int = 1000) -> DataFrame:
-    """The same by joins: in each round every pair is decided that is the first pending one of both its clusters."""
-    allowed = written(pairs.where((F.col("distance_m") <= merge_m) | F.col("forced")).select("key_a", "key_b"), "allowed")
+    """The same by joins over a graph of clusters, contracted in each round.
+
+    An edge of two clusters has the number of pairs across that are allowed and the first merge pair among them. It is complete
+    if all pairs across are allowed; one that isn't never becomes so, as clusters only grow, and is left out at once. A merge is
+    decided when its edge has the first merge pair of both its clusters: earlier pairs touch neither. All such merges
+    of a round happen together, then their clusters and edges are joined, so a round's work shrinks with what is decided.
+    """
+    order = F.struct("distance_m", "key_a", "key_b")
+    one = pairs.groupBy("key_a", "key_b").agg(F.min(F.when(F.col("band") == "MERGE", order)).alias("turn"), F.bool_or((F.col("distance_m") <= merge_m) | F.col("forced")).alias("ok")).where("ok")
     ends = pairs.select(F.explode(F.array("key_a", "key_b")).alias("key")).distinct()
     seeds = components(pairs.where("forced").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
     cluster = written(ends.join(seeds, ends.key == seeds.node, "left").select("key", F.coalesce("root", "key").alias("cluster_id")), "clusters")
-    pending = written(pairs.where("band = 'MERGE'").select("key_a", "key_b", "distance_m"), "pending")
+    of = lambda s: cluster.select(F.col("key").alias(f"key_{s}"), F.col("cluster_id").alias(f"c_{s}"))
+    across = one.join(of("a"), "key_a").join(of("b"), "key_b").select(F.col("c_a").alias("x"), F.col("c_b").alias("y"), F.lit(1).cast("long").alias("within"), "turn")
+    before: list[DataFrame] = []
     for _ in range(max_rounds):
-        a = cluster.select(F.col("key").alias("key_a"), F.col("cluster_id").alias("x"))
-        b = cluster.select(F.col("key").alias("key_b"), F.col("cluster_id").alias("y"))
-        at = pending.join(a, "key_a").join(b, "key_b").where("x <> y").withColumn("turn", F.struct("distance_m", "key_a", "key_b"))
-        open_ = written(at, "open")
-        if open_.isEmpty():
-            return cluster
-        first = open_.select(F.explode(F.array("x", "y")).alias("c"), "turn").groupBy("c").agg(F.min("turn").alias("first"))
-        now = open_.join(first.select(F.col("c").alias("x"), F.col("first").alias("fx")), "x").join(first.select(F.col("c").alias("y"), F.col("first").alias("fy")), "y").where("turn = fx and turn = fy")
         size = cluster.groupBy("cluster_id").agg(F.count("*").alias("n"))
-        across = allowed.join(a, "key_a").join(b, "key_b").where("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "key_a", "key_b").distinct().groupBy("lo", "hi").agg(F.count("*").alias("within"))
-        decided = now.select("key_a", "key_b", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
-        judged = (
-            decided.join(across, ["lo", "hi"], "left")
-            .join(size.select(F.col("cluster_id").alias("lo"), F.col("n").alias("nl")), "lo")
-            .join(size.select(F.col("cluster_id").alias("hi"), F.col("n").alias("nh")), "hi")
-            .select("key_a", "key_b", "lo", "hi", (F.coalesce("within", F.lit(0)) == F.col("nl") * F.col("nh")).alias("joins"))
-        )
-        judged = written(judged, "judged")
-        moves = judged.where("joins").select(F.col("hi").alias("cluster_id"), F.col("lo").alias("to"))
-        cluster = written(cluster.join(moves, "cluster_id", "left").select("key", F.coalesce("to", "cluster_id").alias("cluster_id")), "clusters")
-        pending = open_.select("key_a", "key_b", "distance_m").join(judged.select("key_a", "key_b"), ["key_a", "key_b"], "left_anti")
+        edges = across.where("x <> y").groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(F.sum("within").alias("within"), F.min("turn").alias("turn"))
+        sized = edges.join(size.select(F.col("cluster_id").alias("lo"), F.col("n").alias("n_lo")), "lo").join(size.select(F.col("cluster_id").alias("hi"), F.col("n").alias("n_hi")), "hi")
+        edges = written(sized.where("within = n_lo * n_hi").select("lo", "hi", "within", "turn"), "edges")
+        open_ = edges.where("turn is not null").select("lo", "hi", "turn")
+        first = open_.select(F.explode(F.array("lo", "hi")).alias("c"), "turn").groupBy("c").agg(F.min("turn").alias("first"))
+        low, high = (first.select(F.col("c").alias(s), F.col("first").alias(f"first_{s}")) for s in ("lo", "hi"))
+        now = open_.join(low, "lo").join(high, "hi").where("turn = first_lo and turn = first_hi")
+        moves = written(now.select(F.col("hi").alias("from"), F.col("lo").alias("to")), "moves")
+        if moves.isEmpty():
+            for table in (*before, edges, moves):
+                discard(table)
+            return cluster
+        joined = written(cluster.join(moves, cluster.cluster_id == moves["from"], "left").select("key", F.coalesce("to", "cluster_id").alias("cluster_id")), "clusters")
+        for table in (*before, cluster):
+            discard(table)
+        before, cluster = [edges, moves], joined
+        at = lambda s: moves.select(F.col("from").alias(s), F.col("to").alias(f"to_{s}"))
+        across = edges.join(at("lo"), "lo", "left").join(at("hi"), "hi", "left").select(F.coalesce("to_lo", "lo").alias("x"), F.coalesce("to_hi", "hi").alias("y"), "within", "turn")
     raise RuntimeError("pairs are still pending")
 
 
-def cluster_records(records: DataFrame, pairs: DataFrame, overrides: DataFrame | None = None, config: Config = DEFAULT, max_edges: int = 5000) -> DataFrame:
+def cluster_records(records: DataFrame, pairs: DataFrame, overrides: DataFrame | None = None, config: Config = DEFAULT, max_edges: int = 100_000) -> DataFrame:
     """key, cluster_id (the smallest key of the cluster): exactly one row for each record."""
     known = pairs.select("key_a", "key_b", "distance_m", "band").withColumn("forced", F.lit(False))
     if overrides is not None:
@@ -143,7 +150,10 @@ def cluster_records(records: DataFrame, pairs: DataFrame, overrides: DataFrame |
     assigned = couples.union(_components_at_once(small, merge_m))
     if not large.isEmpty():
         assigned = assigned.union(_in_rounds(inside.join(large, "root", "left_semi"), merge_m))
-    return written(records.select("key").join(assigned, "key", "left").select("key", F.coalesce("cluster_id", "key").alias("cluster_id")), "clusters")
+    out = written(records.select("key").join(assigned, "key", "left").select("key", F.coalesce("cluster_id", "key").alias("cluster_id")), "clusters")
+    for table in (known, edges, marked, inside):
+        discard(table)
+    return out
 
 
 def review_items(pairs: DataFrame, clusters: DataFrame, overrides: DataFrame | None = None) -> DataFrame:

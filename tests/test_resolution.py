@@ -1,6 +1,7 @@
 """Pairs and clusters: cases by hand, then random records against a sequential version."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -125,3 +126,19 @@ def test_empty(spark):
     df = frame(spark, [])
     assert pairs.candidate_pairs(df).count() == 0
     assert resolve.cluster_records(df, pairs.candidate_pairs(df)).count() == 0
+
+
+@pytest.mark.parametrize("n, share", [(60, 1.0), (60, 0.7), (220, 0.85)])
+def test_large_components_in_tasks_and_in_rounds(spark, n, share):
+    """A clique of 60, and one component of some 20 000 pairs, each way under a minute."""
+    r = random.Random(n)
+    keys = [f"k{i:03d}" for i in range(n)]
+    found = [(a, b, round(r.uniform(1, 280), 1)) for i, a in enumerate(keys) for b in keys[i + 1 :] if r.random() < share]
+    df = spark.createDataFrame([(a, b, d, "MERGE" if d <= 250 and r.random() < 0.9 else "REVIEW") for a, b, d in found], "key_a string, key_b string, distance_m double, band string")
+    records = spark.createDataFrame([(k,) for k in keys], "key string")
+    results = []
+    for max_edges in (100_000, 10):
+        began = time.time()
+        results.append({(x.key, x.cluster_id) for x in resolve.cluster_records(records, df, max_edges=max_edges).collect()})
+        assert time.time() - began < 60
+    assert results[0] == results[1] and 1 < len({c for _, c in results[0]}) < n
