@@ -130,7 +130,7 @@ def materialise(docs: DataFrame, out: str | None = None, seed: int = 1, length:
     piece = f"array<struct<id: {kind}, start: bigint, length: bigint, offset: bigint>>"
 
     def place(batches):
-        codec = pa.Codec("zstd", compression_level=3)  # only for the way to the shards; the table is compressed as a whole
+        codec = pa.Codec("zstd", compression_level=9)  # only for the way to the shards; the table is compressed as a whole
         for b in batches:
             slot = permuted(b.column(0).to_numpy(), total, seed)
             packed = pa.array([codec.compress(x.as_buffer(), asbytes=True) for x in b.column(1)], pa.binary())
