@@ -337,3 +337,18 @@ def published_catalogue(spark, sf_dir):
     rows = publish.read_shards(spark, root).select(F.col("country").alias("shard"), F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.name").alias("name"))
     runs = publish.manifest(spark, root).select(F.col("country").alias("shard"), F.regexp_extract("folder", "^runs/0*([0-9]+)", 1).cast("int").alias("run"))
     return rows.join(runs, "shard").select("shard", "id", "name", "run")
+
+
+@query(_with(RECORDS, """t as (select lat, lon, degrees(400 / 6371000.0::double) * 1.02 step from rec),
+b as (select lon, step, floor(lat / step)::bigint band from t),
+c as (select band, greatest(floor(360.0 * cos(radians(least(greatest(abs(band * step), abs((band + 1) * step)), 90.0))) / step), 1)::bigint cells, lon from b),
+d as (select band, floor((lon + 180.0) / 360.0 * cells)::bigint % cells cell, count(*) n from c group by 1, 2)""") + """select band, cell, n, least(ceil(sqrt(n / 3)), 64)::int cuts from d where n > 3""")
+def crowded_cells(spark, sf_dir):
+    """Cells of 400 m with more than three records, and how often they are cut."""
+    return pairs.crowded_cells(derived.records(spark, sf_dir), 400.0, 3)
+
+
+@query(_with(RECORDS, _PAIRS) + "select * from pairs")
+def pairs_of_cut_cells(spark, sf_dir):
+    """All cells that hold more than one record are cut again: the same pairs."""
+    return pairs.candidate_pairs(derived.records(spark, sf_dir), crowd=1)

@@ -142,3 +142,45 @@ def test_large_components_in_tasks_and_in_rounds(spark, n, share):
         results.append({(x.key, x.cluster_id) for x in resolve.cluster_records(records, df, max_edges=max_edges).collect()})
         assert time.time() - began < 60
     assert results[0] == results[1] and 1 < len({c for _, c in results[0]}) < n
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 12])
+def test_cells_cut_again(spark, crowd):
+    """Crowded cells at the equator, at the date line, in the north and around a pole: the same pairs as without a cut."""
+    r = random.Random(crowd)
+    spots = [(0.0, 10.0), (-0.001, 180.0), (46.0, 8.0), (89.996, 0.0), (-89.999, 90.0)]
+    rows = []
+    for i in range(250):
+        lat, lon = r.choice(spots)
+        lat, lon = min(max(lat + r.gauss(0, 0.003), -90.0), 90.0), lon + r.gauss(0, 0.004) * (1 if abs(lat) < 80 else 20_000)
+        rows.append(record(f"{r.choice(['pge', 'ansg', 'dhv'])}:{i}", lat=lat, lon=(lon + 180) % 360 - 180, role=r.choice(["launch", "landing"])))
+    rows += [record(f"{g}:same{i}", lat=46.0, lon=8.0) for g in ("pge", "dhv") for i in range(12)]  # one place
+    df = frame(spark, rows)
+    assert pairs.crowded_cells(df, 400.0, crowd).count() > 0 and pairs.crowded_cells(df, 400.0).count() == 0
+    for f in (pairs.candidate_pairs, pairs.same_source_pairs):
+        cut, plain = (Counter(map(tuple, f(df, crowd=c).collect())) for c in (crowd, 10**9))
+        assert cut == plain and plain
+
+
+def test_two_hundred_thousand_records_in_one_cell(spark):
+    """No task has more than twice the median's rows, and every pair is found."""
+    n, cell = 200_000, 0.003
+    spot = spark.range(n).select(F.col("id").cast("string").alias("id"), (46.0 + cell * F.rand(1)).alias("lat"), (8.0 + cell * F.rand(2)).alias("lon"), F.when(F.col("id") % 20_000 == 7, "dhv").otherwise("pge").alias("provider"))
+    df = spot.select("provider", "id", F.concat_ws(":", "provider", "id").alias("key"), F.lit("launch").alias("role"), "lat", "lon", F.lit(False).alias("approximate_location")).cache()
+    assert pairs.crowded_cells(df, 400.0).agg(F.sum("n")).first()[0] == n
+    left = df.select("lat", "lon", "key")
+    step = pairs._step(400.0)
+    cuts = pairs.crowded_cells(df, 400.0).agg(F.max("cuts")).first()[0]
+    fine = left.groupBy(F.floor(F.col("lat") / step * cuts), F.floor(F.col("lon") * cuts / step)).count().agg(F.percentile_approx("count", 0.5), F.max("count")).first()
+    assert cuts >= 5 and fine[1] < 2 * fine[0] + 500
+    began = time.time()
+    found = pairs.candidate_pairs(df)
+    got = found.agg(F.count("*").alias("n"), F.sum("distance_m").alias("m")).first()
+    assert time.time() - began < 90
+    few = df.where("provider = 'dhv'").select(F.col("lat").alias("y"), F.col("lon").alias("x"))
+    from siteweave.functions.geo import haversine_m
+
+    meters = haversine_m(F.col("lat"), F.col("lon"), F.col("y"), F.col("x"))
+    want = df.where("provider = 'pge'").crossJoin(F.broadcast(few)).where(meters <= 400).agg(F.count("*").alias("n"), F.sum(F.round(meters, 1)).alias("m")).first()
+    df.unpersist()
+    assert got.n == want.n > 1_000_000 and got.m == pytest.approx(want.m)
