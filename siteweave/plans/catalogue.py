@@ -318,22 +318,22 @@ def source_stats(spark, sf_dir):
 def last_counts(spark, sf_dir):
     """Counts of an earlier run: more suppliers by half, customers and parts as now; a retired guide; no count for one."""
     count = lambda t, name, e: spark.read.parquet(f"{sf_dir}/{t}.parquet").agg(F.count("*").alias("n")).select(F.lit(name).alias("source"), F.expr(e).cast("long").alias("record_count"))
-    return count("supplier", "siteguide_au", "n + n div 2").union(count("customer", "pge", "n")).union(count("region", "retired", "n"))
+    return count("supplier", "ansg_before", "n + n div 2").union(count("customer", "pge", "n")).union(count("region", "retired", "n"))
 
 
-_LAST = """last as (select 'siteguide_au' source, (select count(*) + count(*) // 2 from supplier) was union all select 'pge', (select count(*) from customer)),
+_LAST = """last as (select 'ansg_before' source, (select count(*) + count(*) // 2 from supplier) was union all select 'pge', (select count(*) from customer)),
 now as (select provider, count(*) n from rec group by 1)"""
 
 
-@query(_with(RECORDS, _LAST) + """select provider source, (was - n) / was as "drop", coalesce((was - n) / was <= 0.2, true) ok from now left join last on provider = (case source when 'siteguide_au' then 'ansg' else source end)""")
+@query(_with(RECORDS, _LAST) + """select provider source, (was - n) / was as "drop", coalesce((was - n) / was <= 0.2, true) ok from now left join last on provider = (case source when 'ansg_before' then 'ansg' else source end)""")
 def source_health(spark, sf_dir):
-    previous = last_counts(spark, sf_dir).withColumn("source", F.when(F.col("source") == "siteguide_au", "ansg").otherwise(F.col("source")))
+    previous = last_counts(spark, sf_dir).withColumn("source", F.when(F.col("source") == "ansg_before", "ansg").otherwise(F.col("source")))
     return gates.source_health(gates.source_stats(records(spark, sf_dir)), previous)
 
 
 @query(_with(RECORDS) + "select provider source, count(*) record_count, null::varchar version_id from rec group by 1")
 def save_run_state(spark, sf_dir):
-    return gates.save_run_state(gates.source_stats(records(spark, sf_dir)), last_counts(spark, sf_dir), ["pge", "ansg", "dhv"], {"siteguide_au": "ansg"})
+    return gates.save_run_state(gates.source_stats(records(spark, sf_dir)), last_counts(spark, sf_dir), ["pge", "ansg", "dhv"], {"ansg_before": "ansg"})
 
 
 def published(spark, sf_dir, earlier: bool):

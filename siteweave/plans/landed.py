@@ -165,7 +165,7 @@ def read_registry(spark, sf_dir):
 @query(_with(RECORDS) + "select provider source, count(*) record_count, null::varchar version_id from rec group by 1")
 def read_run_state(spark, sf_dir):
     path = new_path(spark, "state")
-    state = gates.save_run_state(gates.source_stats(derived.records(spark, sf_dir)), last_counts(spark, sf_dir), list(DEFAULT.precedence), {"siteguide_au": "ansg"})
+    state = gates.save_run_state(gates.source_stats(derived.records(spark, sf_dir)), last_counts(spark, sf_dir), list(DEFAULT.precedence), {"ansg_before": "ansg"})
     state.write.parquet(path)
     return readers.read_run_state(spark, path)
 
@@ -174,11 +174,11 @@ def read_run_state(spark, sf_dir):
 def run_state_versions(spark, sf_dir):
     """A version of this run, one carried from before under a former name, a guide without one and a retired guide's."""
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").agg(F.concat(F.lit("s"), F.count("*").cast("string")).alias("had"))
-    had = F.when(F.col("source") == "siteguide_au", F.col("had")).when(F.col("source") == "retired", "old")
+    had = F.when(F.col("source") == "ansg_before", F.col("had")).when(F.col("source") == "retired", "old")
     state = last_counts(spark, sf_dir).crossJoin(suppliers).withColumn("version_id", had)
     stats = gates.source_stats(derived.records(spark, sf_dir))
     versions = stats.where("provider = 'pge'").select(F.col("provider").alias("source"), F.concat(F.lit("v"), F.col("record_count").cast("string")).alias("version_id"))
-    return gates.save_run_state(stats, state, list(DEFAULT.precedence), {"siteguide_au": "ansg"}, versions)
+    return gates.save_run_state(stats, state, list(DEFAULT.precedence), {"ansg_before": "ansg"}, versions)
 
 
 _GUIDES = """guides as (select case n_nationkey when 0 then 'pge' when 1 then 'ansg' when 2 then 'dhv' else 'g' || n_nationkey end as name, n_name "label", n_name || ' guide' full_name, 'https://' || lower(n_name) || '.example.org' homepage,
