@@ -35,6 +35,8 @@ LENGTH = 50
 ANCHOR = 20
 SIDE = LENGTH - ANCHOR
 CROWD = 200_000
+#: Rows of a passage that are no longer brought together, and such passages at most (8 bytes each are sent to every task).
+HOT, HOT_NAMES = 50_000, 100_000
 
 
 def kept_places(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,8 +231,14 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         few = suffixes.join(crowded, "anchor", "left_anti").select(suffixes.columns)
         near = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_neighbours, schema)
         all_ = written(suffixes.join(crowded, "anchor", "left_semi").select(suffixes.columns).mapInArrow(_counted, "name bigint, th bigint, start bigint"), "crowded")
-        twice = all_.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-        near = near.union(all_.join(twice, "name").select("th", "start", (F.col("start") + LENGTH).alias("end")))
+        twice = written(all_.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+        # names that fill a task are few: the threshold bounds them, so they are sent to the rows
+        least = max(HOT, -(-all_.count() // HOT_NAMES))
+        hot = F.broadcast(twice.where(F.col("n") >= least).select("name"))  # HOT_NAMES at most
+        many = all_.join(hot, "name", "left_semi")
+        some = all_.join(hot, "name", "left_anti").join(twice.where(F.col("n") < least).select("name"), "name")
+        for rows_ in (many, some):
+            near = near.union(rows_.select("th", "start", (F.col("start") + LENGTH).alias("end")))
     near = near.union(rows.where("place < -1").select("th", F.expr("cast(-2 - place as bigint)"), "anchor").distinct())
     spans = near.groupBy("th").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select("th", merged(F.col("spans")).alias("spans"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))

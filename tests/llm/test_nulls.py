@@ -30,6 +30,18 @@ def test_passages_of_texts_without_a_key(spark, shared, ids):
     assert [n for n, _ in near] == [90, 100, 150] and near[0][1] == 0 and all(n >= 80 for _, n in near[1:])
 
 
+@pytest.mark.parametrize("hot", [2, 50_000])
+def test_crowded_passages_hot_or_not(spark, monkeypatch, hot):
+    """Names that are sent to the rows and names that are joined give the same spans."""
+    r = random.Random(4)
+    common, rare = words(r, 60), words(r, 70)
+    texts = [words(r, 30) + " " + common + " " + words(r, 20) for _ in range(12)] + [rare + " " + words(r, 9), words(r, 8) + " " + rare, words(r, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    got = {x.doc_id: x.spans for x in suffixes.repeated_passages(docs, crowd=1).collect()}
+    assert got == {i: "30-90" for i in range(12)} | {12: "0-70", 13: "8-78", 14: ""} == {x.doc_id: x.spans for x in suffixes.repeated_passages(docs).collect()}
+
+
 def test_sequences_of_texts_without_a_key(spark, shared):
     docs = spark.createDataFrame([(None, shared[0]), (None, shared[1]), (3, None)], "doc_id long, text string")
     encode = lambda t: [*tokens.encoder(tokens.default_path()).tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
