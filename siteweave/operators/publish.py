@@ -71,10 +71,10 @@ def publish(sites: DataFrame, root: str, config: Config = DEFAULT, tables: dict[
     """country, status of each shard. sites are canonical rows with an id; tables are written beside them, with the run.
 
     Raises ValueError if a gate fails; the verdict then stays in the run's folder and the published catalogue as it was.
-    Without any change to a shard nothing is published.
+    Without any change to a shard nothing is published. If another run was published meanwhile this one isn't (RuntimeError).
     """
     spark = sites.sparkSession
-    before = manifest(spark, root)
+    base, before = current(spark, root), manifest(spark, root)
     run = f"{len(children(spark, f'{root}/runs')) + 1:06d}-{uuid.uuid4().hex[:8]}"
     home = f"{root}/runs/{run}"
     sites = written(sites, "sites")
@@ -97,6 +97,8 @@ def publish(sites: DataFrame, root: str, config: Config = DEFAULT, tables: dict[
     kept.unionByName(fresh).coalesce(1).write.parquet(f"{home}/manifest")
     for table in (rows, sites):
         discard(table)
+    if current(spark, root) != base:  # its shards would be lost: they are not in this manifest
+        raise RuntimeError("another run was published meanwhile")
     switch(spark, f"{root}/CURRENT", run)
     return status
 

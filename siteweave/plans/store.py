@@ -29,7 +29,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextlib.contextmanager
 def _shuffles_removed(spark: SparkSession):
-    """Shuffle files of what is written meanwhile are removed as soon as it is, not whenever the driver collects garbage."""
+    """Shuffle files of what is written meanwhile are removed as soon as it is, not whenever the driver collects garbage.
+
+    The setting is the session's: threads that share one should not plan queries while another writes.
+    """
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
     spark.conf.set(name, "true")

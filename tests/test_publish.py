@@ -86,6 +86,24 @@ def test_a_run_lost_before_the_switch_is_never_seen(spark, monkeypatch):
     assert len(os.listdir(f"{root}/runs".removeprefix("file://"))) == 1 and len(catalogue(spark, root)) == 60
 
 
+def test_two_runs_at_once(spark, monkeypatch):
+    """The run that ends later would undo the other's shards, so it isn't published."""
+    root = new_path(spark, "root")
+    publish.publish(sites(spark, many()), root)
+    first, second = many(), many()
+    first[1]["name"], second[2]["name"] = "One", "Two"
+    judge = publish.gates.require
+
+    def meanwhile(verdict):
+        monkeypatch.setattr(publish.gates, "require", judge)
+        publish.publish(sites(spark, first), root)
+
+    monkeypatch.setattr(publish.gates, "require", meanwhile)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        publish.publish(sites(spark, second), root)
+    assert ("au", "One") in catalogue(spark, root) and ("au", "Two") not in catalogue(spark, root)
+
+
 def test_a_manifest_names_old_and_new_folders(spark):
     root = new_path(spark, "root")
     nz = many("NZ", 60, 100)
