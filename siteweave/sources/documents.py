@@ -38,10 +38,12 @@ def _chunks(batches):
     """(file, start of the range, bytes, ends) of rows in order; ends marks the last bytes of a range that this task sees."""
     at, held, size = None, [], 0
     for b in batches:
+        if not b.num_rows:
+            continue
         files, starts, values = b.column(0), b.column(1).to_numpy(), b.column(2).cast(pa.large_binary())
         offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
         data = values.buffers()[2]
-        cut = [0, *(np.flatnonzero(np.diff(starts)) + 1).tolist(), b.num_rows] if b.num_rows else [0, 0]
+        cut = [0, *(np.flatnonzero(np.diff(starts)) + 1).tolist(), b.num_rows]
         for i, j in zip(cut, cut[1:]):
             # files of equal starts follow one another in a batch: split by name as well
             while i < j:
