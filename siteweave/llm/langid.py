@@ -173,6 +173,8 @@ class Network:
 
 def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, first byte and size of each text; null has none."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
