@@ -432,6 +432,45 @@ def test_verified_runs_against_all_pairs():
         assert sorted(zip(m, at)) == [(i, s) for i in range(len(th)) for s in range(7) if any(th[i] != th[j] and like(i, j, s) >= 0.8 for j in range(len(th)))]
 
 
+def test_spans_of_sorted_rows_in_batches():
+    r = np.random.default_rng(8)
+    for size in (1, 3, 1000):
+        th, start, n, other = r.integers(-3, 3, 300), r.integers(0, 400, 300), r.integers(1, 12, 300), r.integers(0, 9, 300)
+        order = np.lexsort((start, th))
+        rows = pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (th, start, start + n, other)], ["th", "start", "end", "other"])
+        batches = [rows.slice(0, 0), *(rows.slice(i, size) for i in range(0, 300, size))]
+        got = {d["th"]: d for b in windows._spans(batches) for d in b.to_pylist()}
+        assert sorted(got) == sorted({*th.tolist()})
+        for t, d in got.items():
+            mine = th == t
+            # places between words: touching spans are one
+            inside = {2 * w + k for s, m in zip(start[mine].tolist(), n[mine].tolist()) for w in range(s, s + m) for k in (0, 1, 2)}
+            ends = [(x // 2, next(y for y in range(x, 2000) if y + 1 not in inside) // 2) for x in sorted(inside) if x - 1 not in inside]
+            assert d["spans"] == ";".join(f"{x}-{y}" for x, y in ends)
+            assert d["covered"] == sum(y - x for x, y in ends) and d["n_links"] == len({*other[mine].tolist()})
+    assert not list(windows._spans([]))
+
+
+def test_runs_whose_signatures_are_far_apart_are_not_alike():
+    r = np.random.default_rng(9)
+    x = r.integers(0, 2**32, 46).astype(np.uint32)
+    for changed in range(12):
+        y = x.copy()
+        y[r.choice(46, changed, replace=False)] = r.integers(0, 2**32, changed)
+        apart = np.bitwise_count(windows.signatures(x) ^ windows.signatures(y)).sum()
+        assert apart <= 2 * changed and (windows.jaccard(x[None], y[None])[0] < 0.8 or apart <= windows.APART)
+
+
+def test_windows_of_several_texts():
+    r = np.random.default_rng(10)
+    for values in (2, 5, 10**6) * 20:
+        n, run = int(r.integers(1, 200)), int(r.integers(1, 50))
+        begin, x = np.unique(np.append(r.integers(0, n, 3), 0)), r.integers(0, values, n).astype(np.uint64)
+        got = [(s, c) for c, first, last in zip(*windows.compact_windows(x, run, begin)) for s in range(first, last + 1)]
+        want = [(s, s + int(np.argmin(x[s : s + run]))) for a, b in zip(begin, [*begin[1:], n]) for s in range(a, b - run + 1)]
+        assert sorted(got) == want
+
+
 def test_passages_of_just_over_fifty_words(spark):
     r = np.random.default_rng(7)
     rows, size = [], {}
