@@ -20,6 +20,11 @@ METRES = r"(?i)(\d[\d,]*(?:\.\d+)?)\s*m\b"
 FEET = r"(?i)(\d[\d,]*(?:\.\d+)?)\s*(?:ft|')"
 
 
+def bound(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean_text(x: Column) -> Column:
     """Stripped of any white space at its ends; null if nothing is left."""
     return F.nullif(F.regexp_replace(x.cast("string"), r"(?U)^\s+|\s+$", ""), F.lit(""))
@@ -155,11 +160,6 @@ def similarity(a: str | None, b: str | None) -> float | None:
 WORD = 62
 
 
-def _bound(value: Column, body) -> Column:
-    """body(value), with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _power(n: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), n)
 
@@ -182,10 +182,10 @@ def common_count(a: Column, b: Column) -> Column:
     ``WORD`` bits whose additions carry over. The bits that are cleared at the end are counted."""
 
     def step(full: Column, state: Column, hit: Column, carry: Column) -> Column:
-        return _bound(state + hit + carry, lambda total: F.struct(total.bitwiseOR(state - hit).bitwiseAND(full).alias("word"), F.shiftright(total, WORD).alias("carry")))
+        return bound(state + hit + carry, lambda total: F.struct(total.bitwiseOR(state - hit).bitwiseAND(full).alias("word"), F.shiftright(total, WORD).alias("carry")))
 
     def one(full: Column) -> Column:
-        return _bound(_with_bits(_chars(b)), lambda bits: F.aggregate(_chars(a), full, lambda state, c: step(full, state, state.bitwiseAND(_marks(bits, c)), F.lit(0).cast("long"))["word"]))
+        return bound(_with_bits(_chars(b)), lambda bits: F.aggregate(_chars(a), full, lambda state, c: step(full, state, state.bitwiseAND(_marks(bits, c)), F.lit(0).cast("long"))["word"]))
 
     def several(chars: Column) -> Column:
         cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size(chars) - 1) / WORD).cast("int")), lambda j: F.slice(chars, j * WORD + 1, F.lit(WORD)))
@@ -197,16 +197,16 @@ def common_count(a: Column, b: Column) -> Column:
             def add(acc: Column, pair: Column) -> Column:
                 hit = pair["state"].bitwiseAND(_marks(pair["word"]["bits"], c))
                 # the last word may be shorter: bits beyond its characters are dropped by its mask
-                stepped = _bound(hit, lambda h: step(pair["word"]["full"], pair["state"], h, acc["carry"]))
-                return _bound(stepped, lambda r: F.struct(F.concat(acc["done"], F.array(r["word"])).alias("done"), r["carry"].alias("carry")))
+                stepped = bound(hit, lambda h: step(pair["word"]["full"], pair["state"], h, acc["carry"]))
+                return bound(stepped, lambda r: F.struct(F.concat(acc["done"], F.array(r["word"])).alias("done"), r["carry"].alias("carry")))
 
             return F.aggregate(F.zip_with(words, state, lambda w, s: F.struct(w.alias("word"), s.alias("state"))), start, add)["done"]
 
-        end = _bound(words, lambda w: F.aggregate(_chars(a), F.transform(w, lambda x: x["full"]), lambda state, c: across(w, state, c)))
+        end = bound(words, lambda w: F.aggregate(_chars(a), F.transform(w, lambda x: x["full"]), lambda state, c: across(w, state, c)))
         return F.aggregate(end, F.lit(0), lambda n, x: n + F.bit_count(x))
 
-    single = _bound(_power(F.length(b)) - 1, lambda full: F.bit_count(one(full)))
-    left = F.when(F.length(b) <= WORD, single).otherwise(_bound(_chars(b), several))
+    single = bound(_power(F.length(b)) - 1, lambda full: F.bit_count(one(full)))
+    left = F.when(F.length(b) <= WORD, single).otherwise(bound(_chars(b), several))
     return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).otherwise(F.length(b) - left)
 
 
@@ -220,7 +220,7 @@ def name_similarity(a: Column | str, b: Column | str) -> Column:
     def parts(sets: Column) -> Column:
         x, y = sets["x"], sets["y"]
         cut = F.struct(joined(F.array_intersect(x, y)).alias("both"), joined(F.array_except(x, y)).alias("p"), joined(F.array_except(y, x)).alias("q"))
-        return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(_bound(cut, ratio))
+        return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(bound(cut, ratio))
 
     def ratio(s: Column) -> Column:
         n, p, q = (F.length(s[c]) for c in ("both", "p", "q"))
@@ -231,4 +231,4 @@ def name_similarity(a: Column | str, b: Column | str) -> Column:
         return F.when((n > 0) & ((p == 0) | (q == 0)), 100.0).when(n > 0, shared).otherwise(by_rest)
 
     sets = F.struct(tokens(a).alias("x"), tokens(b).alias("y"))
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), _bound(sets, parts))
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), bound(sets, parts))

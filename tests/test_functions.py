@@ -136,3 +136,9 @@ def test_similarity_as_a_column(spark):
     for x in df.collect():
         want = text.similarity(x.a, x.b)
         assert x.s == (want if want is None else pytest.approx(want, abs=1e-9)), x
+
+
+def test_wind_prose_is_cleaned_once(spark):
+    """Each step stands in the plan once: it isn't computed again for each of the eight directions."""
+    plan = spark.range(1).select(wind.parse_conditions(F.col("id").cast("string")).alias("w"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("regexp_replace(") == 2 + len(wind.SPELLED)
