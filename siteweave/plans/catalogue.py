@@ -54,6 +54,10 @@ canon as (select cluster_id, arg_min(name, rnk) name, arg_min(lat, rnk) lat, arg
 site as (select canon.*, source, n_sources, pge, ansg, dhv, case when pge is not null then 'pge:' || pge when ansg is not null then 'ansg:' || ansg else 'dhv:' || dhv end ref from canon join srcs using (cluster_id))"""
 
 
+#: Readers take places inside their box, here the world: the copies of larger tables reach beyond it.
+_WORLD = "{0} between -90 and 90 and {1} between -180 and 180"
+
+
 def similarity_sql(pairs: str) -> str:
     """CTEs that end in sim (i, similarity) for the rows (i, a, b) of a query: the longest common subsequence is
     counted on the bits of one number."""
@@ -88,7 +92,7 @@ def sites(spark, sf_dir):
 
 # --- records and pairs -----------------------------------------------------------------
 
-@query(_with(RECORDS) + """select provider, id, "key", name, role, lat, lon, wind, altitude, country, url, closed, notes, tow, approximate_location, gid group_ids from rec""")
+@query(_with(RECORDS) + f"""select provider, id, "key", name, role, lat, lon, wind, altitude, country, url, closed, notes, tow, approximate_location, gid group_ids from rec where {_WORLD.format("lat", "lon")}""")
 def union_records(spark, sf_dir):
     return _as_text(readers.union_records({g: (geo.WORLD, _guide(spark, sf_dir, g)) for g in DEFAULT.precedence}, geo.WORLD))
 
@@ -530,7 +534,7 @@ def clean_text(spark, sf_dir):
 
 @query("""select c_custkey, case when c_acctbal >= 0 then c_acctbal end amount, c_custkey::int n, 'a' || chr(10) || c_name || chr(10) name from customer""")
 def text_numbers(spark, sf_dir):
-    """unsigned_decimal, numeric_id, normalise_newlines"""
+    """unsigned_decimal of the amount as written with two decimals, numeric_id, normalise_newlines"""
     df = spark.read.parquet(f"{sf_dir}/customer.parquet")
     plain = F.format_string("%.2f", "c_acctbal")
     return df.select("c_custkey", text.unsigned_decimal(plain).alias("amount"), text.numeric_id(F.format_string("SITE-%06d", "c_custkey")).alias("n"), text.normalise_newlines(F.concat(F.lit("a\r\n"), "c_name", F.lit("\r"))).alias("name"))
@@ -583,7 +587,7 @@ def _written_documents(df, path: str, key: str, item, name: str) -> None:
     grouped.select("g", F.to_json(F.struct(name)).alias("value")).write.partitionBy("g").text(path)
 
 
-@query(_with(RECORDS) + """select "key", name, 'launch' as role, lat, lon, wind, altitude, country, 'https://x.example.org/' || id url, k % 7 = 0 tow from rec where provider = 'pge'""")
+@query(_with(RECORDS) + f"""select "key", name, 'launch' as role, lat, lon, wind, altitude, country, 'https://x.example.org/' || id url, k % 7 = 0 tow from rec where provider = 'pge' and {_WORLD.format("lat", "lon")}""")
 def read_feature_points(spark, sf_dir):
     df = derived.base(spark, sf_dir).where("provider = 'pge'")
     grades = F.str_to_map(F.coalesce("grades", F.lit("")), F.lit(";"), F.lit(":"))

@@ -16,6 +16,7 @@ from siteweave.plans.catalogue import (
     _LABEL,
     _MEMBERS,
     _PAIRS,
+    _WORLD,
     RECORDS,
     _numbered,
     _with,
@@ -41,9 +42,9 @@ def _documents(df, path: str, order: str, per: int, body) -> None:
 # --- features --------------------------------------------------------------------------
 
 @query(_with(RECORDS, """t as (select k, k // 4 g, name, altitude, country, url, id, case when k % 5 = 1 then 'null' when k % 5 <> 0 then 'Field ' || k end said, case when k % 17 = 0 then 'Mow first' end note from rec where provider = 'pge'),
-f as (select g, min(k) k, string_agg(id, ';' order by k) group_ids from t where k % 11 <> 7 group by g)""") + """
-select 'pge:' || t.id || '-lz' as "key", coalesce(nullif(said, 'null'), name || ' Landing') as name, 'landing' as role, -30 + t.g / 1000 lat, 115 + t.g / 1000 lon, t.g::double altitude, country,
-  'https://x.example.org/' || t.id url, note notes, group_ids from t join f on t.k = f.k""")
+f as (select g, min(k) k, string_agg(id, ';' order by k) group_ids from t where k % 11 <> 7 group by g)""") + f"""
+select 'pge:' || t.id || '-lz' as "key", coalesce(nullif(said, 'null'), name || ' Landing') as name, 'landing' as role, round(-30 + t.g / 1000, 6) lat, round(115 + t.g / 1000, 6) lon, t.g::double altitude, country,
+  'https://x.example.org/' || t.id url, note notes, group_ids from t join f on t.k = f.k where {_WORLD.format("-30 + t.g / 1000", "115 + t.g / 1000")}""")
 def read_feature_landings(spark, sf_dir):
     """Four takeoffs share a landing; some name none."""
     df = derived.base(spark, sf_dir).where("provider = 'pge'").withColumn("g", F.floor(F.col("k") / 4))
@@ -60,8 +61,8 @@ def read_feature_landings(spark, sf_dir):
 
 
 @query(_with(RECORDS, """t as (select k, k % 3 f, k // 4 g, name, altitude, country, url, id from rec where provider = 'pge'),
-o as (select g, arg_min(k, f * 1000000000 + k) k, string_agg(id, ';' order by f, k) group_ids from t group by g)""") + """
-select 'pge:' || t.id || '-lz' as "key", name || ' Landing' as name, -30 + t.g / 1000 lat, 115 + t.g / 1000 lon, country, group_ids from t join o on t.k = o.k""")
+o as (select g, arg_min(k, f * 1000000000 + k) k, string_agg(id, ';' order by f, k) group_ids from t group by g)""") + f"""
+select 'pge:' || t.id || '-lz' as "key", name || ' Landing' as name, round(-30 + t.g / 1000, 6) lat, round(115 + t.g / 1000, 6) lon, country, group_ids from t join o on t.k = o.k where {_WORLD.format("-30 + t.g / 1000", "115 + t.g / 1000")}""")
 def landings_of_several_files(spark, sf_dir):
     """Every landing is shared by takeoffs of three files: the first file's first takeoff names it."""
     df = derived.base(spark, sf_dir).where("provider = 'pge'").withColumn("g", F.floor(F.col("k") / 4))
