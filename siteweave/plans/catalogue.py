@@ -532,7 +532,7 @@ def clean_text(spark, sf_dir):
     return docs.select("doc_id", text.clean_text(padded).alias("body"), (text.infer_role(F.col("text")) == "landing").alias("landing"))
 
 
-@query("""select c_custkey, case when c_acctbal >= 0 then c_acctbal end amount, c_custkey::int n, 'a' || chr(10) || c_name || chr(10) name from customer""")
+@query("""select c_custkey, case when c_acctbal::varchar not like '-%' then try_cast(c_acctbal::varchar as decimal(38,2))::double end amount, abs(c_custkey)::int n, 'a' || chr(10) || c_name || chr(10) name from customer""")
 def text_numbers(spark, sf_dir):
     """unsigned_decimal of the amount as written with two decimals, numeric_id, normalise_newlines"""
     df = spark.read.parquet(f"{sf_dir}/customer.parquet")

@@ -22,7 +22,7 @@ def tables(tmp_path_factory):
     return str(at), con
 
 
-@pytest.mark.parametrize("name", BOXED)
+@pytest.mark.parametrize("name", (*BOXED, "text_numbers"))
 def test_large_keys(spark, tables, name):
     at, con = tables
     df, cur = catalogue.QUERIES[name](spark, at), con.execute(catalogue.SQL[name])
