@@ -13,6 +13,7 @@ from siteweave.functions.geo import haversine_m
 from siteweave.functions.text import member_label, name_similarity, override_entry
 from siteweave.operators.pairs import landing_launches, nearest_counterparts
 from siteweave.operators.resolve import override_status
+from siteweave.plans.store import written
 
 #: Upper ends of the distance bands, the first from 0.
 BANDS = (50, 100, 150, 200, 250, 300, 400, 1000)
@@ -95,22 +96,22 @@ def duplicate_counts(pairs: DataFrame) -> DataFrame:
 
 
 def run_metrics(canonical: DataFrame, merged: DataFrame, review: DataFrame, duplicates: DataFrame, status: DataFrame) -> DataFrame:
-    """metric, label, value: one small aggregate after the other."""
-    one = lambda df, metric, value: df.agg(value.cast("double").alias("value")).select(F.lit(metric).alias("metric"), F.lit("").alias("label"), "value")
+    """metric, label, value: one small aggregate after the other, each of one pass over its table and written before the next is
+    planned, so that the driver never holds the plans and the broadcasts of all of them."""
+
+    def several(df, **values):
+        row = df.agg(*[v.cast("double").alias(n) for n, v in values.items()])
+        return row.select(F.inline(F.array(*[F.struct(F.lit(n.replace("_", " ")).alias("metric"), F.lit("").alias("label"), F.col(n).alias("value")) for n in values])))
+
     by = lambda df, metric, label: df.groupBy(F.col(label).alias("label")).agg(F.count("*").cast("double").alias("value")).select(F.lit(metric).alias("metric"), "label", "value")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            one(canonical, "sites", F.count("*")),
-            one(canonical, "countries", F.count_distinct(F.coalesce("country", F.lit("xx")))),
-            one(canonical, "without wind", F.count_if((F.col("role") == "launch") & (F.size("wind") == 0))),
-            one(merged, "merged", F.count("*")),
-            one(merged, "widest", F.max("spread_m")),
-            by(review, "review", "reason"),
-            by(duplicates, "duplicates", "provider"),
-            one(status, "override warnings", F.count_if(F.col("status") != "yes")),
-        ],
+    parts = (
+        several(canonical, sites=F.count("*"), countries=F.count_distinct(F.coalesce("country", F.lit("xx"))), without_wind=F.count_if((F.col("role") == "launch") & (F.size("wind") == 0))),
+        several(merged, merged=F.count("*"), widest=F.max("spread_m")),
+        by(review, "review", "reason"),
+        by(duplicates, "duplicates", "provider"),
+        several(status, override_warnings=F.count_if(F.col("status") != "yes")),
     )
+    return reduce(DataFrame.unionByName, [written(p.coalesce(1), "metrics") for p in parts])  # some rows each
 
 
 def calibration_histogram(records: DataFrame, source: str, countries: list[str], config: Config = DEFAULT) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siteweave.config import DEFAULT, DIRECTIONS
 from siteweave.functions import geo, text, wind
 from siteweave.operators import gates, pairs, reports, resolve, select
-from siteweave.plans.store import new_path
+from siteweave.plans.store import discard, new_path, written
 from siteweave.sources import derived, readers, sinks
 from siteweave.sources.derived import base_sql, records
 
@@ -227,8 +227,11 @@ j as (select p.*, a.c ca, b.c cb, a.multi ma, b.multi mb from pairs p join sized
 from j where ca <> cb and not (ma and mb)""")
 def review_items(spark, sf_dir):
     """On clusters that only the even half of the records joins."""
-    halves = derived.base(spark, sf_dir).select(F.col("rkey").alias("key"), F.when(F.col("k") % 2 == 0, F.concat_ws(":", "role", F.col("slot").cast("string"))).otherwise(F.col("rkey")).alias("cluster_id"))
-    return resolve.review_items(pairs.candidate_pairs(records(spark, sf_dir)), halves)
+    return resolve.review_items(pairs.candidate_pairs(records(spark, sf_dir)), _halves(spark, sf_dir))
+
+
+def _halves(spark, sf_dir):
+    return derived.base(spark, sf_dir).select(F.col("rkey").alias("key"), F.when(F.col("k") % 2 == 0, F.concat_ws(":", "role", F.col("slot").cast("string"))).otherwise(F.col("rkey")).alias("cluster_id"))
 
 
 _KEYS = """dec as (select key_b a, key_a b, case (ascii(key_a) + length(key_a) + length(key_b) * 3 + cast(distance_m * 10 as bigint)) % 5 when 0 then 'never' else 'always' end verdict from pairs
@@ -236,9 +239,9 @@ _KEYS = """dec as (select key_b a, key_a b, case (ascii(key_a) + length(key_a) +
   union all select 'pge:gone-' || n_name, 'dhv:gone', 'always' from nation)"""
 
 
-def stated(spark, sf_dir):
+def stated(spark, sf_dir, found=None):
     """Overrides made from the pairs by arithmetic that SQL repeats, and some for keys that don't exist."""
-    found = pairs.candidate_pairs(records(spark, sf_dir))
+    found = pairs.candidate_pairs(records(spark, sf_dir)) if found is None else found
     n = F.expr("(ascii(key_a) + length(key_a) + length(key_b) * 3 + cast(distance_m * 10 as bigint)) % 5")
     some = found.where(n < 2).select(F.col("key_b").alias("a"), F.col("key_a").alias("b"), F.when(n == 0, "never").otherwise("always").alias("verdict"))
     stale = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.lit("pge:gone-"), "n_name").alias("a"), F.lit("dhv:gone").alias("b"), F.lit("always").alias("verdict"))
@@ -438,7 +441,14 @@ union all select 'review', case when band = 'REVIEW' then 'beyond merge threshol
 union all select 'duplicates', pa, count(*) from near where pa = pb and ia < ib and ga <> gb and m <= 250 group by 2
 union all select 'override warnings', '', (select count(*) from st where status <> 'yes')""")
 def run_metrics(spark, sf_dir):
-    return reports.run_metrics(sites(spark, sf_dir), merged_report(spark, sf_dir), review_items(spark, sf_dir), same_source_pairs(spark, sf_dir), override_status(spark, sf_dir))
+    """All reports of one written table of records and one of pairs."""
+    df, clusters = written(records(spark, sf_dir), "records"), derived.slot_clusters(spark, sf_dir)
+    found, rows = written(pairs.candidate_pairs(df), "pairs"), select.members(df, clusters)
+    merged = reports.merged_report(df, clusters, select.cluster_country(rows))
+    out = reports.run_metrics(select.select_canonical(rows), merged, resolve.review_items(found, _halves(spark, sf_dir)), pairs.same_source_pairs(df), resolve.override_status(stated(spark, sf_dir, found), df))
+    discard(df)
+    discard(found)
+    return out
 
 
 @query(_with(RECORDS, _MEMBERS, _CANON, """f as (select coalesce(country, 'xx') country, wind <> '' windy, dhv is not null has, n_sources = 1 alone from site)""") + """

@@ -31,3 +31,10 @@ def test_large_keys(spark, tables, name):
     assert got == sorted(tuple(map(norm, r)) for r in cur.fetchall()) and got
     if name in BOXED:
         assert len(got) < 14 * (3 if name == "union_records" else 1)  # what lies beyond the world is left out
+
+
+def test_what_several_read_is_computed_once(spark):
+    """The driver plans one report after the other: what is left to read has no join."""
+    for df in (catalogue.run_metrics(spark, "/root/testdata/sf0.001"),):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and "parquet" in plan
