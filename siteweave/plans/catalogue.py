@@ -471,7 +471,7 @@ def catalogue_checks(spark, sf_dir):
 def _numbered(spark, sf_dir):
     """Sites with an id from their first key's order-free number."""
     ids = select.assign_ids(derived.slot_clusters(spark, sf_dir), old_registry(spark, sf_dir), 999990).select("cluster_id", F.col("canonical_id").alias("id"))
-    return sites(spark, sf_dir).join(ids, "cluster_id")
+    return written(sites(spark, sf_dir).join(ids, "cluster_id"), "sites")  # some queries read them several times
 
 
 _WINDS = ", ".join(f"coalesce(nullif(regexp_extract(wind, '(^|;){d}:(\\d)', 2), ''), '0') wind_{d.lower()}" for d in DIRECTIONS)

@@ -34,7 +34,7 @@ def test_large_keys(spark, tables, name):
 
 
 def test_what_several_read_is_computed_once(spark):
-    """The driver plans one report after the other: what is left to read has no join."""
-    for df in (catalogue.run_metrics(spark, "/root/testdata/sf0.001"),):
+    """The driver plans one report after the other, and numbered sites stand in a written table: what is left to read has no join."""
+    for df in (catalogue.run_metrics(spark, "/root/testdata/sf0.001"), catalogue._numbered(spark, "/root/testdata/sf0.001")):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan and "parquet" in plan
