@@ -27,6 +27,11 @@ def _two(pairs: DataFrame, records: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
+def _spread(two: DataFrame) -> DataFrame:
+    """Pairs dealt evenly over the session's tasks: names cost much time and few bytes, by which partitions would be put together."""
+    return two.repartition(int(two.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key_a", "key_b")
+
+
 def _label(s: str):
     return member_label(F.col(f"provider_{s}"), F.col(f"name_{s}"), F.col(f"url_{s}"))
 
@@ -48,7 +53,7 @@ def merged_report(records: DataFrame, clusters: DataFrame, country: DataFrame) -
 
 
 def review_report(items: DataFrame, records: DataFrame) -> DataFrame:
-    two = _two(items, records, ["provider", "name", "url"])
+    two = _spread(_two(items, records, ["provider", "name", "url"]))
     swap = F.col("provider_a") <= F.col("provider_b")
     return two.select(
         F.when(swap, _label("a")).otherwise(_label("b")).alias("first"),
@@ -65,7 +70,7 @@ def wind_text(wind):
 
 
 def duplicates_report(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    two = _two(pairs, records.drop("provider"), ["name", "wind"])
+    two = _spread(_two(pairs, records.drop("provider"), ["name", "wind"]))
     return two.select("provider", "key_a", "key_b", "distance_m", F.round(name_similarity("name_a", "name_b"), 0).alias("similarity"), wind_text(F.col("wind_a")).alias("wind_a"), wind_text(F.col("wind_b")).alias("wind_b"))
 
 

@@ -38,3 +38,8 @@ def test_what_several_read_is_computed_once(spark):
     for df in (catalogue.run_metrics(spark, "/root/testdata/sf0.001"), catalogue._numbered(spark, "/root/testdata/sf0.001")):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan and "parquet" in plan
+
+
+def test_pairs_of_a_report_are_dealt_over_all_tasks(spark):
+    plan = catalogue.duplicates_report(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # its size doesn't follow from bytes
