@@ -7,9 +7,13 @@ matter, and these are the minimisers, so the tree is built over them alone, by a
 For each pair of functions of ``COVER``, runs in a row with the same least hashes under both are a
 segment. Segments with the same shingles are one class: held by two texts, all its runs are near
 passages. Classes that agree in both functions meet (so any two runs that agree in 3 of 5 do), and
-every two of such a group are compared, run by run as their least hashes lie, by the exact
-Jaccard similarity of the runs' shingle sets, until each run has another text that verifies it.
-Groups over ``BLOCK`` are cut into blocks, each two of which meet in a task of their own.
+every two of such a group are compared by the exact Jaccard similarity of the runs' shingle sets,
+first run by run as their least hashes lie, then at any other places, until they have a run in common and
+each run that any other class verifies has one that does. Groups over ``BLOCK`` are cut into blocks,
+each two of which meet in a task of their own.
+
+Two texts are linked if they hold one class or classes that have a run in common. Links are sets of text
+numbers, a class's or a text's, and are united by tasks; only their numbers are returned.
 
 A pair of similarity 0.8 agrees in 3 of 5 hashes with probability 0.94, at 0.9 with 0.99, and
 passages longer than 50 words have many runs; reported passages are always verified.
@@ -26,6 +30,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -40,7 +45,7 @@ HASHES = 5
 COVER = ((0, 1), (2, 3), (2, 4), (3, 4))
 SIMILARITY = 0.8
 #: Shingles that runs of SIMILARITY have in one of them only, at most.
-APART = int(RUN * (1 / SIMILARITY - 1) + 1e-9)
+APART = int(2 * RUN * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
 #: Texts that a task remembers so that copies it has seen send no second row.
 SEEN = 500_000
 #: Members of a group that one task compares; a larger group is cut.
@@ -49,6 +54,10 @@ BLOCK = 8192
 AT_ONCE = 200_000
 #: Passes over the groups.
 PARTS = 3
+#: Members of a slot from which on it pays to see which shingles stand in one place.
+FEW = 32
+#: Links that one row has at most; more take several rows.
+LINKS = 1024
 _SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -173,7 +182,7 @@ def segments(grams: np.ndarray, begin: np.ndarray, shared: np.ndarray) -> tuple[
 
 
 def _segments(texts: DataFrame) -> DataFrame:
-    """texts (th, text, shared names) -> cls, th, start, n, key, anchor."""
+    """texts (th, text, shared names, num) -> cls, th, start, n, key, anchor, num."""
 
     def run(batches):
         seen: set[int] = set()
@@ -182,24 +191,25 @@ def _segments(texts: DataFrame) -> DataFrame:
             for b, i, words in rows:
                 if (th := b.column(0)[i].as_py()) not in seen:
                     seen.add(th)
-                    new.append((th, words, b.column(2)[i].values.to_numpy()))
+                    new.append((th, words, b.column(2)[i].values.to_numpy(), b.column(3)[i].as_py()))
             if new:
-                shared = np.unique(np.concatenate([x for _, _, x in new]))
-                text, start, n, cls, key, anchor = segments(*shingled([w for _, w, _ in new]), shared)
-                th = np.array([t for t, _, _ in new], dtype=np.int64)[text]
+                shared = np.unique(np.concatenate([x for _, _, x, _ in new]))
+                text, start, n, cls, key, anchor = segments(*shingled([w for _, w, _, _ in new]), shared)
+                th, num = np.array([t for t, _, _, _ in new], dtype=np.int64)[text], np.array([x for *_, x in new], dtype=np.int64)[text]
                 for i in range(0, len(start), 50_000):
                     j = slice(i, i + 50_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cls[j]), pa.array(th[j]), pa.array(start[j].astype(np.int32)), pa.array(n[j].astype(np.int32)), pa.array(key[j]), pa.array(anchor[j].astype(np.int32))],
-                        ["cls", "th", "start", "n", "key", "anchor"],
+                        [pa.array(cls[j]), pa.array(th[j]), pa.array(start[j].astype(np.int32)), pa.array(n[j].astype(np.int32)), pa.array(key[j]), pa.array(anchor[j].astype(np.int32)), pa.array(num[j])],
+                        ["cls", "th", "start", "n", "key", "anchor", "num"],
                     )
             if len(seen) > SEEN:
                 seen.clear()
 
-    return texts.mapInArrow(run, "cls bigint, th bigint, start int, n int, key bigint, anchor int")
+    return texts.mapInArrow(run, "cls bigint, th bigint, start int, n int, key bigint, anchor int, num bigint")
 
 
-_MEMBER = "slot bigint, side int, cls bigint, low bigint, high bigint, anchor int"
+#: ``texts``: numbers of a class's texts, if there are several; else ``num`` is the text's.
+_MEMBER = "slot bigint, side int, cls bigint, low bigint, high bigint, anchor int, num bigint, texts array<bigint>"
 
 
 def _rows(texts: DataFrame) -> DataFrame:
@@ -231,82 +241,235 @@ def _rows(texts: DataFrame) -> DataFrame:
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Similarity of the sets in each row of x and y."""
-    x, y = np.sort(x, axis=1), np.sort(y, axis=1)
-    distinct = lambda s: 1 + (np.diff(s, axis=1) != 0).sum(axis=1)
-    whole = distinct(np.sort(np.concatenate([x, y], axis=1), axis=1))
+    whole = distinct(np.concatenate([x, y], axis=1))
     return (distinct(x) + distinct(y) - whole) / whole
 
 
-def signatures(flat: np.ndarray) -> np.ndarray:
-    """256 bits for each run of RUN numbers in a row, of which each number sets one."""
+def distinct(x: np.ndarray) -> np.ndarray:
+    """How many different numbers each row of x has."""
+    return 1 + (np.diff(np.sort(x, axis=1), axis=1) != 0).sum(axis=1)
+
+
+def _bits(flat: np.ndarray) -> np.ndarray:
+    """Of 256 bits the one that each number sets, in four rows."""
     bits = np.zeros((4, len(flat)), dtype=np.uint64)
     bits[(flat >> np.uint32(6)) & np.uint32(3), np.arange(len(flat))] = np.uint64(1) << (flat & np.uint32(63)).astype(np.uint64)
-    return np.stack([_sliding(np.bitwise_or, b, RUN) for b in bits], axis=1)
+    return bits
 
 
-def verified(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: list[bytes]):
-    """Rows sorted by slot -> (member, start, other): starts of members that a run of another verifies.
+def signatures(flat: np.ndarray) -> np.ndarray:
+    """256 bits for each run of RUN numbers in a row, of which each number sets one."""
+    return np.stack([_sliding(np.bitwise_or, b, RUN) for b in _bits(flat)], axis=1)
+
+
+def _each(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """0 .. times - 1 for each row: the row's index and the number."""
+    row = np.repeat(np.arange(len(times)), times)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+
 
-    In each slot every two members are compared, in rounds, unless all starts of both are verified
-    already; ``low`` and ``high`` are the least and greatest text of a member's class. A member of
+def _moved(flat: np.ndarray, member: np.ndarray, slot: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that stand at several places in their slot, and at several in their member."""
+    out = []
+    for of in (slot, member):
+        name = of.astype(np.uint64) << np.uint64(32) | flat
+        order = np.argsort(name)
+        name, at = name[order], place[order]
+        head = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])[: len(name)])
+        moved = np.zeros(len(flat), dtype=bool)
+        if len(head):
+            moved[order] = np.repeat(np.minimum.reduceat(at, head) != np.maximum.reduceat(at, head), np.diff(np.append(head, len(name))))
+        out.append(moved)
+    return out[0], out[1]
+
+
+def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: list[bytes]):
+    """Rows sorted by slot -> (member, start, other), starts of members that a run of another verifies, and bits.
+
+    In each slot every two members are compared, in rounds; bit k of a member's row is set if it has a run alike with one of the slot's
+    k-th member, at any places. ``low`` and ``high`` are the least and greatest text of a member's class. A member of
     several texts is verified by itself. Of a slot with side >= 0 only members of unlike sides meet."""
     size = np.array([len(r) // 4 for r in rows], dtype=np.int64)
     at, flat = np.cumsum(size) - size, np.frombuffer(b"".join(rows), dtype=np.uint32)
-    signature = signatures(flat)
+    signature, run = signatures(flat), np.arange(RUN)[None, :]
+    several = np.zeros(len(signature), dtype=np.int64)  # different shingles of a run, once it was asked for
     n = size - RUN + 1
     begin = np.cumsum(n) - n  # of each member's starts
+    # bits of any of a member's runs, and of all of them
+    inside = np.bitwise_or.reduceat(_bits(flat), at, axis=1).T if len(at) else np.zeros((0, 4), dtype=np.uint64)
+    core = np.bitwise_and.reduceat(signature[np.repeat(at - begin, n) + np.arange(n.sum())], begin) if len(at) else inside
     done = np.repeat(low != high, n)
     missing = np.where(low != high, 0, n)
     head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
     members = np.diff(np.append(head, len(slot)))
     first, many = np.repeat(head, members), np.repeat(members, members)
     here = np.arange(len(slot))
+    # a run none of whose shingles stands anywhere else, from the least hash on, meets in a member without a shingle twice
+    # no run better than the one that lies as it does, or the nearest if there is none
+    strays, twice = np.ones(len(signature), dtype=bool), np.ones(len(slot), dtype=bool)
+    large = np.flatnonzero(many >= FEW)
+    if len(large):
+        m, k = _each(size[large])
+        m = large[m]
+        x = at[m] + k
+        moved, again = _moved(flat[x], m, first[m], k - anchor[m])
+        total = np.zeros(len(flat) + 1, dtype=np.int64)
+        total[x + 1] = moved
+        total = np.cumsum(total)
+        m, k = _each(n[large])
+        x = at[large[m]] + k
+        strays[x] = total[x + RUN] > total[x]
+        twice[large] = np.bincount(np.repeat(np.arange(len(large)), size[large]), weights=again, minlength=len(large)) > 0
+    bits = np.zeros((len(slot), -(-int(members.max(initial=0)) // 8)), dtype=np.uint8)
     out = []
+    alone = lambda x, y: np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+
+    def alike(x, s, y, t):
+        """Which runs, at s of member x and at t of y, have the similarity."""
+        a, b, found = at[x] + s, at[y] + t, np.zeros(len(x), dtype=bool)
+        for q in range(0, len(a), 20_000):
+            u, v = a[q : q + 20_000], b[q : q + 20_000]
+            # each bit of one signature alone is a shingle of one run alone
+            close = np.flatnonzero(np.bitwise_count(signature[u] ^ signature[v]).sum(axis=1, dtype=np.int64) <= APART)
+            u, v = u[close], v[close]
+            new = np.unique(u[several[u] == 0])
+            several[new] = distinct(flat[new[:, None] + run])
+            x_, y_ = flat[u[:, None] + run], flat[v[:, None] + run]
+            other = (x_ != y_).sum(axis=1)  # places that differ: each run alone has so many shingles at most
+            ok = (several[u] - other) / (several[u] + other) >= SIMILARITY
+            rest = np.flatnonzero(~ok)
+            ok[rest] = jaccard(x_[rest], y_[rest]) >= SIMILARITY
+            found[q + close] = ok
+        return found
+
+    def note(x, s, y, t):
+        for m, place, o in ((x, s, y), (y, t, x)):
+            new = np.flatnonzero(~done[begin[m] + place])
+            new = new[np.unique(begin[m[new]] + place[new], return_index=True)[1]]
+            done[begin[m[new]] + place[new]] = True
+            np.subtract.at(missing, m[new], 1)
+            out.append(np.stack([m[new], place[new], o[new]]))
+
+    def elsewhere(i, j, shift, linked, pairs, whole):
+        """Runs of i, open ones or (``whole``) all, with all of j that don't lie as the least hashes do."""
+        for k in range(0, len(pairs), 4096):
+            p, s = _each(n[i[pairs[k : k + 4096]]])
+            p = pairs[k : k + 4096][p]
+            open_ = whole[p] | ~done[begin[i[p]] + s]
+            p, s = p[open_], s[open_]
+            # what is nowhere in the other member is in this run alone, what all the other's runs have is in that one alone
+            mine = signature[at[i[p]] + s]
+            near = alone(mine, inside[j[p]]) + alone(core[j[p]], mine) <= APART
+            p, s = p[near], s[near]
+            every = strays[at[i[p]] + s] | twice[j[p]]
+            for q in range(0, len(p), 4096):
+                pq, sq, eq = p[q : q + 4096], s[q : q + 4096], every[q : q + 4096]
+                r, t = _each(np.where(eq, n[j[pq]], 1))
+                pr, sr = pq[r], sq[r]
+                t = np.where(eq[r], t, np.clip(sr + shift[pr], 0, n[j[pr]] - 1))
+                use = t != sr + shift[pr]
+                pr, sr, t = pr[use], sr[use], t[use]
+                ok = alike(i[pr], sr, j[pr], t)
+                note(i[pr[ok]], sr[ok], j[pr[ok]], t[ok])
+                linked[pr[ok]] = True
+
     for r in range(1, int(members.max(initial=0)) // 2 + 1):
         live = here[many >= 2 * r]
         if not len(live):
             break
         other = first[live] + (live - first[live] + r) % many[live]
-        use = (missing[live] + missing[other] > 0) & ((side[live] < 0) | (side[live] != side[other])) & ((low[live] != high[other]) | (high[live] != low[other]))
+        use = ((side[live] < 0) | (side[live] != side[other])) & ((low[live] != high[other]) | (high[live] != low[other]))
         live, other = live[use], other[use]
+        near = alone(core[live], inside[other]) + alone(core[other], inside[live]) <= APART  # of others no two runs are alike
+        live, other = live[near], other[near]
         for k in range(0, len(live), 4096):
             i, j = live[k : k + 4096], other[k : k + 4096]
             shift = anchor[j] - anchor[i]
             lo, hi = np.maximum(0, -shift), np.minimum(n[i], n[j] - shift)
-            times = np.maximum(hi - lo, 0)
-            s = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            i, j, t = np.repeat(i, times), np.repeat(j, times), s + np.repeat(shift, times)
-            open_ = ~done[begin[i] + s] | ~done[begin[j] + t]
-            i, j, s, t = i[open_], j[open_], s[open_], t[open_]
-            for q in range(0, len(i), 20_000):
-                x, y, sx, ty = (v[q : q + 20_000] for v in (i, j, s, t))
-                run = np.arange(RUN)[None, :]
-                # each bit of one signature alone is a shingle of one run alone
-                alone = np.bitwise_count(signature[at[x] + sx] ^ signature[at[y] + ty]).sum(axis=1, dtype=np.int64)
-                hit = np.flatnonzero(alone <= APART)
-                hit = hit[jaccard(flat[(at[x] + sx)[hit, None] + run], flat[(at[y] + ty)[hit, None] + run]) >= SIMILARITY]
-                for m, place, o in ((x[hit], sx[hit], y[hit]), (y[hit], ty[hit], x[hit])):
-                    new = np.flatnonzero(~done[begin[m] + place])
-                    new = new[np.unique(begin[m[new]] + place[new], return_index=True)[1]]
-                    done[begin[m[new]] + place[new]] = True
-                    np.subtract.at(missing, m[new], 1)
-                    out.append(np.stack([m[new], place[new], o[new]]))
-    return np.concatenate(out, axis=1) if out else np.zeros((3, 0), dtype=np.int64)
+            linked, meet = np.zeros(len(i), dtype=bool), np.flatnonzero(hi > lo)
+            mid = (lo + hi)[meet] // 2
+            linked[meet] = alike(i[meet], mid, j[meet], mid + shift[meet])
+            # all runs as the least hashes lie, where some are open
+            pairs = np.flatnonzero(~linked | (missing[i] + missing[j] > 0))
+            p, s = _each(np.maximum(hi - lo, 0)[pairs])
+            p = pairs[p]
+            s = s + lo[p]
+            t = s + shift[p]
+            open_ = ~linked[p] | ~done[begin[i[p]] + s] | ~done[begin[j[p]] + t]
+            p, s, t = p[open_], s[open_], t[open_]
+            ok = alike(i[p], s, j[p], t)
+            note(i[p[ok]], s[ok], j[p[ok]], t[ok])
+            linked[p[ok]] = True
+            whole = ~linked
+            elsewhere(i, j, shift, linked, np.flatnonzero(whole | (missing[i] > 0)), whole)
+            elsewhere(j, i, -shift, linked, np.flatnonzero(~whole & (missing[j] > 0)), np.zeros(len(i), dtype=bool))
+            i, j = i[linked], j[linked]
+            for x, y in ((i, j), (j, i)):  # a round has each member once on either side
+                place = y - first[y]
+                bits[x, place >> 3] |= (128 >> (place & 7)).astype(np.uint8)
+    return np.concatenate(out, axis=1) if out else np.zeros((3, 0), dtype=np.int64), bits
+
+
+def verified(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: list[bytes]):
+    """The first result of ``compared``."""
+    return compared(slot, side, low, high, anchor, rows)[0]
+
+
+def _listed(owner: np.ndarray, num: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(owner, num) -> rows of an owner and its numbers in order, each once, as differences; LINKS in a row at most."""
+    order = np.lexsort((num, owner))
+    owner, num = owner[order], num[order]
+    new = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(num) != 0)])[: len(owner)]
+    owner, num = owner[new], num[new]
+    start = np.flatnonzero(np.concatenate([[True], np.diff(owner) != 0])[: len(owner)])
+    nth = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
+    head = np.flatnonzero(nth % LINKS == 0)
+    step = np.diff(num, prepend=0)
+    step[head] = num[head]
+    return owner[head], pa.ListArray.from_arrays(pa.array(np.append(head, len(num)).astype(np.int32)), pa.array(step))
+
+
+def _numbers(links: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``_listed`` -> the row and the number of each link."""
+    size, step = links.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), links.flatten().to_numpy()
+    total, head = np.cumsum(step), np.cumsum(size) - size
+    row = np.repeat(np.arange(len(size)), size)
+    return row, total - (total[head[row]] - step[head[row]])
 
 
 def _verified(batches):
-    """Rows (slot, side, cls, low, high, anchor, row) sorted by slot -> cls, at, n, other (a text that verifies n runs from at on)."""
+    """Rows (slot, side, cls, low, high, anchor, num, texts, row) sorted by slot -> cls, at, n (n runs from at on are verified) and
+    cls, num (null: the class has several texts), links (numbers of texts)."""
 
     def found(table):
         slot, side, cls, low, high, anchor = (table.column(i).to_numpy().astype(np.int64) for i in range(6))
-        m, at, o = verified(slot, side, low, high, anchor, table.column(6).to_pylist())
-        other = np.where(low[o] != low[m], low[o], high[o])
-        order = np.lexsort((at, other, m))
-        m, at, other = m[order], at[order], other[order]
-        head = np.flatnonzero(np.concatenate([[True], (np.diff(m) != 0) | (np.diff(other) != 0) | (np.diff(at) != 1)])[: len(m)])
+        (m, at, _), bits = compared(slot, side, low, high, anchor, table.column(8).to_pylist())
+        order = np.lexsort((at, m))
+        m, at = m[order], at[order]
+        head = np.flatnonzero(np.concatenate([[True], (np.diff(m) != 0) | (np.diff(at) != 1)])[: len(m)])
         n = np.diff(np.append(head, len(m)))
-        columns = [cls[m[head]], at[head].astype(np.int32), n.astype(np.int32), other[head]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cls", "at", "n", "other"])
+        empty = [pa.nulls(len(head), pa.int64()), pa.nulls(len(head), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([pa.array(cls[m[head]]), pa.array(at[head].astype(np.int32)), pa.array(n.astype(np.int32)), *empty], _FOUND)
+        # each member's texts
+        num, texts = table.column(6).to_numpy(), table.column(7).combine_chunks()
+        own = low == high
+        size = np.where(own, 1, pa.compute.coalesce(pa.compute.list_value_length(texts), 0).to_numpy())
+        held = np.zeros(size.sum(), dtype=np.int64)
+        begin = np.cumsum(size) - size
+        held[np.repeat(own, size)] = num[own]
+        held[np.repeat(~own, size)] = texts.filter(pa.array(~own)).flatten().to_numpy()
+        head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        first = np.repeat(head, np.diff(np.append(head, len(slot))))
+        linked = np.flatnonzero(bits.any(axis=1))
+        # what a step lists is bounded, but for a single member's links
+        upto = np.cumsum(np.bitwise_count(bits[linked]).sum(axis=1, dtype=np.int64) * int(size.max(initial=1))) // 2_000_000
+        for part in np.split(linked, np.flatnonzero(np.diff(upto)) + 1):
+            i, place = np.nonzero(np.unpackbits(bits[part], axis=1))
+            j = first[part[i]] + place
+            row, k = _each(size[j])
+            i, links = _listed(part[i[row]], held[begin[j[row]] + k])
+            empty = [pa.nulls(len(i), pa.int32())] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(cls[i]), *empty, pa.array(num[i], mask=~own[i]), links], _FOUND)
 
     waiting, size = [], 0
     for b in batches:
@@ -320,10 +483,43 @@ def _verified(batches):
         slot = table.column(0).to_numpy()
         whole = int(np.searchsorted(slot, slot[-1]))
         if whole:
-            yield found(table.slice(0, whole))
+            yield from found(table.slice(0, whole))
         waiting, size = table.slice(whole).to_batches(), len(slot) - whole
     if waiting:
-        yield found(pa.Table.from_batches(waiting))
+        yield from found(pa.Table.from_batches(waiting))
+
+
+_FOUND = ["cls", "at", "n", "num", "links"]
+
+
+def _united(counted: bool):
+    """Rows (key, links) sorted by key -> key, links, each once; counted: key, how many differ from it."""
+
+    def run(batches):
+        key = num = np.zeros(0, dtype=np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            row, new = _numbers(b.column(1))
+            key, num = np.append(key, b.column(0).to_numpy()[row]), np.append(num, new)
+            order = np.lexsort((num, key))
+            key, num = key[order], num[order]
+            new = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(num) != 0)])[: len(key)]
+            key, num = key[new], num[new]
+            ready = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            if ready:
+                yield finished(key[:ready], num[:ready])
+                key, num = key[ready:], num[ready:]
+        if len(key):
+            yield finished(key, num)
+
+    def finished(key, num):
+        if not counted:
+            return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in _listed(key, num)], ["key", "links"])
+        names, at = np.unique(key, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.add.reduceat((key != num).astype(np.int64), at))], ["key", "n_links"])
+
+    return run
 
 
 def joined(th: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -370,8 +566,8 @@ def _spans(batches):
 
 
 def near_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """key, n_words, n_near_words, least_links (texts that verified its runs, one for each run: it has
-    at least that many), spans ("start-end" by words, ;-joined)."""
+    """key, n_words, n_near_words, class_id (least key of the rows with this text), n_links (other texts that it shares a
+    near passage with), spans ("start-end" by words, ;-joined)."""
     base = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("__text"))
     each = written(_names(base, key), "documents")
     units = each.groupBy("th").agg(F.min(key).alias("rep"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"))
@@ -385,39 +581,52 @@ def near_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", bloc
     by_name = Window.partitionBy("name")
     names = each.select("th", F.explode("names").alias("name"))
     shared = names.select("name", "th", (F.min("th").over(by_name) < F.max("th").over(by_name)).alias("met")).where("met")
-    shared = written(shared.groupBy(F.col("th").alias("__th")).agg(F.collect_set("name").alias("names")), "names")
-    parts = written(_segments(with_text(shared).select("th", "__text", "names")), "segments")
-    discard(shared)
+    # texts are numbered as they are written, so numbers of one partition lie close together
+    shared = written(shared.groupBy(F.col("th").alias("__th")).agg(F.collect_set("name").alias("names")).withColumn("num", F.monotonically_increasing_id()), "names")
+    parts = written(_segments(with_text(shared).select("th", "__text", "names", "num")), "segments")
+    numbers = shared.select(F.col("__th").alias("th"), "num")
     # all segments of a class agree in n, key and anchor
-    firsts = [F.first(c).alias(c) for c in ("th", "start", "n", "key", "anchor")]
+    firsts = [F.first(c).alias(c) for c in ("th", "start", "n", "key", "anchor", "num")]
     classes = written(parts.groupBy("cls").agg(F.min("th").alias("low"), F.max("th").alias("high"), *firsts), "classes")
-    # groups in which some class of one text meets another class
-    groups = classes.groupBy("key").agg(F.count("*").alias("size"), F.min(F.col("low") != F.col("high")).alias("all_done")).where("size > 1 and not all_done")
+    held = written(parts.join(classes.where("low <> high").select("cls"), "cls").groupBy("cls").agg(F.collect_set("num").alias("texts")), "held")
+    # groups in which classes of different texts meet
+    groups = classes.groupBy("key").agg(F.count("*").alias("size"), F.min("low").alias("low"), F.max("high").alias("high")).where("size > 1 and low < high")
     groups = groups.select("key", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    members = classes.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    members = classes.join(groups, "key").join(held, "cls", "left").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # a group over ``block`` is cut; every two of its blocks meet in a slot of their own
     spread = members.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     slot = F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with"))
     side = F.when(F.col("own") == F.col("with"), -1).otherwise((F.col("own") > F.col("with")).cast("int"))
-    member = F.struct(slot.alias("slot"), side.alias("side"), "cls", "low", "high", "anchor", "start", "n")
+    member = F.struct(slot.alias("slot"), side.alias("side"), "cls", "low", "high", "anchor", "num", "texts", "start", "n")
     found = []
     for i in range(PARTS):  # so that the disk holds the rows of a part of the groups at a time
         asked = spread.where(F.pmod("key", F.lit(PARTS)) == i).groupBy(F.col("th").alias("__th")).agg(F.collect_list(member).alias("asked"))
         rows = _rows(with_text(asked).select("th", "__text", "asked")).repartition("slot").sortWithinPartitions("slot", "cls")
-        found.append(written(rows.mapInArrow(_verified, "cls bigint, at int, n int, other bigint"), "verified"))
+        found.append(written(rows.mapInArrow(_verified, "cls bigint, at int, n int, num bigint, links array<bigint>"), "verified"))
     true = functools.reduce(DataFrame.union, found)
 
+    # links of classes of several texts, then of texts
+    united = lambda df, counted, schema: df.repartition("key").sortWithinPartitions("key").mapInArrow(_united(counted), schema)
+    in_order = F.array_sort("texts")
+    steps = F.transform(in_order, lambda x, i: F.when(i == 0, x).otherwise(x - F.get(in_order, i - 1)))
+    of_classes = held.select(F.col("cls").alias("key"), steps.alias("links")).union(true.where("links is not null and num is null").select("cls", "links"))
+    of_classes = united(of_classes, False, "key bigint, links array<bigint>").join(held, F.col("key") == F.col("cls"))
+    of_texts = of_classes.select(F.explode("texts").alias("key"), "links").union(true.where("links is not null and num is not null").select("num", "links"))
+    links = united(of_texts, True, "key bigint, n_links bigint").join(numbers, F.col("key") == F.col("num")).select("th", "n_links")
+
     # spans of words: n runs from a place on
     span = lambda at, n: (at.cast("long").alias("start"), (at + n + WORDS - 1).cast("long").alias("end"))
     same = parts.join(classes.where("low <> high").select("cls", "low", "high"), "cls")
-    same = same.select("th", *span(F.col("start"), F.col("n")), F.when(F.col("low") == F.col("th"), F.col("high")).otherwise(F.col("low")).alias("o"))
-    near = parts.select("cls", "th", "start").join(true, "cls").select("th", *span(F.col("start") + F.col("at"), F.col("n")), F.col("other").alias("o"))
+    same = same.select("th", *span(F.col("start"), F.col("n")), F.lit(0).cast("long").alias("o"))
+    near = parts.select("cls", "th", "start").join(true.where("at is not null").select("cls", "at", "n"), "cls")
+    near = near.select("th", *span(F.col("start") + F.col("at"), F.col("n")), F.lit(0).cast("long").alias("o"))  # links are counted apart
     per = same.union(near).repartition("th").sortWithinPartitions("th", "start").mapInArrow(_spans, "th bigint, covered bigint, n_links bigint, spans string")
     copied = (F.col("copies") > 1) & (F.col("n_words") >= WORDS)
-    per_text = units.join(per, "th", "left").select(
+    per_text = units.join(per.drop("n_links"), "th", "left").join(links, "th", "left").select(
         "th",
+        F.col("rep").alias("class_id"),
         F.when(copied, F.col("n_words")).otherwise(F.coalesce("covered", F.lit(0))).cast("long").alias("n_near_words"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("least_links"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(copied, F.concat(F.lit("0-"), F.col("n_words").cast("string"))).otherwise(F.coalesce("spans", F.lit(""))).alias("spans"),
     )
-    return each.join(per_text, "th").select(key, "n_words", "n_near_words", "least_links", "spans")
+    return each.join(per_text, "th").select(key, "n_words", "n_near_words", "class_id", "n_links", "spans")

@@ -432,6 +432,62 @@ def test_verified_runs_against_all_pairs():
         assert sorted(zip(m, at)) == [(i, s) for i in range(len(th)) for s in range(7) if any(th[i] != th[j] and like(i, j, s) >= 0.8 for j in range(len(th)))]
 
 
+@pytest.mark.parametrize("few", (2, windows.FEW))
+def test_compared_runs_at_all_places_and_all_links(monkeypatch, few):
+    monkeypatch.setattr(windows, "FEW", few)
+    r = np.random.default_rng(11)
+    for turn in range(12):
+        base = r.integers(0, 2**32, 54).astype(np.uint32)
+        rows, slot, anchor, texts = [], np.repeat([3, 4], [7, 3]), r.integers(0, 3, 10), np.array([0, 1, 2, 3, 0, 5, 6, 7, 8, 8])
+        for _ in texts:
+            x = base.copy()
+            x[r.choice(54, r.integers(0, 6), replace=False)] = r.integers(0, 2**32)
+            rows.append(np.insert(x, r.integers(0, 54), r.integers(0, 2**32, r.integers(0, 4) * (turn % 2)).astype(np.uint32)))
+        high = texts.copy()
+        high[2] = 20  # a class of several texts
+        (m, at, o), bits = windows.compared(slot, np.full(10, -1), texts, high, anchor, [x.tobytes() for x in rows])
+        runs = [[{*x[s : s + 46].tolist()} for s in range(len(x) - 45)] for x in rows]
+        meets = lambda i, j: slot[i] == slot[j] and i != j and not texts[i] == high[i] == texts[j] == high[j]
+        like = lambda a, b: len(a & b) / len(a | b) >= 0.8
+        links = {(i, j) for i in range(10) for j in range(10) if meets(i, j) and any(like(a, b) for a in runs[i] for b in runs[j])}
+        assert {(i, j) for i in range(10) for j, on in enumerate(np.unpackbits(bits[i]), 7 * (slot[i] == 4)) if on} == links and links
+        want = [(i, s) for i in range(10) if i != 2 for s, a in enumerate(runs[i]) if any(like(a, b) for j in range(10) if meets(i, j) for b in runs[j])]
+        assert sorted(zip(m.tolist(), at.tolist())) == want and all((i, j) in links for i, j in zip(m.tolist(), o.tolist()))
+
+
+def test_links_of_all_texts_with_a_passage(spark):
+    r = np.random.default_rng(12)
+    rows, want = [], {}
+    for g, (same, other) in enumerate([(3, 4), (0, 9), (9, 0), (1, 1), (2, 0), (40, 30)]):
+        passage = random_words(r, 130)
+        for i in range(same + other):
+            variant = list(passage)
+            if i >= same:  # a word of its own that leaves half of the passage as it is
+                variant[r.integers(62, 68)] = f"edit{g}-{i}"
+            rows.append((100 * g + i, " ".join(random_words(r, 30) + variant + random_words(r, 30))))
+            want[100 * g + i] = (100 * g + i, same + other - 1)
+    rows.append((990, rows[0][1]))  # a copy is the same text
+    want[990] = want[0]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for block in (windows.BLOCK, 5):
+        got = windows.near_passages(docs, block=block).collect()
+        assert {d.doc_id: (d.class_id, d.n_links) for d in got} == want
+
+
+def test_links_as_steps():
+    r = np.random.default_rng(13)
+    owner, num = r.integers(0, 5, 9000), r.integers(0, 3000, 9000) * 2**33
+    name, links = windows._listed(owner, num)
+    row, back = windows._numbers(links)
+    assert list(zip(name[row].tolist(), back.tolist())) == sorted({*zip(owner.tolist(), num.tolist())})
+    assert max(len(x) for x in links.to_pylist()) == windows.LINKS
+    for size in (1, 4, 100):
+        table = pa.table({"key": pa.array(name), "links": links})
+        got = [d for b in windows._united(False)(table.to_batches(size)) for d in b.to_pylist()]
+        assert [(d["key"], d["links"]) for d in got] == list(zip(name.tolist(), links.to_pylist()))
+    assert len(windows._listed(owner[:0], num[:0])[0]) == 0
+
+
 def test_spans_of_sorted_rows_in_batches():
     r = np.random.default_rng(8)
     for size in (1, 3, 1000):
