@@ -30,6 +30,17 @@ def cluster_country(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return found.select("cluster_id", F.when(F.col("n") <= 1, F.col("lowest")).otherwise(F.coalesce("national", "lowest")).alias("country"), (F.col("n") > 1).alias("conflict"))
 
 
+def _with_country(rows: DataFrame, config: Config) -> DataFrame:
+    """Members with ``cluster_country``, the country of ``cluster_country``: a window over what is brought together by cluster
+    anyway, so that members are computed and sent once."""
+    said = F.nullif("country", F.lit(""))
+    scoped = F.when(F.col("provider").isin(*config.scope), said)
+    over = Window.partitionBy("cluster_id")
+    lowest, highest = F.min(said).over(over), F.max(said).over(over)
+    national = F.min(F.when(scoped.isNotNull(), F.struct("key", scoped.alias("c")))).over(over)["c"]
+    return rows.withColumn("cluster_country", F.when(lowest == highest, lowest).otherwise(F.coalesce(national, lowest))).where("cluster_id is not null")
+
+
 def _standing(config: Config, country: Column) -> Column:
     """(tier, place): guides scoped to the country first, then the fallback, then others."""
     tier, place = F.lit(2), F.lit(0)
@@ -47,15 +58,13 @@ def _standing(config: Config, country: Column) -> Column:
 
 def member_rank(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Members with the cluster's country and their rank in it (1 wins)."""
-    country = cluster_country(rows, config).select("cluster_id", F.col("country").alias("cluster_country"))
-    ranked = rows.join(country, "cluster_id").withColumn("standing", _standing(config, F.col("cluster_country")))
+    ranked = _with_country(rows, config).withColumn("standing", _standing(config, F.col("cluster_country")))
     return ranked.withColumn("rank", F.row_number().over(Window.partitionBy("cluster_id").orderBy("standing"))).drop("standing")
 
 
 def select_canonical(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """One row for each cluster: the winner's name, place and link, gaps filled from the others by rank."""
-    country = cluster_country(rows, config).select("cluster_id", F.col("country").alias("cluster_country"))
-    r = rows.join(country, "cluster_id").withColumn("standing", _standing(config, F.col("cluster_country")))
+    r = _with_country(rows, config).withColumn("standing", _standing(config, F.col("cluster_country")))
     first = lambda c, usable: F.min_by(c, F.when(usable, F.col("standing")))
     filled = lambda c: F.col(c).isNotNull() & (F.col(c) != "")
     best = lambda c: F.min_by(c, "standing").alias(c)

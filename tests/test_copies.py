@@ -43,3 +43,9 @@ def test_what_several_read_is_computed_once(spark):
 def test_pairs_of_a_report_are_dealt_over_all_tasks(spark):
     plan = catalogue.duplicates_report(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan  # its size doesn't follow from bytes
+
+
+def test_members_are_computed_once_for_their_country(spark):
+    """Only records and clusters are joined: the clusters' countries are a window over what is brought together anyway."""
+    for df in (catalogue.sites(spark, "/root/testdata/sf0.001"), catalogue.member_rank(spark, "/root/testdata/sf0.001")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
