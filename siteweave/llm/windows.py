@@ -54,8 +54,10 @@ BLOCK = 8192
 AT_ONCE = 200_000
 #: Passes over the groups.
 PARTS = 3
-#: Members of a slot from which on it pays to see which shingles stand in one place.
-FEW = 32
+#: Members of a slot from which on its pairs are compared by squares.
+FEW = 8
+#: Members of a slot that one array step compares with as many others.
+TILE = 64
 #: Links that one row has at most; more take several rows.
 LINKS = 1024
 _SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -268,19 +270,82 @@ def _each(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
 
 
-def _moved(flat: np.ndarray, member: np.ndarray, slot: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers that stand at several places in their slot, and at several in their member."""
-    out = []
-    for of in (slot, member):
-        name = of.astype(np.uint64) << np.uint64(32) | flat
-        order = np.argsort(name)
-        name, at = name[order], place[order]
-        head = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])[: len(name)])
-        moved = np.zeros(len(flat), dtype=bool)
-        if len(head):
-            moved[order] = np.repeat(np.minimum.reduceat(at, head) != np.maximum.reduceat(at, head), np.diff(np.append(head, len(name))))
-        out.append(moved)
-    return out[0], out[1]
+class _Slot:
+    """The members of one large slot, laid side by side with their least hashes in one line.
+
+    ``names`` has a row for each place and a column for each member: numbers of shingles, 0 for those that one member alone has
+    and where there is none. Pairs are compared by squares of TILE members, a row of them for each place."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray, anchor: np.ndarray):
+        many = len(size)
+        m, k = _each(size)
+        known, number = np.unique(flat, return_inverse=True)
+        held = np.unique(number * many + m)
+        holders = np.bincount(held // many, minlength=len(known))
+        self.numbers = np.where(holders > 1, np.cumsum(holders > 1), 0)
+        keep = holders[held // many] > 1
+        held = held[keep]
+        self.held, self.holder = self.numbers[held // many], held % many
+        order = np.argsort(self.holder, kind="stable")
+        self.held, self.holder = self.held[order], self.holder[order]
+        name = self.numbers[number].astype(np.int32)
+        self.last = int(self.numbers.max(initial=0))
+        self.top = int(anchor.max())  # the row in which the least hashes lie
+        deep = int((size - anchor).max()) + self.top
+        self.names = np.zeros((deep, many), dtype=np.int32)
+        self.names[k - anchor[m] + self.top, m] = name
+        self.others = np.where(self.names == 0, self.last + 1, self.names)  # these never equal a 0
+        #: how many different shingles each run has, by the row that it begins in; 0: there is no such run
+        self.several = np.zeros((deep - RUN + 1, many), dtype=np.int64)
+        m, k = _each(size - RUN + 1)
+        self.several[k - anchor[m] + self.top, m] = RUN
+        whole = np.bincount(np.unique(number * many + np.repeat(np.arange(many), size)) % many, minlength=many) == size
+        again = np.flatnonzero(~whole[m])
+        begin = np.cumsum(size) - size
+        for q in range(0, len(again), 20_000):
+            r = again[q : q + 20_000]
+            self.several[k[r] - anchor[m[r]] + self.top, m[r]] = distinct(flat[(begin[m[r]] + k[r])[:, None] + np.arange(RUN)])
+        there = self.several > 0
+        self.twice = ~whole
+        # a run none of whose shingles stands in another row of the slot meets, in a member without a shingle twice,
+        # no run better than the one that lies as it does, or the nearest if there is none
+        row, m = np.nonzero(self.names)
+        low, high = np.full(self.last + 1, deep), np.full(self.last + 1, -1)
+        np.minimum.at(low, self.names[row, m], row)
+        np.maximum.at(high, self.names[row, m], row)
+        self.strays = self._runs((low < high)[self.names]) > 0
+        self.from_, self.to = there.argmax(axis=0), len(there) - 1 - there[::-1].argmax(axis=0)
+        # runs with so many places alike have the similarity, whichever shingles these are
+        self.enough = np.where(there, RUN - self.several // 9, 255).astype(np.uint8)
+        # runs of the similarity hold so many shingles of the other's member, at least
+        few = int(self.several[there].min(initial=RUN))
+        self.needed = np.where(there, np.maximum(-(-4 * self.several // 5), -(-4 * (self.several + few) // 9)), 255).astype(np.uint8)
+
+    @staticmethod
+    def _runs(places: np.ndarray) -> np.ndarray:
+        """How many of each run's places are set."""
+        places = places.view(np.uint8)
+        out = np.empty((len(places) - RUN + 1, *places.shape[1:]), dtype=np.uint8)
+        np.add.reduce(places[:RUN], axis=0, dtype=np.uint8, out=out[0])
+        for k in range(1, len(out)):
+            np.add(out[k - 1], places[k + RUN - 1], out=out[k])
+            out[k] -= places[k - 1]
+        return out
+
+    def in_line(self, i: slice, j: slice) -> np.ndarray:
+        """(row, member of i, member of j): the runs that begin in this row are alike place by place."""
+        same = self._runs(self.names[:, i, None] == self.others[:, None, j])
+        return (same >= self.enough[:, i, None]) & (same >= self.enough[:, None, j])
+
+    def held_by(self, i: slice, j: slice) -> np.ndarray:
+        """(row, member of i, member of j): the run of i's member may be alike with some run of j's."""
+        a, b = np.searchsorted(self.holder, [j.start, j.stop])
+        number = np.unique(self.held[a:b])
+        has = np.zeros((len(number) + 1, j.stop - j.start), dtype=bool)
+        has[np.searchsorted(number, self.held[a:b]) + 1, self.holder[a:b] - j.start] = True
+        row = np.zeros(self.last + 1, dtype=np.int64)
+        row[number] = np.arange(1, len(number) + 1)
+        return self._runs(has[row[self.names[:, i]]]) >= self.needed[:, i, None]
 
 
 def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: list[bytes]):
@@ -304,22 +369,6 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
     members = np.diff(np.append(head, len(slot)))
     first, many = np.repeat(head, members), np.repeat(members, members)
     here = np.arange(len(slot))
-    # a run none of whose shingles stands anywhere else, from the least hash on, meets in a member without a shingle twice
-    # no run better than the one that lies as it does, or the nearest if there is none
-    strays, twice = np.ones(len(signature), dtype=bool), np.ones(len(slot), dtype=bool)
-    large = np.flatnonzero(many >= FEW)
-    if len(large):
-        m, k = _each(size[large])
-        m = large[m]
-        x = at[m] + k
-        moved, again = _moved(flat[x], m, first[m], k - anchor[m])
-        total = np.zeros(len(flat) + 1, dtype=np.int64)
-        total[x + 1] = moved
-        total = np.cumsum(total)
-        m, k = _each(n[large])
-        x = at[large[m]] + k
-        strays[x] = total[x + RUN] > total[x]
-        twice[large] = np.bincount(np.repeat(np.arange(len(large)), size[large]), weights=again, minlength=len(large)) > 0
     bits = np.zeros((len(slot), -(-int(members.max(initial=0)) // 8)), dtype=np.uint8)
     out = []
     alone = lambda x, y: np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
@@ -361,19 +410,87 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
             mine = signature[at[i[p]] + s]
             near = alone(mine, inside[j[p]]) + alone(core[j[p]], mine) <= APART
             p, s = p[near], s[near]
-            every = strays[at[i[p]] + s] | twice[j[p]]
             for q in range(0, len(p), 4096):
-                pq, sq, eq = p[q : q + 4096], s[q : q + 4096], every[q : q + 4096]
-                r, t = _each(np.where(eq, n[j[pq]], 1))
-                pr, sr = pq[r], sq[r]
-                t = np.where(eq[r], t, np.clip(sr + shift[pr], 0, n[j[pr]] - 1))
+                r, t = _each(n[j[p[q : q + 4096]]])
+                pr, sr = p[q : q + 4096][r], s[q : q + 4096][r]
                 use = t != sr + shift[pr]
                 pr, sr, t = pr[use], sr[use], t[use]
                 ok = alike(i[pr], sr, j[pr], t)
                 note(i[pr[ok]], sr[ok], j[pr[ok]], t[ok])
                 linked[pr[ok]] = True
 
-    for r in range(1, int(members.max(initial=0)) // 2 + 1):
+    def large(h, many):
+        """All pairs of the slot whose members are h .. h + many - 1."""
+        of = _Slot(flat[at[h] : at[h] + size[h : h + many].sum()], size[h : h + many], anchor[h : h + many])
+        squares = [(slice(i, min(i + TILE, many)), slice(j, min(j + TILE, many))) for i in range(0, many, TILE) for j in range(i, many, TILE)]
+        place = lambda x, m: x - of.top + anchor[h + m]
+        open_ = np.zeros(of.several.shape, dtype=bool)  # rows and members of runs that nothing verified yet
+        m, k = _each(np.where(low != high, 0, n)[h : h + many])
+        open_[k - anchor[h + m] + of.top, m] = True
+
+        def may(i, j):
+            a, b = np.arange(h + i.start, h + i.stop)[:, None], np.arange(h + j.start, h + j.stop)[None, :]
+            return (a < b) & ((side[a] < 0) | (side[a] != side[b])) & ((low[a] != high[b]) | (high[a] != low[b]))
+
+        def link(i, j, new):
+            for x, y, square in ((i, j, new), (j, i, new.T)):
+                byte = np.packbits(square, axis=1)
+                bits[h + x.start : h + x.stop, y.start >> 3 : (y.start >> 3) + byte.shape[1]] |= byte
+
+        def meet(i, j, one, two):
+            """Runs of ``one`` with those of ``two``, (row, member of i, member of j) each."""
+            x, y = np.nonzero(one.any(axis=0) & two.any(axis=0))
+            runs, others = one.transpose(1, 2, 0)[x, y], two.transpose(1, 2, 0)[x, y]
+            part = np.cumsum(np.count_nonzero(runs, axis=1) * np.count_nonzero(others, axis=1)) // 200_000
+            for p in np.split(np.arange(len(x)), np.flatnonzero(np.diff(part)) + 1) if len(x) else []:
+                a, s = np.nonzero(runs[p])
+                b, t = np.nonzero(others[p])
+                times = np.bincount(b, minlength=len(p))
+                r, q = _each(times[a])
+                q += (np.cumsum(times) - times)[a[r]]
+                a, s, t = a[r], s[r], t[q]
+                k, m = i.start + x[p][a], j.start + y[p][a]
+                use = of.strays[s, k] | of.twice[m] | (t == np.clip(s, of.from_[m], of.to[m]))
+                use |= of.strays[t, m] | of.twice[k] | (s == np.clip(t, of.from_[k], of.to[k]))
+                k, s, m, t = k[use], s[use], m[use], t[use]
+                ok = np.flatnonzero(alike(h + k, place(s, k), h + m, place(t, m)))
+                k, s, m, t = k[ok], s[ok], m[ok], t[ok]
+                new = np.zeros(one.shape[1:], dtype=bool)
+                new[k - i.start, m - j.start] = True
+                link(i, j, new)
+                for u, row, v in ((k, s, m), (m, t, k)):
+                    first_ = np.unique(row * many + u, return_index=True)[1]
+                    first_ = first_[open_[row[first_], u[first_]]]
+                    open_[row[first_], u[first_]] = False
+                    out.append(np.stack([h + u[first_], place(row[first_], u[first_]), h + v[first_]]))
+
+        for i, j in squares:
+            alike_ = of.in_line(i, j) & may(i, j)
+            link(i, j, alike_.any(axis=0))
+            for x, y, square in ((i, j, alike_), (j, i, alike_.transpose(0, 2, 1))):
+                row, k = np.nonzero(open_[:, x] & square.any(axis=2))
+                open_[row, x.start + k] = False
+                out.append(np.stack([h + x.start + k, place(row, x.start + k), h + y.start + square[row, k].argmax(axis=1)]))
+        for i, j in squares:
+            linked = np.unpackbits(bits[h + i.start : h + i.stop, j.start >> 3 : (j.stop + 7) >> 3], axis=1, count=j.stop - j.start).view(bool)
+            wanted = may(i, j) & (~linked | open_[:, i].any(axis=0)[:, None] | open_[:, j].any(axis=0)[None, :])
+            if not wanted.any():
+                continue
+            one = of.held_by(i, j)
+            wanted &= one.any(axis=0)
+            if not wanted.any():
+                continue
+            two = of.held_by(j, i).transpose(0, 2, 1)
+            wanted &= two.any(axis=0)
+            # all runs of pairs that aren't linked yet, open ones of others
+            meet(i, j, one & (wanted & ~linked), two)
+            meet(i, j, one & open_[:, i, None] & (wanted & linked), two)
+            meet(i, j, one & (wanted & linked), two & open_[:, None, j])
+
+    for h in head[members >= FEW]:
+        large(int(h), int(many[h]))
+    many = np.where(many >= FEW, 0, many)
+    for r in range(1, int(many.max(initial=0)) // 2 + 1):
         live = here[many >= 2 * r]
         if not len(live):
             break

@@ -455,6 +455,34 @@ def test_compared_runs_at_all_places_and_all_links(monkeypatch, few):
         assert sorted(zip(m.tolist(), at.tolist())) == want and all((i, j) in links for i, j in zip(m.tolist(), o.tolist()))
 
 
+def test_a_large_group_is_compared_without_a_set_for_every_pair(monkeypatch):
+    r = np.random.default_rng(14)
+    rows = np.tile(r.integers(0, 2**32, 50).astype(np.uint32), (300, 1))
+    for x in rows:
+        at = r.choice(50, r.integers(1, 6), replace=False)
+        x[at] = r.integers(0, 2**32, len(at))
+    sets, distinct = [], windows.distinct
+    monkeypatch.setattr(windows, "distinct", lambda x: sets.append(len(x)) or distinct(x))
+    zero, text = np.zeros(300, dtype=np.int64), np.arange(300)
+    (m, at, _), bits = windows.compared(zero, zero - 1, text, text, zero + 4, [x.tobytes() for x in rows])
+    runs = [[{*x[s : s + 46].tolist()} for s in range(5)] for x in rows]
+    like = np.array([[[len(a & b) / len(a | b) >= 0.8 for b in runs[j]] for a in runs[i]] for i in range(300) for j in range(i)])
+    i, j = np.tril_indices(300, -1)
+    linked, done = np.zeros((300, 300), dtype=bool), np.zeros((300, 5), dtype=bool)
+    linked[i, j] = linked[j, i] = like.any(axis=(1, 2))
+    np.logical_or.at(done, i, like.any(axis=2))
+    np.logical_or.at(done, j, like.any(axis=1))
+    assert (np.unpackbits(bits, axis=1, count=300).view(bool) == linked).all() and 0 < linked.sum() < 300 * 299
+    assert sorted(zip(m.tolist(), at.tolist())) == list(zip(*(x.tolist() for x in np.nonzero(done))))
+    assert sum(sets) < 300 * 299  # three for each pair of runs that is compared as sets
+
+
+def test_word_hashes():
+    r = np.random.default_rng(15)
+    words = [r.integers(0, 256, n, dtype=np.uint8).tobytes() for n in [*range(1, 80)] * 5]
+    assert passages.word_hashes(words).tolist() == [xxhash.xxh64_intdigest(w, 42) for w in words] and len(passages.word_hashes([])) == 0
+
+
 def test_links_of_all_texts_with_a_passage(spark):
     r = np.random.default_rng(12)
     rows, want = [], {}
