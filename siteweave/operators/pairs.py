@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT, Config
 from siteweave.functions.geo import EARTH_M, haversine_m
+from siteweave.plans.store import merged_in
 
 #: Cells are this much wider than the radius.
 SLACK = 1.02
@@ -89,7 +90,7 @@ def near(left: DataFrame, right: DataFrame, radius_m: float, equal: tuple[tuple[
         key = (F.col("__band") == F.col("__b")) & (F.col("__cell") == F.col("__c")) & (F.col("__part") == F.col("__p"))
     for e in same:
         key = key & e
-    met = at.join(around, key)
+    met = at.join(merged_in(around), key)
     close = met.where(F.abs(F.col("lat") - F.col("lat2")) <= step)
     found = close.withColumn("meters", haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")))
     return found.where(F.col("meters") <= radius_m).drop("__band", "__cell", "__part", "__b", "__c", "__p")
@@ -126,7 +127,7 @@ def landing_launches(sites: DataFrame) -> DataFrame:
     token = sites.select("key", "role", F.explode("tokens").alias("token")).distinct()
     landing = token.where("role = 'landing'").select(F.col("key").alias("landing"), "token")
     launch = token.where("role = 'launch'").select(F.col("key").alias("launch"), "token")
-    return landing.join(launch, "token").select("landing", "launch").distinct()
+    return landing.join(merged_in(launch), "token").select("landing", "launch").distinct()
 
 
 def nearest_counterparts(records: DataFrame, source: str, countries: list[str], within_m: float = 1000.0, k: int = 2) -> DataFrame:
@@ -136,4 +137,4 @@ def nearest_counterparts(records: DataFrame, source: str, countries: list[str],
     others = launches.where(F.col("provider") != source).select(F.col("key").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
     order = Window.partitionBy("key").orderBy("meters", "other")
     ranked = near(mine, others, within_m).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return mine.select("key").join(ranked.select("key", "rank", "other", "meters"), "key", "left")
+    return mine.select("key").join(merged_in(ranked.select("key", "rank", "other", "meters")), "key", "left")

@@ -13,7 +13,7 @@ from siteweave.functions.geo import haversine_m
 from siteweave.functions.text import member_label, name_similarity, override_entry
 from siteweave.operators.pairs import landing_launches, nearest_counterparts
 from siteweave.operators.resolve import override_status
-from siteweave.plans.store import written
+from siteweave.plans.store import merged_in, written
 
 #: Upper ends of the distance bands, the first from 0.
 BANDS = (50, 100, 150, 200, 250, 300, 400, 1000)
@@ -23,7 +23,7 @@ def _two(pairs: DataFrame, records: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs with both records' columns (suffix _a, _b)."""
     for s in "ab":
         side = records.select(F.col("key").alias(f"key_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in columns if c != "key"])
-        pairs = pairs.join(side, f"key_{s}")
+        pairs = pairs.join(merged_in(side), f"key_{s}")
     return pairs
 
 
@@ -42,13 +42,13 @@ def merged_report(records: DataFrame, clusters: DataFrame, country: DataFrame) -
     Clusters hold a record of each guide at most (forced ones a few more), so pairs in them are few.
     """
     size = clusters.groupBy("cluster_id").agg(F.count("*").alias("n")).where("n > 1")
-    rows = records.join(clusters.join(size, "cluster_id"), "key").select("cluster_id", "key", "provider", "name", "url", "lat", "lon")
+    rows = records.join(merged_in(clusters.join(merged_in(size), "cluster_id")), "key").select("cluster_id", "key", "provider", "name", "url", "lat", "lon")
     names = rows.groupBy("cluster_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("provider", "key", member_label(F.col("provider"), F.col("name"), F.col("url")).alias("l")))), lambda x: x["l"]), " · ").alias("members"))
     a, b = (rows.select("cluster_id", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "name", "lat", "lon")]) for s in "ab")
-    pair = a.join(b, "cluster_id").where("key_a < key_b").withColumn("m", haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")))
+    pair = a.join(merged_in(b), "cluster_id").where("key_a < key_b").withColumn("m", haversine_m(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")))
     pair = pair.withColumn("s", name_similarity("name_a", "name_b"))
     wide = pair.groupBy("cluster_id").agg(F.max(F.struct("m", "key_a", "key_b")).alias("w"), F.min("s").alias("similarity"))
-    out = wide.join(names, "cluster_id").join(country.select("cluster_id", F.coalesce("country", F.lit("??")).alias("country")), "cluster_id")
+    out = wide.join(merged_in(names), "cluster_id").join(merged_in(country.select("cluster_id", F.coalesce("country", F.lit("??")).alias("country"))), "cluster_id")
     return out.select("cluster_id", "country", "members", F.round("w.m", 1).alias("spread_m"), F.round("similarity", 0).alias("similarity"), override_entry(F.col("w.key_a"), F.col("w.key_b"), "never").alias("override"))
 
 

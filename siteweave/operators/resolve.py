@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from siteweave.config import DEFAULT, Config
 from siteweave.operators.components import components
-from siteweave.plans.store import discard, written
+from siteweave.plans.store import discard, merged_in, written
 
 
 def override_pairs(overrides: DataFrame, verdict: str) -> DataFrame:
@@ -24,12 +24,12 @@ def override_pairs(overrides: DataFrame, verdict: str) -> DataFrame:
 
 def apply_never(pairs: DataFrame, overrides: DataFrame) -> DataFrame:
     """Pairs without the rejected ones."""
-    return pairs.join(override_pairs(overrides, "never"), ["key_a", "key_b"], "left_anti")
+    return pairs.join(merged_in(override_pairs(overrides, "never")), ["key_a", "key_b"], "left_anti")
 
 
 def apply_always(records: DataFrame, overrides: DataFrame) -> DataFrame:
     """Forced pairs whose keys both exist."""
-    keys = records.select("key")
+    keys = merged_in(records.select("key"))
     forced = override_pairs(overrides, "always")
     return forced.join(keys.withColumnRenamed("key", "key_a"), "key_a", "left_semi").join(keys.withColumnRenamed("key", "key_b"), "key_b", "left_semi").select("key_a", "key_b")
 
@@ -162,21 +162,22 @@ def review_items(pairs: DataFrame, clusters: DataFrame, overrides: DataFrame | N
     if overrides is not None:
         open_ = apply_never(pairs, overrides)
         forced = override_pairs(overrides, "always").withColumn("forced", F.lit(True))
-        open_ = open_.join(forced, ["key_a", "key_b"], "left").where("forced is null or band = 'MERGE'").drop("forced")
+        open_ = open_.join(merged_in(forced), ["key_a", "key_b"], "left").where("forced is null or band = 'MERGE'").drop("forced")
     sized = clusters.withColumn("n", F.count("*").over(Window.partitionBy("cluster_id")))
     a, b = (sized.select(F.col("key").alias(f"key_{s}"), F.col("cluster_id").alias(f"c_{s}"), (F.col("n") > 1).alias(f"m_{s}")) for s in "ab")
-    apart = open_.join(a, "key_a").join(b, "key_b").where("c_a <> c_b and not (m_a and m_b)")
+    apart = open_.join(merged_in(a), "key_a").join(merged_in(b), "key_b").where("c_a <> c_b and not (m_a and m_b)")
     reason = F.when(F.col("band") == "REVIEW", "beyond merge threshold").when(F.col("m_a") | F.col("m_b"), "counterpart already merged").otherwise("would over-merge the cluster")
     return apart.select("key_a", "key_b", "distance_m", "band", reason.alias("reason"))
 
 
 def override_status(overrides: DataFrame, records: DataFrame) -> DataFrame:
     """a, b, verdict, status: yes, stale (a key no longer exists) or not applied."""
-    keys = records.select("key")
+    has = lambda s: merged_in(records.select(F.col("key").alias(s), F.lit(True).alias(f"has_{s}")))
+    applied = merged_in(apply_always(records, overrides).withColumn("applied", F.lit(True)))
     found = (
-        overrides.join(keys.select(F.col("key").alias("a"), F.lit(True).alias("has_a")), "a", "left")
-        .join(keys.select(F.col("key").alias("b"), F.lit(True).alias("has_b")), "b", "left")
-        .join(apply_always(records, overrides).withColumn("applied", F.lit(True)), (F.least("a", "b") == F.col("key_a")) & (F.greatest("a", "b") == F.col("key_b")), "left")
+        overrides.join(has("a"), "a", "left")
+        .join(has("b"), "b", "left")
+        .join(applied, (F.least("a", "b") == F.col("key_a")) & (F.greatest("a", "b") == F.col("key_b")), "left")
     )
     status = F.when(F.col("has_a").isNull() | F.col("has_b").isNull(), "stale").when((F.col("verdict") == "always") & F.col("applied").isNull(), "not applied").otherwise("yes")
     return found.select("a", "b", "verdict", status.alias("status"))

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from siteweave.config import DEFAULT, Config
 from siteweave.functions.text import ref_for
 from siteweave.operators.components import components
-from siteweave.plans.store import discard, written
+from siteweave.plans.store import discard, merged_in, written
 
 
 def members(records: DataFrame, clusters: DataFrame) -> DataFrame:
-    return records.join(clusters, "key")
+    return records.join(merged_in(clusters), "key")
 
 
 def cluster_country(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -93,6 +93,12 @@ def switch(spark: SparkSession, path: str, text: str) -> None:
     context.rename(at, jvm.org.apache.hadoop.fs.Path(path), how)
 
 
+def merged_in(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: it is sorted and merged in. By the few bytes of its compressed files it would be sent
+    whole to the driver and to every task, where its rows take many times that."""
+    return df.hint("merge")
+
+
 def discard(df: DataFrame) -> None:
     """Removes a table that ``written`` has made and that nothing will read again."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -49,3 +49,10 @@ def test_members_are_computed_once_for_their_country(spark):
     """Only records and clusters are joined: the clusters' countries are a window over what is brought together anyway."""
     for df in (catalogue.sites(spark, "/root/testdata/sf0.001"), catalogue.member_rank(spark, "/root/testdata/sf0.001")):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+@pytest.mark.parametrize("name", ("candidate_pairs", "same_source_pairs", "landing_gaps", "nearest_counterparts", "apply_never", "apply_always", "override_status", "review_items", "select_canonical", "merged_report", "review_report", "duplicates_report"))
+def test_no_side_that_grows_is_sent_whole(spark, name):
+    """Compressed files are small, their rows in the driver's memory aren't: records, pairs and clusters are merged whatever their size."""
+    plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
