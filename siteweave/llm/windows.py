@@ -54,8 +54,14 @@ BLOCK = 8192
 AT_ONCE = 200_000
 #: Passes over the groups.
 PARTS = 3
+#: Shingles that runs of SIMILARITY have in common, at least, if they have none twice.
+LEAST = RUN - APART // 2
 #: Members of a slot from which on its pairs are compared by squares.
-FEW = 8
+FEW = 64
+#: Pairs of runs that are told apart one by one, rather than all of two members at once.
+ONE_BY_ONE = 24
+#: Pairs that one array step compares place by place, and numbers that it compares in all places.
+PAIRS, CELLS = 4096, 2_000_000
 #: Members of a slot that one array step compares with as many others.
 TILE = 64
 #: Links that one row has at most; more take several rows.
@@ -270,90 +276,99 @@ def _each(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
 
 
+def _runs(places: np.ndarray) -> np.ndarray:
+    """How many of each run's places, along the first axis, are set; or sums of small numbers."""
+    places = places.view(np.uint8)
+    out = np.empty((len(places) - RUN + 1, *places.shape[1:]), dtype=np.uint8)
+    np.add.reduce(places[:RUN], axis=0, dtype=np.uint8, out=out[0])
+    for k in range(1, len(out)):
+        np.add(out[k - 1], places[k + RUN - 1], out=out[k])
+        out[k] -= places[k - 1]
+    return out
+
+
 class _Slot:
     """The members of one large slot, laid side by side with their least hashes in one line.
 
     ``names`` has a row for each place and a column for each member: numbers of shingles, 0 for those that one member alone has
     and where there is none. Pairs are compared by squares of TILE members, a row of them for each place."""
 
-    def __init__(self, flat: np.ndarray, size: np.ndarray, anchor: np.ndarray):
+    def __init__(self, flat: np.ndarray, size: np.ndarray, lift: np.ndarray, deep: int, twice: np.ndarray, firsts):
+        """firsts: (member, row, place) of some members: the place has a shingle of the run that begins in the row, and no earlier one has it."""
         many = len(size)
+        self.firsts = firsts
         m, k = _each(size)
         known, number = np.unique(flat, return_inverse=True)
         held = np.unique(number * many + m)
         holders = np.bincount(held // many, minlength=len(known))
-        self.numbers = np.where(holders > 1, np.cumsum(holders > 1), 0)
-        keep = holders[held // many] > 1
-        held = held[keep]
-        self.held, self.holder = self.numbers[held // many], held % many
+        numbers = np.where(holders > 1, np.cumsum(holders > 1), 0)
+        held = held[holders[held // many] > 1]
+        self.held, self.holder = numbers[held // many], held % many
         order = np.argsort(self.holder, kind="stable")
         self.held, self.holder = self.held[order], self.holder[order]
-        name = self.numbers[number].astype(np.int32)
-        self.last = int(self.numbers.max(initial=0))
-        self.top = int(anchor.max())  # the row in which the least hashes lie
-        deep = int((size - anchor).max()) + self.top
+        self.last, self.twice = int(numbers.max(initial=0)), twice
         self.names = np.zeros((deep, many), dtype=np.int32)
-        self.names[k - anchor[m] + self.top, m] = name
+        self.names[k + lift[m], m] = numbers[number]
         self.others = np.where(self.names == 0, self.last + 1, self.names)  # these never equal a 0
         #: how many different shingles each run has, by the row that it begins in; 0: there is no such run
-        self.several = np.zeros((deep - RUN + 1, many), dtype=np.int64)
+        several = np.zeros((deep - RUN + 1, many), dtype=np.int64)
         m, k = _each(size - RUN + 1)
-        self.several[k - anchor[m] + self.top, m] = RUN
-        whole = np.bincount(np.unique(number * many + np.repeat(np.arange(many), size)) % many, minlength=many) == size
-        again = np.flatnonzero(~whole[m])
-        begin = np.cumsum(size) - size
-        for q in range(0, len(again), 20_000):
-            r = again[q : q + 20_000]
-            self.several[k[r] - anchor[m[r]] + self.top, m[r]] = distinct(flat[(begin[m[r]] + k[r])[:, None] + np.arange(RUN)])
-        there = self.several > 0
-        self.twice = ~whole
-        # a run none of whose shingles stands in another row of the slot meets, in a member without a shingle twice,
-        # no run better than the one that lies as it does, or the nearest if there is none
-        row, m = np.nonzero(self.names)
-        low, high = np.full(self.last + 1, deep), np.full(self.last + 1, -1)
-        np.minimum.at(low, self.names[row, m], row)
-        np.maximum.at(high, self.names[row, m], row)
-        self.strays = self._runs((low < high)[self.names]) > 0
-        self.from_, self.to = there.argmax(axis=0), len(there) - 1 - there[::-1].argmax(axis=0)
+        several[k + lift[m], m] = RUN
+        again = np.flatnonzero(twice)
+        for q in range(0, len(again), TILE):
+            several[:, again[q : q + TILE]] = firsts(again[q : q + TILE]).sum(axis=2).T
+        there = several > 0
         # runs with so many places alike have the similarity, whichever shingles these are
-        self.enough = np.where(there, RUN - self.several // 9, 255).astype(np.uint8)
+        self.enough = np.where(there, RUN - several // 9, 255).astype(np.uint8)
         # runs of the similarity hold so many shingles of the other's member, at least
-        few = int(self.several[there].min(initial=RUN))
-        self.needed = np.where(there, np.maximum(-(-4 * self.several // 5), -(-4 * (self.several + few) // 9)), 255).astype(np.uint8)
-
-    @staticmethod
-    def _runs(places: np.ndarray) -> np.ndarray:
-        """How many of each run's places are set."""
-        places = places.view(np.uint8)
-        out = np.empty((len(places) - RUN + 1, *places.shape[1:]), dtype=np.uint8)
-        np.add.reduce(places[:RUN], axis=0, dtype=np.uint8, out=out[0])
-        for k in range(1, len(out)):
-            np.add(out[k - 1], places[k + RUN - 1], out=out[k])
-            out[k] -= places[k - 1]
-        return out
-
-    def in_line(self, i: slice, j: slice) -> np.ndarray:
-        """(row, member of i, member of j): the runs that begin in this row are alike place by place."""
-        same = self._runs(self.names[:, i, None] == self.others[:, None, j])
-        return (same >= self.enough[:, i, None]) & (same >= self.enough[:, None, j])
-
-    def held_by(self, i: slice, j: slice) -> np.ndarray:
-        """(row, member of i, member of j): the run of i's member may be alike with some run of j's."""
+        few = int(several[there].min(initial=RUN))
+        self.needed = np.where(there, np.maximum(-(-4 * several // 5), -(-4 * (several + few) // 9)), 255).astype(np.uint8)
+
+    def clean(self, i: slice, j: slice) -> np.ndarray:
+        """(member of i, member of j): neither has a shingle twice."""
+        return ~self.twice[i, None] & ~self.twice[None, j]
+
+    def same(self, i: slice, j: slice) -> np.ndarray:
+        """(place, member of i, member of j): the shingles that stand there are the same."""
+        return self.names[:, i, None] == self.others[:, None, j]
+
+    def in_line(self, i: slice, j: slice) -> tuple[np.ndarray, np.ndarray]:
+        """(row, member of i, member of j): the run of i's member, or of j's, that begins in this row is alike with one of the other as
+        the places stand: the one that lies as it does or, of members without a shingle twice, the nearest."""
+        same, clean = _runs(self.same(i, j)), self.clean(i, j)
+        one, two = same >= self.enough[:, i, None], same >= self.enough[:, None, j]
+        return one & (clean | two), two & (clean | one)
+
+    def elsewhere(self, i: slice, j: slice, same: np.ndarray) -> np.ndarray:
+        """(row, member of i, member of j): the run of i's member may be alike with some run of j's that ``in_line`` doesn't tell.
+
+        It holds enough shingles of the other's member and, if neither member has one twice, some of them in other places: if
+        all stand in line, no run of the other is better than the one that lies as it does, or the nearest."""
         a, b = np.searchsorted(self.holder, [j.start, j.stop])
         number = np.unique(self.held[a:b])
         has = np.zeros((len(number) + 1, j.stop - j.start), dtype=bool)
         has[np.searchsorted(number, self.held[a:b]) + 1, self.holder[a:b] - j.start] = True
         row = np.zeros(self.last + 1, dtype=np.int64)
         row[number] = np.arange(1, len(number) + 1)
-        return self._runs(has[row[self.names[:, i]]]) >= self.needed[:, i, None]
+        has = has[row[self.names[:, i]]]
+        held = _runs(has)
+        again = np.flatnonzero(self.twice[i] & (held >= self.needed[:, i, None]).any(axis=(0, 2)))
+        if len(again):
+            held[:, again] = np.matmul(self.firsts(i.start + again).astype(np.float32), has[:, again].transpose(1, 0, 2).astype(np.float32, order="C")).transpose(1, 0, 2)
+        found = held >= self.needed[:, i, None]
+        if found.any():
+            found &= (_runs(has & ~same) > 0) | ~self.clean(i, j)
+        return found
 
 
 def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: list[bytes]):
     """Rows sorted by slot -> (member, start, other), starts of members that a run of another verifies, and bits.
 
-    In each slot every two members are compared, in rounds; bit k of a member's row is set if it has a run alike with one of the slot's
+    In each slot every two members are compared; bit k of a member's row is set if it has a run alike with one of the slot's
     k-th member, at any places. ``low`` and ``high`` are the least and greatest text of a member's class. A member of
-    several texts is verified by itself. Of a slot with side >= 0 only members of unlike sides meet."""
+    several texts is verified by itself. Of a slot with side >= 0 only members of unlike sides meet.
+
+    Runs are compared in line first, then in all places: by counts of equal places, or of different shingles where a member has one twice."""
     size = np.array([len(r) // 4 for r in rows], dtype=np.int64)
     at, flat = np.cumsum(size) - size, np.frombuffer(b"".join(rows), dtype=np.uint32)
     signature, run = signatures(flat), np.arange(RUN)[None, :]
@@ -363,9 +378,7 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
     # bits of any of a member's runs, and of all of them
     inside = np.bitwise_or.reduceat(_bits(flat), at, axis=1).T if len(at) else np.zeros((0, 4), dtype=np.uint64)
     core = np.bitwise_and.reduceat(signature[np.repeat(at - begin, n) + np.arange(n.sum())], begin) if len(at) else inside
-    done = np.repeat(low != high, n)
-    missing = np.where(low != high, 0, n)
-    head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])[: len(slot)])
     members = np.diff(np.append(head, len(slot)))
     first, many = np.repeat(head, members), np.repeat(members, members)
     here = np.arange(len(slot))
@@ -373,6 +386,39 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
     out = []
     alone = lambda x, y: np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
 
+    # a column for each member, the least hashes in one line: shingles, or 0 and 1 where there is none
+    lift = int(anchor.max(initial=0)) - anchor
+    deep = int((size + lift).max(initial=RUN))
+    shown = flat if flat.min(initial=2) > 1 else (np.unique(flat, return_inverse=True)[1] + 2).astype(np.uint32)
+    line = np.zeros((deep, len(slot)), dtype=np.uint32)
+    m, k = _each(size)
+    line[k + lift[m], m] = shown
+    others = np.maximum(line, 1)
+    there = np.zeros((deep - RUN + 1, len(slot)), dtype=bool)  # rows in which a member's runs begin
+    m, k = _each(n)
+    there[k + lift[m], m] = True
+    open_ = there & (low == high)  # of runs that nothing verified yet
+    in_order = np.sort(line, axis=0)
+    twice = ((in_order[1:] == in_order[:-1]) & (in_order[1:] > 0)).any(axis=0)
+    again = np.flatnonzero(twice)
+    earlier = np.full((deep, len(again)), -1, dtype=np.int16)  # the place before with the same shingle
+    order = np.argsort(line[:, again], axis=0, kind="stable")
+    in_order = np.take_along_axis(line[:, again], order, axis=0)
+    k, m = np.nonzero((in_order[1:] == in_order[:-1]) & (in_order[1:] > 0))
+    earlier[order[k + 1, m], m] = order[k, m]
+    places, starts = np.arange(deep)[None, None], np.arange(deep - RUN + 1)[None, :, None]
+    within = (places >= starts) & (places < starts + RUN)
+
+    def firsts(m):
+        """(member, row, place): a shingle of the run that begins in this row stands there and at no earlier place of the run."""
+        new = within & there[:, m].T[:, :, None]
+        own = np.flatnonzero(twice[m])
+        new[own] &= earlier[:, np.searchsorted(again, m[own])].T[:, None] < starts
+        return new
+
+    def may(a, b):
+        return ((side[a] < 0) | (side[a] != side[b])) & ((low[a] != high[b]) | (high[a] != low[b]))
+
     def alike(x, s, y, t):
         """Which runs, at s of member x and at t of y, have the similarity."""
         a, b, found = at[x] + s, at[y] + t, np.zeros(len(x), dtype=bool)
@@ -391,21 +437,52 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
             found[q + close] = ok
         return found
 
-    def note(x, s, y, t):
-        for m, place, o in ((x, s, y), (y, t, x)):
-            new = np.flatnonzero(~done[begin[m] + place])
-            new = new[np.unique(begin[m[new]] + place[new], return_index=True)[1]]
-            done[begin[m[new]] + place[new]] = True
-            np.subtract.at(missing, m[new], 1)
-            out.append(np.stack([m[new], place[new], o[new]]))
+    def note(row, m, other):
+        """Open runs of members, by the rows they begin in, that are alike with one of another."""
+        new = np.flatnonzero(open_[row, m])
+        new = new[np.unique(row[new] * len(slot) + m[new], return_index=True)[1]]
+        row, m, other = row[new], m[new], other[new]
+        open_[row, m] = False
+        out.append(np.stack([m, row - lift[m], other]))
+
+    def link(i, j):
+        """Pairs of members of one slot, each once."""
+        for x, y in ((i, j), (j, i)):
+            place = y - first[y]
+            np.bitwise_or.at(bits, (x, place >> 3), (128 >> (place & 7)).astype(np.uint8))
+
+    def anywhere(a, b, linked):
+        """All runs of members a with all of b, pair by pair. linked: pairs that are, of which only open runs count."""
+        step = max(1, CELLS // deep**2)
+        for use in (~twice[a] & ~twice[b], twice[a] | twice[b]):
+            use = np.flatnonzero(use)
+            for q in range(0, len(use), step):
+                p = use[q : q + step]
+                p = p[~linked[p] | open_[:, a[p]].any(axis=0) | open_[:, b[p]].any(axis=0)]
+                i, j = a[p], b[p]
+                common = _runs((line[:, i][:, None] == others[:, j][None]).transpose(1, 0, 2))  # by runs of j, then by places of i
+                if twice[i].any() or twice[j].any():
+                    one, two = firsts(i), firsts(j)
+                    common = np.matmul(one.astype(np.float32), (common > 0).transpose(2, 1, 0).astype(np.float32, order="C"))
+                    whole = one.sum(axis=2)[:, :, None] + two.sum(axis=2)[:, None, :] - common
+                    found = (common / np.maximum(whole, 1) >= SIMILARITY).transpose(2, 1, 0)
+                else:
+                    found = _runs(common.transpose(1, 0, 2)).transpose(1, 0, 2) >= LEAST
+                found &= there[:, j][:, None] & there[:, i][None]
+                one, two = found.any(axis=0), found.any(axis=1)
+                met = one.any(axis=0)
+                link(i[met], j[met])
+                for mine, x, y in ((one, i, j), (two, j, i)):
+                    row, p = np.nonzero(mine & open_[:, x])
+                    note(row, x[p], y[p])
 
     def elsewhere(i, j, shift, linked, pairs, whole):
         """Runs of i, open ones or (``whole``) all, with all of j that don't lie as the least hashes do."""
         for k in range(0, len(pairs), 4096):
             p, s = _each(n[i[pairs[k : k + 4096]]])
             p = pairs[k : k + 4096][p]
-            open_ = whole[p] | ~done[begin[i[p]] + s]
-            p, s = p[open_], s[open_]
+            use = whole[p] | open_[s + lift[i[p]], i[p]]
+            p, s = p[use], s[use]
             # what is nowhere in the other member is in this run alone, what all the other's runs have is in that one alone
             mine = signature[at[i[p]] + s]
             near = alone(mine, inside[j[p]]) + alone(core[j[p]], mine) <= APART
@@ -416,86 +493,110 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
                 use = t != sr + shift[pr]
                 pr, sr, t = pr[use], sr[use], t[use]
                 ok = alike(i[pr], sr, j[pr], t)
-                note(i[pr[ok]], sr[ok], j[pr[ok]], t[ok])
+                noted(i[pr[ok]], sr[ok], j[pr[ok]], t[ok])
                 linked[pr[ok]] = True
 
+    def noted(x, s, y, t):
+        note(s + lift[x], x, y)
+        note(t + lift[y], y, x)
+
     def large(h, many):
         """All pairs of the slot whose members are h .. h + many - 1."""
-        of = _Slot(flat[at[h] : at[h] + size[h : h + many].sum()], size[h : h + many], anchor[h : h + many])
+        of = _Slot(flat[at[h] : at[h] + size[h : h + many].sum()], size[h : h + many], lift[h : h + many], deep, twice[h : h + many], lambda m: firsts(h + m))
         squares = [(slice(i, min(i + TILE, many)), slice(j, min(j + TILE, many))) for i in range(0, many, TILE) for j in range(i, many, TILE)]
-        place = lambda x, m: x - of.top + anchor[h + m]
-        open_ = np.zeros(of.several.shape, dtype=bool)  # rows and members of runs that nothing verified yet
-        m, k = _each(np.where(low != high, 0, n)[h : h + many])
-        open_[k - anchor[h + m] + of.top, m] = True
-
-        def may(i, j):
-            a, b = np.arange(h + i.start, h + i.stop)[:, None], np.arange(h + j.start, h + j.stop)[None, :]
-            return (a < b) & ((side[a] < 0) | (side[a] != side[b])) & ((low[a] != high[b]) | (high[a] != low[b]))
-
-        def link(i, j, new):
-            for x, y, square in ((i, j, new), (j, i, new.T)):
-                byte = np.packbits(square, axis=1)
+        members_ = lambda i: np.arange(h + i.start, h + i.stop)
+
+        def allowed(i, j):
+            a, b = members_(i)[:, None], members_(j)[None, :]
+            return (a < b) & may(a, b)
+
+        def square(i, j, new):
+            for x, y, found in ((i, j, new), (j, i, new.T)):
+                byte = np.packbits(found, axis=1)
                 bits[h + x.start : h + x.stop, y.start >> 3 : (y.start >> 3) + byte.shape[1]] |= byte
 
         def meet(i, j, one, two):
             """Runs of ``one`` with those of ``two``, (row, member of i, member of j) each."""
             x, y = np.nonzero(one.any(axis=0) & two.any(axis=0))
-            runs, others = one.transpose(1, 2, 0)[x, y], two.transpose(1, 2, 0)[x, y]
-            part = np.cumsum(np.count_nonzero(runs, axis=1) * np.count_nonzero(others, axis=1)) // 200_000
+            runs, theirs = one.transpose(1, 2, 0)[x, y], two.transpose(1, 2, 0)[x, y]
+            part = np.cumsum(np.count_nonzero(runs, axis=1) * np.count_nonzero(theirs, axis=1)) // 200_000
             for p in np.split(np.arange(len(x)), np.flatnonzero(np.diff(part)) + 1) if len(x) else []:
                 a, s = np.nonzero(runs[p])
-                b, t = np.nonzero(others[p])
+                b, t = np.nonzero(theirs[p])
                 times = np.bincount(b, minlength=len(p))
                 r, q = _each(times[a])
                 q += (np.cumsum(times) - times)[a[r]]
                 a, s, t = a[r], s[r], t[q]
-                k, m = i.start + x[p][a], j.start + y[p][a]
-                use = of.strays[s, k] | of.twice[m] | (t == np.clip(s, of.from_[m], of.to[m]))
-                use |= of.strays[t, m] | of.twice[k] | (s == np.clip(t, of.from_[k], of.to[k]))
-                k, s, m, t = k[use], s[use], m[use], t[use]
-                ok = np.flatnonzero(alike(h + k, place(s, k), h + m, place(t, m)))
+                k, m = h + i.start + x[p][a], h + j.start + y[p][a]
+                ok = np.flatnonzero(alike(k, s - lift[k], m, t - lift[m]))
                 k, s, m, t = k[ok], s[ok], m[ok], t[ok]
                 new = np.zeros(one.shape[1:], dtype=bool)
-                new[k - i.start, m - j.start] = True
-                link(i, j, new)
-                for u, row, v in ((k, s, m), (m, t, k)):
-                    first_ = np.unique(row * many + u, return_index=True)[1]
-                    first_ = first_[open_[row[first_], u[first_]]]
-                    open_[row[first_], u[first_]] = False
-                    out.append(np.stack([h + u[first_], place(row[first_], u[first_]), h + v[first_]]))
+                new[k - h - i.start, m - h - j.start] = True
+                square(i, j, new)
+                note(s, k, m)
+                note(t, m, k)
 
         for i, j in squares:
-            alike_ = of.in_line(i, j) & may(i, j)
-            link(i, j, alike_.any(axis=0))
-            for x, y, square in ((i, j, alike_), (j, i, alike_.transpose(0, 2, 1))):
-                row, k = np.nonzero(open_[:, x] & square.any(axis=2))
-                open_[row, x.start + k] = False
-                out.append(np.stack([h + x.start + k, place(row, x.start + k), h + y.start + square[row, k].argmax(axis=1)]))
+            pairs = allowed(i, j)
+            one, two = of.in_line(i, j)
+            one &= pairs
+            two &= pairs
+            square(i, j, one.any(axis=0) | two.any(axis=0))
+            for x, y, mine in ((i, j, one), (j, i, two.transpose(0, 2, 1))):
+                row, k = np.nonzero(open_[:, members_(x)] & mine.any(axis=2))
+                note(row, h + x.start + k, h + y.start + mine[row, k].argmax(axis=1))
         for i, j in squares:
             linked = np.unpackbits(bits[h + i.start : h + i.stop, j.start >> 3 : (j.stop + 7) >> 3], axis=1, count=j.stop - j.start).view(bool)
-            wanted = may(i, j) & (~linked | open_[:, i].any(axis=0)[:, None] | open_[:, j].any(axis=0)[None, :])
+            mine, theirs = open_[:, members_(i), None], open_[:, None, members_(j)]
+            wanted = allowed(i, j) & (~linked | mine.any(axis=0) | theirs.any(axis=0))
             if not wanted.any():
                 continue
-            one = of.held_by(i, j)
+            same = of.same(i, j)
+            one = of.elsewhere(i, j, same)
             wanted &= one.any(axis=0)
             if not wanted.any():
                 continue
-            two = of.held_by(j, i).transpose(0, 2, 1)
-            wanted &= two.any(axis=0)
+            two = of.elsewhere(j, i, same.transpose(0, 2, 1)).transpose(0, 2, 1)
             # all runs of pairs that aren't linked yet, open ones of others
-            meet(i, j, one & (wanted & ~linked), two)
-            meet(i, j, one & open_[:, i, None] & (wanted & linked), two)
-            meet(i, j, one & (wanted & linked), two & open_[:, None, j])
-
-    for h in head[members >= FEW]:
-        large(int(h), int(many[h]))
+            wanted &= two.any(axis=0) & (~linked | (one & mine).any(axis=0) | (two & theirs).any(axis=0))
+            # a few runs of members with a shingle twice are compared one by one
+            few = ~of.clean(i, j) & wanted
+            if few.any():
+                mine, theirs = open_[:, members_(i), None], open_[:, None, members_(j)]
+                ones, twos = one.sum(axis=0), two.sum(axis=0)
+                few &= np.where(linked, (one & mine).sum(axis=0) * twos + ones * (two & theirs).sum(axis=0), ones * twos) <= ONE_BY_ONE
+                meet(i, j, one & (few & ~linked), two)
+                meet(i, j, one & open_[:, members_(i), None] & (few & linked), two)
+                meet(i, j, one & (few & linked), two & open_[:, None, members_(j)])
+            x, y = np.nonzero(wanted & ~few)
+            anywhere(h + i.start + x, h + j.start + y, linked[x, y])
+
+    for h, m in zip(head[members >= FEW].tolist(), members[members >= FEW].tolist()):
+        large(h, m)
     many = np.where(many >= FEW, 0, many)
+    # pairs of small slots: first in line
+    a, k = _each(np.maximum(many - 1 - (here - first), 0))
+    b = a + 1 + k
+    use = may(a, b) & ~twice[a] & ~twice[b]
+    use &= alone(core[a], inside[b]) + alone(core[b], inside[a]) <= APART  # of others no two runs are alike
+    a, b = a[use], b[use]
+    linked = np.zeros(len(a), dtype=bool)
+    for q in range(0, len(a), PAIRS):
+        i, j = a[q : q + PAIRS], b[q : q + PAIRS]
+        same = _runs(line[:, i] == others[:, j]) >= LEAST
+        one, two = same & there[:, i], same & there[:, j]
+        linked[q : q + PAIRS] = one.any(axis=0) | two.any(axis=0)
+        for mine, x, y in ((one, i, j), (two, j, i)):
+            row, p = np.nonzero(mine & open_[:, x])
+            note(row, x[p], y[p])
+    link(a[linked], b[linked])
+    use = ~linked | open_[:, a].any(axis=0) | open_[:, b].any(axis=0)
+    anywhere(a[use], b[use], linked[use])
+    # pairs with a member that has a shingle twice
     for r in range(1, int(many.max(initial=0)) // 2 + 1):
         live = here[many >= 2 * r]
-        if not len(live):
-            break
         other = first[live] + (live - first[live] + r) % many[live]
-        use = ((side[live] < 0) | (side[live] != side[other])) & ((low[live] != high[other]) | (high[live] != low[other]))
+        use = (twice[live] | twice[other]) & may(live, other)
         live, other = live[use], other[use]
         near = alone(core[live], inside[other]) + alone(core[other], inside[live]) <= APART  # of others no two runs are alike
         live, other = live[near], other[near]
@@ -507,23 +608,21 @@ def compared(slot: np.ndarray, side: np.ndarray, low: np.ndarray, high: np.ndarr
             mid = (lo + hi)[meet] // 2
             linked[meet] = alike(i[meet], mid, j[meet], mid + shift[meet])
             # all runs as the least hashes lie, where some are open
-            pairs = np.flatnonzero(~linked | (missing[i] + missing[j] > 0))
+            missing = lambda m: open_[:, m].any(axis=0)
+            pairs = np.flatnonzero(~linked | missing(i) | missing(j))
             p, s = _each(np.maximum(hi - lo, 0)[pairs])
             p = pairs[p]
             s = s + lo[p]
             t = s + shift[p]
-            open_ = ~linked[p] | ~done[begin[i[p]] + s] | ~done[begin[j[p]] + t]
-            p, s, t = p[open_], s[open_], t[open_]
+            use = ~linked[p] | open_[s + lift[i[p]], i[p]] | open_[t + lift[j[p]], j[p]]
+            p, s, t = p[use], s[use], t[use]
             ok = alike(i[p], s, j[p], t)
-            note(i[p[ok]], s[ok], j[p[ok]], t[ok])
+            noted(i[p[ok]], s[ok], j[p[ok]], t[ok])
             linked[p[ok]] = True
             whole = ~linked
-            elsewhere(i, j, shift, linked, np.flatnonzero(whole | (missing[i] > 0)), whole)
-            elsewhere(j, i, -shift, linked, np.flatnonzero(~whole & (missing[j] > 0)), np.zeros(len(i), dtype=bool))
-            i, j = i[linked], j[linked]
-            for x, y in ((i, j), (j, i)):  # a round has each member once on either side
-                place = y - first[y]
-                bits[x, place >> 3] |= (128 >> (place & 7)).astype(np.uint8)
+            elsewhere(i, j, shift, linked, np.flatnonzero(whole | missing(i)), whole)
+            elsewhere(j, i, -shift, linked, np.flatnonzero(~whole & missing(j)), np.zeros(len(i), dtype=bool))
+            link(i[linked], j[linked])
     return np.concatenate(out, axis=1) if out else np.zeros((3, 0), dtype=np.int64), bits
 
 

@@ -477,6 +477,38 @@ def test_a_large_group_is_compared_without_a_set_for_every_pair(monkeypatch):
     assert sum(sets) < 300 * 299  # three for each pair of runs that is compared as sets
 
 
+@pytest.mark.parametrize("few, one_by_one", ((2, 0), (2, 50), (2, 10**6), (200, 24)))
+def test_shingles_twice_and_moved_places_in_a_group(monkeypatch, few, one_by_one):
+    """Counts tell runs apart, also where members have a shingle twice or a word more: hardly any pair is compared as sets."""
+    monkeypatch.setattr(windows, "FEW", few)
+    monkeypatch.setattr(windows, "ONE_BY_ONE", one_by_one)
+    monkeypatch.setattr(windows, "TILE", 32)
+    r = np.random.default_rng(16)
+    base, many = r.integers(0, 2**32, 52).astype(np.uint32), 90
+    rows, anchor = [], np.zeros(many, dtype=np.int64)
+    for i in range(many):
+        x = base.copy()
+        x[r.choice(52, r.integers(1, 6), replace=False)] = r.integers(0, 2**32)
+        if i % 2:
+            x[30:36], x[:2] = x[20:26], (0, 1)
+        front = int(r.integers(0, 4))
+        x = np.insert(x, [0] * front + [26] * int(r.integers(0, 3)), 7).astype(np.uint32)[: 56 - i % 5]
+        rows.append(x)
+        anchor[i] = front + 5
+    sets, distinct = [], windows.distinct
+    monkeypatch.setattr(windows, "distinct", lambda x: sets.append(len(x)) or distinct(x))
+    zero, text = np.zeros(many, dtype=np.int64), np.arange(many)
+    (m, at, o), bits = windows.compared(zero, zero - 1, text, text, anchor, [x.tobytes() for x in rows])
+    runs = [[{*x[s : s + 46].tolist()} for s in range(len(x) - 45)] for x in rows]
+    like = lambda a, b: len(a & b) / len(a | b) >= 0.8
+    links = np.array([[i != j and any(like(a, b) for a in runs[i] for b in runs[j]) for j in range(many)] for i in range(many)])
+    assert (np.unpackbits(bits, axis=1, count=many).view(bool) == links).all() and 0 < links.sum() < many * (many - 1)
+    want = [(i, s) for i in range(many) for s, a in enumerate(runs[i]) if any(like(a, b) for j in np.flatnonzero(links[i]) for b in runs[j])]
+    assert sorted(zip(m.tolist(), at.tolist())) == want and links[m, o].all()
+    if one_by_one == 0:
+        assert sum(sets) < many * many // 2  # less than one for each pair
+
+
 def test_word_hashes():
     r = np.random.default_rng(15)
     words = [r.integers(0, 256, n, dtype=np.uint8).tobytes() for n in [*range(1, 80)] * 5]
